@@ -44,8 +44,16 @@ def register(name: str, sql_text: str | None):
     return deco
 
 
+_GRAPHS: dict = {}
+
+
 def G(spark, sf_dir, lex=FIXTURE, spread=False):
-    return graph_from_driver(spark, sf_dir, lex, spread=spread)
+    """The model graph for one session and input folder, built once: shared
+    models (e.g. the filing classifications) are composed a single time."""
+    key = (id(spark), sf_dir.rstrip("/"), id(lex), spread)
+    if key not in _GRAPHS:
+        _GRAPHS[key] = graph_from_driver(spark, sf_dir, lex, spread=spread)
+    return _GRAPHS[key]
 
 
 def T(spark, sf_dir):
@@ -391,17 +399,21 @@ def _vector_cosine_topk(spark, sf_dir):
     return retrieval.cosine_topk(T(spark, sf_dir).vectors, "vec_id", "embedding", 0, k=10)
 
 
+_TV = "(SELECT [emb_1, emb_2, emb_3, emb_4, emb_5] FROM ml_filing_embeddings WHERE filing_id = 'SF-0')"
+_COS_F = (f"list_dot_product(a.e, {_TV}) / (sqrt(list_dot_product(a.e, a.e)) "
+          f"* sqrt(list_dot_product({_TV}, {_TV})))")
+
+
 @register("vector_cosine_topk_filings", sql(f"""
-    WITH v AS (SELECT filing_id, risk_category, [emb_1, emb_2, emb_3, emb_4, emb_5] AS e
-               FROM ml_filing_embeddings),
-         t AS (SELECT e FROM v WHERE filing_id = 'SF-1')
-    SELECT a.filing_id, a.risk_category, {hu(_COS, 6)} AS cosine_similarity
-    FROM v a, t WHERE a.filing_id <> 'SF-1'
-    ORDER BY {_COS} DESC NULLS LAST, a.filing_id LIMIT 10""", "ml_filing_embeddings"))
+    SELECT a.filing_id, a.risk_category, {hu(_COS_F, 6)} AS cosine_similarity
+    FROM (SELECT filing_id, risk_category, [emb_1, emb_2, emb_3, emb_4, emb_5] AS e
+          FROM ml_filing_embeddings) a
+    WHERE a.filing_id <> 'SF-0'
+    ORDER BY {_COS_F} DESC NULLS LAST, a.filing_id LIMIT 10""", "ml_filing_embeddings"))
 def _vector_cosine_topk_filings(spark, sf_dir):
     """The reference's own search: filings similar to one target filing."""
     emb = G(spark, sf_dir).get("ml_filing_embeddings")
-    return retrieval.cosine_topk(emb, "filing_id", "embedding_vector", "SF-1", k=10,
+    return retrieval.cosine_topk(emb, "filing_id", "embedding_vector", "SF-0", k=10,
                                  extra_cols=("risk_category",))
 
 

@@ -70,7 +70,8 @@ class ModelGraph:
     overridden frame (a what-if copy that never touches the baseline).
     """
 
-    def __init__(self, raw: dict[str, DataFrame], as_of: _dt.date, now: _dt.datetime,
+    def __init__(self, raw: dict[str, DataFrame | Callable[[], DataFrame]], as_of: _dt.date,
+                 now: _dt.datetime,
                  lex: Lexicon = REFERENCE, overrides: dict[str, Override] | None = None,
                  spread: bool = False):
         self.raw, self.as_of, self.now, self.lex = raw, as_of, now, lex
@@ -96,7 +97,8 @@ class ModelGraph:
     def _build(self, name: str) -> DataFrame:
         g, a, n, lex = self.get, self.as_of, self.now, self.lex
         if name in RAW:
-            return self.raw[name]
+            src = self.raw[name]
+            return src() if callable(src) else src
         builders = {
             "stg_earnings_calls": lambda: staging.stg_earnings_calls(g("earnings_calls"), a),
             "stg_sec_filings": lambda: staging.stg_sec_filings(g("sec_filings"), a),
@@ -154,6 +156,6 @@ def graph_from_driver(spark, sf_dir: str, lex: Lexicon, as_of=None, now=None,
                       spread: bool = False) -> ModelGraph:
     from ..sources import adapters as ad
     t = ad.DriverTables(spark, sf_dir)
-    raw = {"earnings_calls": t.earnings_calls, "sec_filings": t.sec_filings,
-           "stock_prices": t.stock_prices}
+    raw = {"earnings_calls": lambda: t.earnings_calls, "sec_filings": lambda: t.sec_filings,
+           "stock_prices": lambda: t.stock_prices}
     return ModelGraph(raw, as_of or ad.AS_OF, now or ad.NOW, lex, spread=spread)

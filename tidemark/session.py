@@ -35,6 +35,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # no per-call Python stack capture while composing long plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEM", "8g"))
         .getOrCreate()
     )

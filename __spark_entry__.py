@@ -21,7 +21,7 @@ import oracle_queries as oq
 from oracle_queries import AS_OF as SQL_AS_OF, NOW as SQL_NOW, hu, sql
 from tidemark.functions import text as tx
 from tidemark.functions.rules import FIXTURE, REFERENCE
-from tidemark.functions.signals import technical_signal
+from tidemark.functions.signals import technical_signal, ts_lit
 from tidemark.operators import (alerts, cdc, embeddings, enrich, governance as gov, indicators,
                                 joins, marts, monitor, quality, retrieval, scenario, staging)
 from tidemark.plans.graph import graph_from_driver
@@ -121,8 +121,8 @@ def _int_price_metrics_spread(spark, sf_dir):
 def _stg_dedup(spark, sf_dir):
     """Two loads of the same keyed table; keep the latest row per key."""
     before, after = T(spark, sf_dir).cdc_pair()
-    loads = (before.withColumn("_loaded_at", F.lit(_dt.datetime(2024, 1, 1)).cast("timestamp"))
-             .unionByName(after.withColumn("_loaded_at", F.lit(_dt.datetime(2024, 1, 2)).cast("timestamp"))))
+    loads = (before.withColumn("_loaded_at", ts_lit(_dt.datetime(2024, 1, 1)))
+             .unionByName(after.withColumn("_loaded_at", ts_lit(_dt.datetime(2024, 1, 2)))))
     return staging.dedup_latest(loads, "o_orderkey", "_loaded_at")
 
 
@@ -535,8 +535,7 @@ def _cdc_stream_upsert(spark, sf_dir):
 
 
 def _price_summary_body(raw: DataFrame) -> DataFrame:
-    stg = staging.stg_stock_prices(raw, AS_OF)
-    return indicators.dt_price_summary(indicators.int_price_metrics(stg), NOW)
+    return indicators.dt_price_summary_from_bars(staging.stg_stock_prices(raw, AS_OF), NOW)
 
 
 @register("dt_price_summary_stream", oq.model("dt_price_summary"))
@@ -801,7 +800,7 @@ _EC_SCHEMA = [("call_id", "string", True), ("ticker", "string", True), ("company
               ("call_date", "date", True), ("call_type", "string", False), ("quarter", "int", False),
               ("fiscal_year", "int", False), ("speaker_name", "string", True),
               ("speaker_role", "string", False), ("transcript_text", "string", True),
-              ("confidence_score", "double", True), ("_loaded_at", "timestamp", False)]
+              ("confidence_score", "double", True), ("_loaded_at", "timestamp_ntz", True)]
 
 
 @register("mon_schema_snapshot", sql("\nUNION ALL\n".join(
@@ -954,7 +953,7 @@ STREAM_CREATED = _dt.datetime(2024, 1, 1)
 
 def _registry(spark):
     return spark.createDataFrame([(n, t) for n, t in STREAMS], "stream_name string, source_table string") \
-        .withColumn("stream_created", F.lit(STREAM_CREATED).cast("timestamp"))
+        .withColumn("stream_created", ts_lit(STREAM_CREATED))
 
 
 def _stream_counts_sql() -> str:

@@ -54,14 +54,26 @@ def signal_direction(sentiment, high_risk, sharpe) -> Column:
             .otherwise("NEUTRAL"))
 
 
+def ts_lit(value) -> Column:
+    """A wall-clock timestamp literal (TIMESTAMP_NTZ): the same value in any
+    session time zone."""
+    if isinstance(value, Column):
+        return value
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def _wall(c) -> Column:
+    return col_(c).cast("timestamp_ntz")
+
+
 def hour_diff(start, end) -> Column:
-    """Hour boundaries crossed between two timestamps (DATEDIFF(hour))."""
-    a = F.unix_timestamp(F.date_trunc("hour", col_(start).cast("timestamp")))
-    b = F.unix_timestamp(F.date_trunc("hour", col_(end).cast("timestamp")))
-    return ((b - a) / 3600).cast("bigint")
+    """Hour boundaries crossed between two timestamps (DATEDIFF(hour)),
+    counted on wall-clock fields, so no time-zone or DST arithmetic."""
+    a, b = _wall(start), _wall(ts_lit(end) if not isinstance(end, (Column, str)) else end)
+    days = F.datediff(F.to_date(b), F.to_date(a)).cast("bigint")
+    return days * 24 + (F.hour(b) - F.hour(a)).cast("bigint")
 
 
 def minute_diff(start, end) -> Column:
-    a = F.unix_timestamp(F.date_trunc("minute", col_(start).cast("timestamp")))
-    b = F.unix_timestamp(F.date_trunc("minute", col_(end).cast("timestamp")))
-    return ((b - a) / 60).cast("bigint")
+    a, b = _wall(start), _wall(ts_lit(end) if not isinstance(end, (Column, str)) else end)
+    return hour_diff(a, b) * 60 + (F.minute(b) - F.minute(a)).cast("bigint")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up
+from ..functions.signals import ts_lit
 from . import monitor
 
 CRITICAL, WARNING, INFO = "critical", "warning", "info"
@@ -42,8 +43,8 @@ def embedding_dim(emb: DataFrame, col: str = "embedding_vector", dim: int = 5) -
 
 
 def zero_new_filings(filings: DataFrame, now: _dt.datetime, hours: int = 48) -> DataFrame:
-    since = F.lit(now) - F.expr(f"INTERVAL {int(hours)} HOURS")
-    a = filings.agg(F.count_if(F.col("filing_date").cast("timestamp") >= since).alias("m"))
+    since = ts_lit(now) - F.expr(f"INTERVAL {int(hours)} HOURS")
+    a = filings.agg(F.count_if(F.col("filing_date").cast("timestamp_ntz") >= since).alias("m"))
     return _row(a, CRITICAL, "alert_zero_new_filings", F.col("m"), 0, lambda m: m == 0)
 
 

@@ -21,8 +21,7 @@ def _keys(key) -> list[str]:
 
 def cdc_changes(before: DataFrame, after: DataFrame, key) -> DataFrame:
     keys = _keys(key)
-    cols = [c for c in after.columns]
-    others = [c for c in cols if c not in keys]
+    cols = list(after.columns)
     b = before.select(*[F.col(k) for k in keys], F.struct(*[F.col(c) for c in cols]).alias("_b"))
     a = after.select(*[F.col(k) for k in keys], F.struct(*[F.col(c) for c in cols]).alias("_a"))
     j = b.join(a, keys, "full_outer")
@@ -35,10 +34,10 @@ def cdc_changes(before: DataFrame, after: DataFrame, key) -> DataFrame:
                .when(ins.isNull(), F.array(change(dele, "DELETE", False)))
                .when(~dele.eqNullSafe(ins), F.array(change(dele, "DELETE", True),
                                                     change(ins, "INSERT", True))))
+    # identical versions give a NULL array, which explode drops
     out = j.select(F.explode(changes).alias("_c"))
     return out.select(*[F.col(f"_c.r.{c}").alias(c) for c in cols],
                       F.col("_c.action").alias("action"), F.col("_c.is_update").alias("is_update"))
-    # note: rows with identical versions produce a NULL array and explode drops them
 
 
 def has_data(changes: dict[str, DataFrame]) -> DataFrame:
@@ -58,12 +57,12 @@ def change_counts(changes: dict[str, DataFrame], time_col: str | None = None) ->
     the latest change time."""
     parts = []
     for name, ch in changes.items():
-        t = F.col(time_col) if time_col and time_col in ch.columns else F.lit(None).cast("timestamp")
+        t = F.col(time_col) if time_col and time_col in ch.columns else F.lit(None).cast("timestamp_ntz")
         parts.append(ch.agg(
             F.count_if((F.col("action") == "INSERT") & ~F.col("is_update")).alias("total_inserts"),
             F.count_if((F.col("action") == "INSERT") & F.col("is_update")).alias("total_updates"),
             F.count_if((F.col("action") == "DELETE") & ~F.col("is_update")).alias("total_deletes"),
-            F.max(t).cast("timestamp").alias("last_activity"))
+            F.max(t).cast("timestamp_ntz").alias("last_activity"))
             .select(F.lit(name).alias("stream_name"), "*"))
     out = parts[0]
     for p in parts[1:]:

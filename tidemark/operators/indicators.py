@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_avg, half_up, safe_div
-from ..functions.signals import technical_signal
+from ..functions.signals import technical_signal, ts_lit
 
 # A frame spec: (output name, builder(window) -> Column)
 FrameSpec = tuple[str, Callable[[Window], Column]]
@@ -30,7 +30,7 @@ FrameSpec = tuple[str, Callable[[Window], Column]]
 def _row_positions(df: DataFrame, key: str, order: str, tie: str | None,
                    grain: str) -> DataFrame:
     """Attach ``_pos`` = 0-based position of each row within its key."""
-    bucket = F.date_trunc(grain, F.col(order).cast("timestamp"))
+    bucket = F.date_trunc(grain, F.col(order).cast("timestamp_ntz"))
     with_b = df.withColumn("_bucket", bucket)
     counts = with_b.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -94,9 +94,14 @@ def int_price_metrics(stg_prices: DataFrame, short: int = 20, long: int = 50,
 
 
 def prev_value(df: DataFrame, value: str = "close_price", key: str = "ticker",
-               order: str = "price_date", out: str = "prev_close") -> DataFrame:
-    """LAG(value) per key by order (one Exchange + Sort, no frame buffer)."""
-    return df.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(order)))
+               order: str = "price_date", out: str = "prev_close", spread: bool = False,
+               tie: str | None = None) -> DataFrame:
+    """LAG(value) per key by order; ``spread`` cuts hot keys into runs with
+    a one-row halo, like the rolling frames."""
+    if not spread:
+        w = Window.partitionBy(key).orderBy(F.col(order), *([F.col(tie)] if tie else []))
+        return df.withColumn(out, F.lag(value).over(w))
+    return rolling(df, key, order, [(out, lambda w: F.lag(value).over(w))], 1, spread=True, tie=tie)
 
 
 def latest_per_key(df: DataFrame, key, order: str, tie: str | None = None) -> DataFrame:
@@ -113,7 +118,28 @@ def latest_per_key(df: DataFrame, key, order: str, tie: str | None = None) -> Da
     return best.select(*[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
-def dt_price_summary(metrics: DataFrame, now: _dt.datetime, spread_ok: bool = True) -> DataFrame:
+def last_n_per_key(df: DataFrame, n: int, key: str = "ticker", order: str = "price_date",
+                   tie: str | None = "price_id") -> DataFrame:
+    """The last ``n`` rows of every key.
+
+    ``row_number() <= n`` is planned as a WindowGroupLimit: every map task
+    keeps at most ``n`` rows per key before the shuffle, so a hot key sends
+    n rows per task, not all of its rows.
+    """
+    w = Window.partitionBy(key).orderBy(F.col(order).desc(), *([F.col(tie).desc()] if tie else []))
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
+def dt_price_summary_from_bars(stg_prices: DataFrame, now: _dt.datetime, short: int = 20,
+                               long: int = 50) -> DataFrame:
+    """Same rows as ``dt_price_summary(int_price_metrics(stg))``, computed
+    from each ticker's last ``long`` bars only: the latest bar's frames
+    never reach further back, so older history is not windowed at all."""
+    recent = last_n_per_key(stg_prices, max(short, long))
+    return dt_price_summary(int_price_metrics(recent, short, long), now)
+
+
+def dt_price_summary(metrics: DataFrame, now: _dt.datetime) -> DataFrame:
     """Latest bar per ticker with indicators and the technical signal."""
     latest = latest_per_key(metrics, "ticker", "price_date")
     return latest.select(
@@ -121,7 +147,7 @@ def dt_price_summary(metrics: DataFrame, now: _dt.datetime, spread_ok: bool = Tr
         "daily_return_pct", "ma_20d", "ma_50d", "ma_ratio_20_50", "volatility_20d",
         "sharpe_like_ratio",
         technical_signal("ma_ratio_20_50", "daily_return_pct").alias("technical_signal"),
-        F.lit(now).cast("timestamp").alias("_refreshed_at"))
+        ts_lit(now).alias("_refreshed_at"))
 
 
 def partition_count(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:

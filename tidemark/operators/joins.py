@@ -42,19 +42,21 @@ def event_window_join(events: DataFrame, bars: DataFrame, lo: int = 0, hi: int =
 
 
 def window_aggregates(keys: DataFrame, bars: DataFrame, lo: int, hi: int,
-                      aggs: Sequence[Column], how: str = "left", key: str = "ticker",
+                      aggs: Sequence[Column], key: str = "ticker",
                       event_date: str = "call_date", bar_date: str = "price_date",
                       value_cols: Sequence[str] = ("daily_return_pct",)) -> DataFrame:
     """Aggregate the bars of each distinct (key, event_date) window once.
 
     ``keys`` is reduced to distinct (key, event_date) first (partially
     aggregated), so the number of windows evaluated is bounded by tickers x
-    days, not by events. ``aggs`` may reference ``_days`` (bar_date minus
-    event_date) to restrict to a sub-window.
+    days, not by events. The join is inner, so the small key side can be
+    the broadcast (build) side while bars stream; windows without bars are
+    absent here and come back as NULLs when the caller left-joins its event
+    groups. ``aggs`` may reference ``_days`` (bar_date minus event_date).
     """
     k = keys.select(key, event_date).distinct()
     b = anchored_bars(bars.select(F.col(key).alias("_bk"), bar_date, *value_cols), lo, hi, bar_date)
     cond = (F.col(key) == F.col("_bk")) & (F.col(event_date) == F.col("_anchor"))
-    joined = (k.join(b, cond, how)
+    joined = (k.join(b, cond, "inner")
               .withColumn("_days", F.datediff(F.col(bar_date), F.col(event_date))))
     return joined.groupBy(key, event_date).agg(*aggs)

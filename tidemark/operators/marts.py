@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up, pct
 from ..functions.signals import (composite_score, prediction_accuracy, sentiment_label,
-                                 signal_direction)
+                                 signal_direction, ts_lit)
 from ..functions.text import pseudo_embedding
 from .indicators import latest_per_key
 from .joins import window_aggregates
@@ -27,7 +27,7 @@ def mart_earnings_summary(earnings: DataFrame, bars: DataFrame, days: int = 5) -
     g = earnings.select(*group).distinct()
     win = window_aggregates(g, bars, 0, days, [
         F.avg("daily_return_pct").alias("avg_5d_return"),
-        F.max(F.abs("daily_return_pct")).alias("max_daily_move")], how="left")
+        F.max(F.abs("daily_return_pct")).alias("max_daily_move")])
     j = g.join(win, ["ticker", "call_date"], "left")
     return j.select(
         "ticker", "company_name", "quarter", "fiscal_year", "call_date",
@@ -75,7 +75,7 @@ def mart_research_signals(metrics: DataFrame, earnings: DataFrame, filings: Data
          .alias("composite_signal_score"),
         signal_direction("ceo_sentiment", "high_risk_count", "sharpe_like_ratio")
          .alias("signal_direction"),
-        F.lit(now).cast("timestamp").alias("signal_generated_at"))
+        ts_lit(now).alias("signal_generated_at"))
 
 
 def mart_filing_dashboard(filings: DataFrame, high: float = 0.4, medium: float = 0.2) -> DataFrame:
@@ -112,7 +112,7 @@ def ml_sentiment_training(earnings: DataFrame, bars: DataFrame, now: _dt.datetim
     win = window_aggregates(g, bars, 1, top, [
         F.avg(F.when(F.col("_days") <= short, F.col("daily_return_pct"))).alias("r_short"),
         F.avg(F.when(F.col("_days") <= long, F.col("daily_return_pct"))).alias("r_long"),
-        F.max(F.abs("daily_return_pct")).alias("max_abs_return")], how="inner")
+        F.max(F.abs("daily_return_pct")).alias("max_abs_return")])
     j = g.join(win, ["ticker", "call_date"], "inner")
     return j.select(
         F.col("call_date").alias("event_date"), "ticker",
@@ -121,7 +121,7 @@ def ml_sentiment_training(earnings: DataFrame, bars: DataFrame, now: _dt.datetim
         half_up(F.coalesce("r_long", F.lit(0.0)), 6).alias("label_10d_return"),
         F.when(F.col("r_short") > cut, 1).otherwise(0).alias("label_positive_5d"),
         F.when(F.col("r_short") < -cut, 1).otherwise(0).alias("label_negative_5d"),
-        F.lit(now).cast("timestamp").alias("_training_snapshot_at"))
+        ts_lit(now).alias("_training_snapshot_at"))
 
 
 def ml_filing_embeddings(filings: DataFrame, now: _dt.datetime) -> DataFrame:
@@ -129,4 +129,4 @@ def ml_filing_embeddings(filings: DataFrame, now: _dt.datetime) -> DataFrame:
             .select("filing_id", "ticker", "filing_type", "filing_date", "item_type",
                     "risk_category", "sentiment_polarity",
                     pseudo_embedding("filing_id").alias("embedding_vector"),
-                    F.lit(now).cast("timestamp").alias("_embedded_at")))
+                    ts_lit(now).alias("_embedded_at")))

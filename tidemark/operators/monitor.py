@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up, pct, safe_div
-from ..functions.signals import hour_diff, minute_diff
+from ..functions.signals import hour_diff, minute_diff, ts_lit
 from .indicators import rolling_group_count, share_of_total
 
 
@@ -29,7 +29,7 @@ def freshness(tables: dict[str, tuple[DataFrame, str]], now: _dt.datetime) -> Da
     for name, (df, col) in tables.items():
         parts.append(df.agg(F.max(col).alias("latest_date"), F.count(F.lit(1)).alias("total_records"))
                      .select(F.lit(name).alias("source"), "latest_date",
-                             hour_diff(F.col("latest_date"), F.lit(now)).alias("hours_since_latest"),
+                             hour_diff(F.col("latest_date"), ts_lit(now)).alias("hours_since_latest"),
                              "total_records"))
     return _union(parts)
 
@@ -144,7 +144,7 @@ def signal_distribution(signals: DataFrame) -> DataFrame:
 
 
 def stale_signals(signals: DataFrame, now: _dt.datetime, hours: int = 24) -> DataFrame:
-    h = hour_diff(F.col("signal_generated_at"), F.lit(now))
+    h = hour_diff(F.col("signal_generated_at"), ts_lit(now))
     return (signals.select("ticker", "signal_generated_at", h.alias("hours_stale"))
             .filter(F.col("hours_stale") > hours))
 
@@ -177,13 +177,13 @@ def refresh_health(log: DataFrame, now: _dt.datetime, lags: dict[str, str] | Non
     else:
         out = out.withColumn("target_lag", F.lit(None).cast("string"))
     return out.select("table_name", "state", "target_lag", "last_refresh_time",
-                      minute_diff(F.col("last_refresh_time"), F.lit(now)).alias("minutes_since_refresh"))
+                      minute_diff(F.col("last_refresh_time"), ts_lit(now)).alias("minutes_since_refresh"))
 
 
 def refresh_stuck(log: DataFrame, now: _dt.datetime, hours: int = 6,
                   active_state: str = "FRONTEND_REFRESHING") -> DataFrame:
     h = refresh_health(log, now)
-    hs = hour_diff(F.col("last_refresh_time"), F.lit(now))
+    hs = hour_diff(F.col("last_refresh_time"), ts_lit(now))
     return (h.filter((F.col("state") != active_state) & (hs > hours))
             .select("table_name", "state", hs.alias("hours_since_refresh")))
 
@@ -197,13 +197,13 @@ def cdc_throughput(registry: DataFrame, counts: DataFrame) -> DataFrame:
 
 def cdc_inactive(registry: DataFrame, counts: DataFrame, now: _dt.datetime, hours: int = 24) -> DataFrame:
     t = cdc_throughput(registry, counts)
-    h = hour_diff(F.col("last_activity"), F.lit(now))
+    h = hour_diff(F.col("last_activity"), ts_lit(now))
     return (t.select("stream_name", "source_table", "last_activity", h.alias("hours_inactive"))
             .filter(F.col("hours_inactive") > hours))
 
 
 def job_history(log: DataFrame, now: _dt.datetime, hours: int = 24) -> DataFrame:
-    since = F.lit(now) - F.expr(f"INTERVAL {int(hours)} HOURS")
+    since = ts_lit(now) - F.expr(f"INTERVAL {int(hours)} HOURS")
     return (log.filter(F.col("completed_time") >= since)
             .select(F.col("name").alias("task_name"), "completed_time", "state", "error_code"))
 

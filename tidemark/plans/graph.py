@@ -14,6 +14,8 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.signals import ts_lit
+
 from ..functions import text as tx
 from ..functions.rules import REFERENCE, Lexicon
 from ..operators import enrich, indicators, marts, staging
@@ -50,7 +52,7 @@ def dt_earnings_sentiment(stg: DataFrame, now: _dt.datetime, lex: Lexicon = REFE
                     "speaker_name", "speaker_role", "transcript_text",
                     tx.sentiment_neutral(t, lex).alias("sentiment_score"),
                     tx.primary_theme(t, lex).alias("primary_theme"),
-                    F.lit(now).cast("timestamp").alias("_refreshed_at")))
+                    ts_lit(now).alias("_refreshed_at")))
 
 
 def dt_filing_risk_signals(cls: DataFrame, now: _dt.datetime) -> DataFrame:
@@ -59,7 +61,7 @@ def dt_filing_risk_signals(cls: DataFrame, now: _dt.datetime) -> DataFrame:
     return (indicators.partition_count(base, ["ticker", "filing_date"], "sections_per_filing")
             .select("ticker", "filing_type", "filing_date", "item_type", "risk_category",
                     "sentiment_polarity", "text_length", "word_count", "sections_per_filing",
-                    F.lit(now).cast("timestamp").alias("_refreshed_at")))
+                    ts_lit(now).alias("_refreshed_at")))
 
 
 class ModelGraph:
@@ -118,7 +120,9 @@ class ModelGraph:
             "ml_filing_embeddings": lambda: marts.ml_filing_embeddings(g("int_filing_classifications"), n),
             "dt_earnings_sentiment": lambda: dt_earnings_sentiment(g("stg_earnings_calls"), n, lex),
             "dt_filing_risk_signals": lambda: dt_filing_risk_signals(g("int_filing_classifications"), n),
-            "dt_price_summary": lambda: indicators.dt_price_summary(g("int_price_metrics"), n),
+            "dt_price_summary": lambda: (
+                indicators.dt_price_summary(g("int_price_metrics"), n) if "int_price_metrics" in self.overrides
+                else indicators.dt_price_summary_from_bars(g("stg_stock_prices"), n)),
         }
         if name not in builders:
             raise KeyError(f"unknown model {name!r}")

@@ -13,6 +13,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.signals import ts_lit
+
 # Evaluation clock used with the driver tables (fixed values).
 AS_OF = _dt.date(2024, 1, 31)
 NOW = _dt.datetime(2024, 1, 31, 12, 0, 0)
@@ -78,7 +80,7 @@ def prices_from_events(events: DataFrame) -> DataFrame:
         "price_date", "open_price", "high_price", "low_price", "close_price",
         F.col("close_price").alias("adj_close_price"),
         F.col("volume").cast("bigint").alias("volume"),
-        F.col("_loaded_at").cast("timestamp").alias("_loaded_at"),
+        F.col("_loaded_at").cast("timestamp_ntz").alias("_loaded_at"),
     )
 
 
@@ -102,7 +104,7 @@ def calls_from_conversations(conv: DataFrame) -> DataFrame:
         F.col("text").alias("transcript_text"),
         F.when(F.col("turn") % 3 == 0, F.lit(None).cast("double"))
          .otherwise(F.lit(0.9)).alias("confidence_score"),
-        F.lit(_dt.datetime(2024, 1, 31)).cast("timestamp").alias("_loaded_at"),
+        ts_lit(_dt.datetime(2024, 1, 31)).alias("_loaded_at"),
     )
 
 
@@ -122,7 +124,7 @@ def filings_from_documents(docs: DataFrame) -> DataFrame:
         F.col("source").alias("item_type"),
         (F.lit(1) + F.floor(F.col("n_chars") / 3000)).cast("bigint").alias("pages_count"),
         (F.lit(1) + F.floor(F.col("n_chars") / 100)).cast("bigint").alias("file_size_kb"),
-        F.lit(_dt.datetime(2024, 1, 31)).cast("timestamp").alias("_loaded_at"),
+        ts_lit(_dt.datetime(2024, 1, 31)).alias("_loaded_at"),
     )
 
 
@@ -152,7 +154,7 @@ def refresh_log_from_events(events: DataFrame) -> DataFrame:
     """A task/refresh run log: one run per event (name = event_type)."""
     return events.select(
         F.col("event_type").alias("name"),
-        F.col("ts").cast("timestamp").alias("completed_time"),
+        F.col("ts").cast("timestamp_ntz").alias("completed_time"),
         F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCEEDED").alias("state"),
         F.when(F.col("event_type") == "error",
                F.concat(F.lit("E"), F.col("event_id").cast("string"))).alias("error_code"),

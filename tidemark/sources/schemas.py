@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, D, TS, DB, I, L = (T.StringType(), T.DateType(), T.TimestampType(),
+S, D, TS, DB, I, L = (T.StringType(), T.DateType(), T.TimestampNTZType(),
                       T.DoubleType(), T.IntegerType(), T.LongType())
 
 

@@ -518,20 +518,23 @@ def _cdc_merge_upsert(spark, sf_dir):
 @register("cdc_stream_upsert", _UPSERT_SQL)
 def _cdc_stream_upsert(spark, sf_dir):
     """Streaming form: two change drops processed by a file-source stream
-    with availableNow; the final snapshot equals the batch upsert."""
+    with availableNow into key-bucketed versions (only touched buckets are
+    rewritten per micro-batch); the final snapshot equals the batch upsert."""
+    from tidemark.streaming.store import BucketedTable
     before, after = T(spark, sf_dir).cdc_pair()
     changes = cdc.cdc_changes(before, after, "o_orderkey")
     root = scratch_path(spark, "cdc_stream")
     src, target, ckpt, log = f"{root}/src", f"{root}/target", f"{root}/ckpt", f"{root}/event_log"
-    from tidemark.streaming.store import VersionedTable
-    VersionedTable(spark, target).write(before, 0)
+    store = BucketedTable(spark, target, "o_orderkey", 32)
+    store.create(before)
     drops = [changes.filter(~F.col("is_update")), changes.filter(F.col("is_update"))]
     schema = drops[0].schema
     for i, drop in enumerate(drops):       # each drop arrives, then the stream catches up
         drop.write.parquet(f"{src}/drop{i + 1}")
         cdc_stream.run_cdc_stream(spark, f"{src}/*", schema, target, "o_orderkey", _UPDATE_COLS, ckpt,
-                                  trigger={"availableNow": True}, log_path=log).awaitTermination()
-    return VersionedTable(spark, target).read()
+                                  trigger={"availableNow": True}, log_path=log,
+                                  buckets=32).awaitTermination()
+    return store.read()
 
 
 def _price_summary_body(raw: DataFrame) -> DataFrame:

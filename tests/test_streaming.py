@@ -57,3 +57,29 @@ def test_refresh_stream_recomputes_affected_tickers(spark):
                                f"{root}/ckpt", trigger={"availableNow": True}).awaitTermination()
     got = VersionedTable(spark, f"{root}/target").read()
     assert rows(got) == rows(body(bars))
+
+
+def test_bucketed_stream_rewrites_only_touched_buckets(spark):
+    from tidemark.streaming.store import BucketedTable
+    t = ad.DriverTables(spark, SF_SMALL)
+    before, after = t.cdc_pair()
+    changes = cdc.cdc_changes(before, after, "o_orderkey")
+    root = scratch_path(spark, "t_bucketed")
+    store = BucketedTable(spark, f"{root}/target", "o_orderkey", 16)
+    store.create(before)
+    upd = ["o_orderstatus", "o_totalprice"]
+    # one change row only: a single bucket is rewritten
+    one = changes.filter(F.col("action") == "INSERT").orderBy("o_orderkey").limit(1)
+    one.write.parquet(f"{root}/src/d0")
+    cdc_stream.run_cdc_stream(spark, f"{root}/src/*", changes.schema, f"{root}/target", "o_orderkey", upd,
+                              f"{root}/ckpt", trigger={"availableNow": True}, buckets=16).awaitTermination()
+    m0, m1 = store.manifest(0), store.manifest(1)
+    assert sum(1 for b in m1 if m1[b] == 1) == 1
+    assert all(m1[b] == 0 for b in m0 if m1[b] != 1)
+    expect = cdc.upsert(before, one, "o_orderkey", upd)
+    assert rows(store.read()) == rows(expect)
+    # the remaining changes arrive: same result as the batch upsert
+    changes.write.parquet(f"{root}/src/d1")
+    cdc_stream.run_cdc_stream(spark, f"{root}/src/*", changes.schema, f"{root}/target", "o_orderkey", upd,
+                              f"{root}/ckpt", trigger={"availableNow": True}, buckets=16).awaitTermination()
+    assert rows(store.read()) == rows(cdc.upsert(before, changes, "o_orderkey", upd))

@@ -251,3 +251,16 @@ def test_half_up_column_profile(spark):
     p = {r.column_name: r for r in quality.profile(df, exact=True).collect()}
     assert p["a"].mean_value == 2.0 and p["b"].null_count == 1 and p["a"].distinct_count == 2
     assert half_up
+
+
+def test_latest_price_metrics_equals_full_history(spark):
+    spec = [("A", D(2024, 1, 1) + dt.timedelta(days=i), 10.0 + i % 3, 10.0 + i % 4) for i in range(120)]
+    # ticker B: the last 60 closes are NULL, so its latest surviving metrics row is older
+    spec += [("B", D(2024, 1, 1) + dt.timedelta(days=i), 5.0, (5.0 + i % 2) if i < 60 else None)
+             for i in range(120)]
+    spec += [("C", D(2024, 3, 1), 1.0, 1.5)]
+    stg = staging.stg_stock_prices(bars(spark, spec), D(2025, 1, 1))
+    full = indicators.latest_per_key(indicators.int_price_metrics(stg), "ticker", "price_date")
+    fast = indicators.latest_price_metrics(stg)
+    assert rows(fast, full.columns) == rows(full)
+    assert {r.ticker: r.price_date for r in fast.collect()}["B"] == D(2024, 1, 1) + dt.timedelta(days=108)

@@ -47,7 +47,10 @@ def test_refresh_stream_recomputes_affected_tickers(spark):
     as_of, now = ad.AS_OF, ad.NOW
     root = scratch_path(spark, "t_refresh")
 
-    def body(raw):
+    def body(raw):            # production body: affected tickers' last 50 bars only
+        return indicators.dt_price_summary_from_bars(staging.stg_stock_prices(raw, as_of), now)
+
+    def batch(raw):           # the model definition: all bars windowed
         return indicators.dt_price_summary(indicators.int_price_metrics(staging.stg_stock_prices(raw, as_of)), now)
 
     cut = F.lit(dt.date(2024, 1, 20))
@@ -56,7 +59,7 @@ def test_refresh_stream_recomputes_affected_tickers(spark):
         refresh.refresh_stream(spark, body, f"{root}/base/*", bars.schema, f"{root}/target", ["ticker"],
                                f"{root}/ckpt", trigger={"availableNow": True}).awaitTermination()
     got = VersionedTable(spark, f"{root}/target").read()
-    assert rows(got) == rows(body(bars))
+    assert rows(got) == rows(batch(bars))
 
 
 def test_bucketed_stream_rewrites_only_touched_buckets(spark):

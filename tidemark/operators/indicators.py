@@ -130,13 +130,33 @@ def last_n_per_key(df: DataFrame, n: int, key: str = "ticker", order: str = "pri
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def latest_price_metrics(stg_prices: DataFrame, short: int = 20, long: int = 50,
+                         spread: bool = False) -> DataFrame:
+    """Latest row of ``int_price_metrics`` per ticker without windowing the
+    whole history.
+
+    The latest bar's frames reach back ``long`` rows at most, so its values
+    come from each ticker's last ``long`` bars. Exactness fallback: when all
+    closes of those bars are NULL the metrics model drops the latest bar and
+    the latest surviving row is older, so only those tickers (normally none)
+    are recomputed over their full history.
+    """
+    recent = last_n_per_key(stg_prices, max(short, long))
+    fast = latest_per_key(int_price_metrics(recent, short, long), "ticker", "price_date")
+    # tickers whose recent closes are all NULL (their latest bar has no long average)
+    missing = (recent.groupBy("ticker").agg(F.count("close_price").alias("_n"))
+               .filter(F.col("_n") == 0).select("ticker"))
+    slow_input = stg_prices.join(missing, "ticker", "left_semi")
+    slow = latest_per_key(int_price_metrics(slow_input, short, long, spread=spread),
+                          "ticker", "price_date")
+    return fast.unionByName(slow)
+
+
 def dt_price_summary_from_bars(stg_prices: DataFrame, now: _dt.datetime, short: int = 20,
                                long: int = 50) -> DataFrame:
-    """Same rows as ``dt_price_summary(int_price_metrics(stg))``, computed
-    from each ticker's last ``long`` bars only: the latest bar's frames
-    never reach further back, so older history is not windowed at all."""
-    recent = last_n_per_key(stg_prices, max(short, long))
-    return dt_price_summary(int_price_metrics(recent, short, long), now)
+    """Same rows as ``dt_price_summary(int_price_metrics(stg))``, from each
+    ticker's last ``long`` bars (see ``latest_price_metrics``)."""
+    return dt_price_summary(latest_price_metrics(stg_prices, short, long), now)
 
 
 def dt_price_summary(metrics: DataFrame, now: _dt.datetime) -> DataFrame:

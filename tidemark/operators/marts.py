@@ -55,14 +55,19 @@ def latest_role_call(earnings: DataFrame, role: str = "CEO") -> DataFrame:
 
 
 def mart_research_signals(metrics: DataFrame, earnings: DataFrame, filings: DataFrame,
-                          as_of: _dt.date, now: _dt.datetime, role: str = "CEO") -> DataFrame:
+                          as_of: _dt.date, now: _dt.datetime, role: str = "CEO",
+                          latest_metrics: DataFrame | None = None) -> DataFrame:
     """Latest bar per ticker + latest CEO sentiment + 30-day risk counts.
 
     All three inputs are reduced to one row per ticker before joining.
+    ``latest_metrics`` (one row per ticker, e.g. from
+    ``indicators.latest_price_metrics``) replaces the reduction of the full
+    ``metrics`` table when given.
     """
-    p = latest_per_key(metrics.select("ticker", "price_date", "close_price", "ma_20d", "ma_50d",
-                                      "volatility_20d", "sharpe_like_ratio"),
-                       "ticker", "price_date")
+    cols = ["ticker", "price_date", "close_price", "ma_20d", "ma_50d", "volatility_20d",
+            "sharpe_like_ratio"]
+    p = (latest_metrics.select(*cols) if latest_metrics is not None
+         else latest_per_key(metrics.select(*cols), "ticker", "price_date"))
     le = latest_role_call(earnings, role).select("ticker", F.col("sentiment_score").alias("ceo_sentiment"))
     rc = risk_counts(filings, as_of)
     j = p.join(le, "ticker", "left").join(rc, "ticker", "left")

@@ -47,7 +47,7 @@ def register(name: str, sql_text: str | None):
 _GRAPHS: dict = {}
 
 
-def G(spark, sf_dir, lex=FIXTURE, spread=False):
+def G(spark, sf_dir, lex=FIXTURE, spread=True):
     """The model graph for one session and input folder, built once: shared
     models (e.g. the filing classifications) are composed a single time."""
     key = (id(spark), sf_dir.rstrip("/"), id(lex), spread)
@@ -104,10 +104,16 @@ def _ml_filing_embeddings(spark, sf_dir):
 
 @register("int_price_metrics_spread", oq.model("int_price_metrics"))
 def _int_price_metrics_spread(spark, sf_dir):
-    """The skew-spreading rolling-window plan gives the same rows."""
+    """The skew-spreading rolling-window plan (the default) gives the same rows."""
     return G(spark, sf_dir, spread=True).get("int_price_metrics")
 
 
+@register("int_price_metrics_plain", oq.model("int_price_metrics"))
+def _int_price_metrics_plain(spark, sf_dir):
+    """The single-partition-per-ticker plan gives the same rows."""
+    return G(spark, sf_dir, spread=False).get("int_price_metrics")
+
+
 @register("stg_dedup", sql("""
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, _loaded_at FROM (
       SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY _loaded_at DESC) AS rn FROM (

@@ -79,6 +79,10 @@ def test_spread_windows_equal_plain(spark):
                                 run_rows=64)        # many runs per hot ticker, halos crossing runs
     cols = ["ticker", "price_date", "ma", "ml", "v"]
     assert rows(plain, cols) == rows(spread, cols)
+    # runs shorter than the halo, day buckets: halos then span several runs
+    tiny = indicators.rolling(stg, "ticker", "price_date", specs, 49, spread=True, tie="price_id",
+                              run_rows=10, grain="day")
+    assert rows(plain, cols) == rows(tiny, cols)
 
 
 def test_price_metrics_edges(spark):

@@ -5,11 +5,12 @@ strategies compute exactly the same values:
 
 * ``spread=False``: one ``Window.partitionBy(ticker)``; all frames share a
   single Exchange + Sort (cheapest when tickers are many and even).
-* ``spread=True``: a hot ticker is cut into fixed-size runs of consecutive
-  rows; every run is extended by the ``max_preceding`` rows before it (a
-  halo), so each run computes its frames independently in its own task and
-  no single task ever holds a whole ticker. Row positions come from counts
-  per (ticker, month), so no step sorts a full ticker either.
+* ``spread=True``: a hot ticker is cut into runs of consecutive months
+  (about ``run_rows`` rows each, decided on the small table of row counts
+  per (ticker, month)); every run also receives the months just before it
+  that hold its ``max_preceding`` halo rows, so each run computes its frames
+  independently in its own task and no task holds a whole ticker. Only one
+  full-data shuffle, as in the plain plan.
 """
 
 from __future__ import annotations
@@ -27,20 +28,31 @@ from ..functions.signals import technical_signal, ts_lit
 FrameSpec = tuple[str, Callable[[Window], Column]]
 
 
-def _row_positions(df: DataFrame, key: str, order: str, tie: str | None,
-                   grain: str) -> DataFrame:
-    """Attach ``_pos`` = 0-based position of each row within its key."""
+def _run_plan(df: DataFrame, key: str, order: str, max_preceding: int, run_rows: int,
+              grain: str) -> DataFrame:
+    """Per (key, time bucket): the run that owns its rows and the runs that
+    also need them as halo. Computed on the small bucket-count table only.
+
+    Runs are groups of whole buckets (a bucket = ``grain`` of the order
+    column) whose starting row position falls in the same ``run_rows``
+    stretch. A bucket is halo for every later run that starts less than
+    ``max_preceding`` rows after the bucket ends; such runs start within the
+    next ``max_preceding`` buckets, so a bounded frame collects them.
+    """
     bucket = F.date_trunc(grain, F.col(order).cast("timestamp_ntz"))
-    with_b = df.withColumn("_bucket", bucket)
-    counts = with_b.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    wb = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(key, "_bucket",
-                           F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_start"))
-    order_cols = [F.col(order)] + ([F.col(tie)] if tie else [])
-    wr = Window.partitionBy(key, "_bucket").orderBy(*order_cols)
-    return (with_b.join(starts, [key, "_bucket"])
-            .withColumn("_pos", F.col("_start") + F.row_number().over(wr) - 1)
-            .drop("_bucket", "_start"))
+    counts = df.groupBy(key, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(key).orderBy("_bucket")
+    b = (counts
+         .withColumn("_start", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                          F.lit(0)))
+         .withColumn("_run", F.floor(F.col("_start") / run_rows))
+         .withColumn("_first", F.col("_run") != F.coalesce(F.lag("_run").over(w), F.lit(-1))))
+    ahead = F.collect_list(F.struct("_start", "_run", "_first")).over(w.rowsBetween(1, max_preceding))
+    end_plus = F.col("_start") + F.col("_n") + F.lit(max_preceding)
+    halo_runs = F.transform(F.filter(ahead, lambda x: x["_first"] & (x["_start"] < end_plus)),
+                            lambda x: x["_run"])
+    return b.select(key, "_bucket", F.col("_run").alias("_own"),
+                    F.array_union(F.array(F.col("_run")), halo_runs).alias("_runs"))
 
 
 def rolling(df: DataFrame, key: str, order: str, specs: Sequence[FrameSpec],
@@ -50,15 +62,14 @@ def rolling(df: DataFrame, key: str, order: str, specs: Sequence[FrameSpec],
     if not spread:
         base = Window.partitionBy(key).orderBy(F.col(order), *([F.col(tie)] if tie else []))
         return df.select("*", *[build(base).alias(name) for name, build in specs])
-    pos = _row_positions(df, key, order, tie, grain)
-    run = F.floor(F.col("_pos") / run_rows)
-    in_halo = (F.col("_pos") % run_rows) >= (run_rows - max_preceding)
-    runs = F.when(in_halo, F.array(run, run + 1)).otherwise(F.array(run))
-    exploded = (pos.withColumn("_run", F.explode(runs))
-                .withColumn("_halo", F.col("_run") != run))
-    w = Window.partitionBy(key, "_run").orderBy("_pos")
+    plan = _run_plan(df, key, order, max_preceding, run_rows, grain)
+    bucket = F.date_trunc(grain, F.col(order).cast("timestamp_ntz"))
+    exploded = (df.withColumn("_bucket", bucket).join(plan, [key, "_bucket"])
+                .withColumn("_run", F.explode("_runs")))
+    w = Window.partitionBy(key, "_run").orderBy(F.col(order), *([F.col(tie)] if tie else []))
     out = exploded.select("*", *[build(w).alias(name) for name, build in specs])
-    return out.filter(~F.col("_halo")).drop("_pos", "_run", "_halo")
+    return (out.filter(F.col("_run") == F.col("_own"))
+            .drop("_bucket", "_own", "_runs", "_run"))
 
 
 def moving_avg(n: int, value: str = "close_price") -> Callable[[Window], Column]:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 import oracle_queries as oq
 from oracle_queries import AS_OF as SQL_AS_OF, NOW as SQL_NOW, hu, sql
 from tidemark.functions import text as tx
+from tidemark.functions.numeric import half_up
 from tidemark.functions.rules import FIXTURE, REFERENCE
 from tidemark.functions.signals import technical_signal, ts_lit
 from tidemark.operators import (alerts, cdc, embeddings, enrich, governance as gov, indicators,
@@ -239,6 +240,10 @@ def _sql_exact_avg(n):
             f"NULLIF(CAST(count(close_price) OVER ({w}) AS DOUBLE), 0)")
 
 
+def _rounded(c, d, name):
+    return half_up(c, d).alias(name)
+
+
 def _bars(spark, sf_dir):
     return G(spark, sf_dir).get("stg_stock_prices")
 
@@ -250,12 +255,7 @@ def _win_moving_avg(spark, sf_dir):
     f = indicators.rolling(_bars(spark, sf_dir), "ticker", "price_date",
                            [("a", indicators.moving_avg(20)), ("b", indicators.moving_avg(50))],
                            49, tie="price_id")
-    return f.select("ticker", "price_date", staging_round("a", 4, "ma_20d"), staging_round("b", 4, "ma_50d"))
-
-
-def staging_round(c, d, name):
-    from tidemark.functions.numeric import half_up
-    return half_up(c, d).alias(name)
+    return f.select("ticker", "price_date", _rounded("a", 4, "ma_20d"), _rounded("b", 4, "ma_50d"))
 
 
 @register("win_rolling_volatility", sql(
@@ -264,7 +264,7 @@ def staging_round(c, d, name):
 def _win_rolling_volatility(spark, sf_dir):
     f = indicators.rolling(_bars(spark, sf_dir), "ticker", "price_date",
                            [("v", indicators.rolling_stddev(20))], 19, tie="price_id")
-    return f.select("ticker", "price_date", staging_round("v", 6, "volatility_20d"))
+    return f.select("ticker", "price_date", _rounded("v", 6, "volatility_20d"))
 
 
 @register("win_prev_close", sql(
@@ -562,6 +562,29 @@ def _dt_price_summary_stream(spark, sf_dir):
     return VersionedTable(spark, f"{root}/target").read()
 
 
+@register("dt_filing_risk_signals_stream", oq.model("dt_filing_risk_signals"))
+def _dt_filing_risk_signals_stream(spark, sf_dir):
+    """Refresh stream keyed by (ticker, filing_date): a new filing section
+    recomputes only the section counts of its own filing day."""
+    from tidemark.plans.graph import dt_filing_risk_signals
+    from tidemark.streaming.store import VersionedTable
+    filings = T(spark, sf_dir).sec_filings
+    root = scratch_path(spark, "dt_filing_risk")
+
+    def body(raw):
+        stg = staging.stg_sec_filings(raw, AS_OF)
+        return dt_filing_risk_signals(enrich.int_filing_classifications(stg, FIXTURE), NOW)
+
+    cut = F.lit(_dt.date(2024, 1, 10))
+    drops = [filings.filter(F.col("filing_date") < cut), filings.filter(F.col("filing_date") >= cut)]
+    for i, drop in enumerate(drops):
+        drop.write.parquet(f"{root}/base/drop{i + 1}")
+        refresh.refresh_stream(spark, body, f"{root}/base/*", filings.schema, f"{root}/target",
+                               ["ticker", "filing_date"], f"{root}/ckpt",
+                               trigger={"availableNow": True}).awaitTermination()
+    return VersionedTable(spark, f"{root}/target").read()
+
+
 @register("dt_earnings_sentiment_stream", oq.model("dt_earnings_sentiment"))
 def _dt_earnings_sentiment_stream(spark, sf_dir):
     """Row-wise refreshed table as a stateless append stream."""
@@ -1221,7 +1244,6 @@ _PROFILE_COLS = ["open_price", "high_price", "low_price", "close_price", "adj_cl
     f"CAST(max({c}) AS DOUBLE) AS max_value, {hu(f'avg({c})', 6)} AS mean_value, "
     f"{hu(f'stddev_samp({c})', 6)} AS stddev_value FROM stock_prices" for c in _PROFILE_COLS), "stock_prices"))
 def _column_profile(spark, sf_dir):
-    from tidemark.functions.numeric import half_up
     p = quality.profile(T(spark, sf_dir).stock_prices, exact=True)
     return p.withColumns({"mean_value": half_up("mean_value", 6), "stddev_value": half_up("stddev_value", 6)})
 

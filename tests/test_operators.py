@@ -268,3 +268,20 @@ def test_latest_price_metrics_equals_full_history(spark):
     fast = indicators.latest_price_metrics(stg)
     assert rows(fast, full.columns) == rows(full)
     assert {r.ticker: r.price_date for r in fast.collect()}["B"] == D(2024, 1, 1) + dt.timedelta(days=108)
+
+
+def test_pandas_scorer_plugin(spark):
+    """A batch model plugged in through an iterator pandas UDF (loaded once
+    per task); the default path stays the JVM rule compiler."""
+    from tidemark.operators import enrich
+
+    def make_model():
+        return lambda texts: texts.str.len().astype("float64") / 100.0
+
+    df = spark.createDataFrame([("a", "x" * 50), ("b", "y" * 120)], "call_id string, transcript_text string")
+    got = {r.call_id: r.s for r in enrich.score_with_model(df, "transcript_text", "s",
+                                                           enrich.pandas_scorer(make_model)).collect()}
+    assert got == {"a": 0.5, "b": 1.2}
+    default = enrich.score_with_model(df.withColumn("transcript_text", F.lit("record revenue")),
+                                      "transcript_text", "s")
+    assert {r.s for r in default.collect()} == {0.85}

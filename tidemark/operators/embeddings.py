@@ -12,7 +12,6 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def embed_text(df: DataFrame, text_col: str, id_col: str, dim: int = 256,

@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from typing import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..functions.rules import REFERENCE, Lexicon
@@ -46,8 +46,6 @@ def pandas_scorer(make_model: Callable[[], Callable], return_type: str = "double
     ``make_model()`` runs once per task (iterator pandas UDF), and the model
     scores Arrow batches of texts (``pd.Series -> pd.Series``).
     """
-    import pandas as pd
-
     @F.pandas_udf(return_type)
     def _udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = make_model()
@@ -65,5 +63,3 @@ def score_with_model(df: DataFrame, text_col: str, out_col: str, scorer: Callabl
     scorer = scorer or rule_scorer()
     return scorer(df, text_col, key_col, out_col)
 
-
-SUMMARY_TYPE = T.StringType()

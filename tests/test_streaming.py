@@ -86,3 +86,25 @@ def test_bucketed_stream_rewrites_only_touched_buckets(spark):
     cdc_stream.run_cdc_stream(spark, f"{root}/src/*", changes.schema, f"{root}/target", "o_orderkey", upd,
                               f"{root}/ckpt", trigger={"availableNow": True}, buckets=16).awaitTermination()
     assert rows(store.read()) == rows(cdc.upsert(before, changes, "o_orderkey", upd))
+
+
+def test_event_log_idempotent_and_progress_monitor(spark):
+    from tidemark.operators import monitor
+    from tidemark.sources import sinks
+    from tidemark.streaming.progress import progress_log
+    root = scratch_path(spark, "t_log")
+    for _ in range(2):                                   # a replayed batch logs once
+        sinks.log_event(spark, f"{root}/log", "EARNINGS_CDC", {"batch_id": 0}, 5, key="b0-EARNINGS_CDC")
+    sinks.log_event(spark, f"{root}/log", "EARNINGS_PROCESSED", {"batch_id": 0}, 5, key="b0-EARNINGS_PROCESSED")
+    log = sinks.read_event_log(spark, f"{root}/log")
+    assert log.count() == 2 and set(log.columns) == {"event_id", "event_type", "event_time", "details",
+                                                      "records_affected"}
+    bars = ad.DriverTables(spark, SF_SMALL).stock_prices
+    bars.write.parquet(f"{root}/base")
+    q = refresh.append_stream(spark, lambda df: df.select("ticker", "price_date"), f"{root}/base",
+                              bars.schema, f"{root}/out", f"{root}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    prog = progress_log(spark, {"dt_price_summary": q})
+    health = monitor.refresh_health(prog, dt.datetime(2100, 1, 1), {"dt_price_summary": "1 minute"}).collect()
+    assert len(health) == 1 and health[0].state == "SUCCEEDED" and health[0].target_lag == "1 minute"
+    assert health[0].minutes_since_refresh > 0

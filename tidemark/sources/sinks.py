@@ -84,15 +84,24 @@ def event_rows(events: DataFrame, event_type, details, records_affected) -> Data
 
 
 def log_event(spark: SparkSession, target: str, event_type: str, details: dict | None,
-              records_affected: int = 0) -> None:
-    """Append one audit row (used from driver-side control flow such as a
-    ``foreachBatch`` body; the payload is one small row)."""
+              records_affected: int = 0, key: str | None = None) -> None:
+    """Write one audit row (used from driver-side control flow such as a
+    ``foreachBatch`` body; the payload is one small row).
+
+    With ``key`` (e.g. ``"b42-EARNINGS_CDC"``) the row replaces the log
+    partition of that key, so a replayed micro-batch does not log twice.
+    """
     one = spark.range(1).select(
         F.lit(event_type).alias("t"),
         F.lit(json.dumps(details) if details is not None else "null").alias("d"),
         F.lit(int(records_affected)).alias("n"))
-    append(event_rows(one, F.col("t"), F.col("d"), F.col("n")), target)
+    rows = event_rows(one, F.col("t"), F.col("d"), F.col("n"))
+    if key is None:
+        append(rows, target)
+    else:
+        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/_key={key}")
 
 
 def read_event_log(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target)
+    df = spark.read.parquet(target)
+    return df.drop("_key") if "_key" in df.columns else df

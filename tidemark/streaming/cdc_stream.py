@@ -41,13 +41,15 @@ def cdc_batch_body(spark: SparkSession, store: VersionedTable | BucketedTable, k
         n = inserts.count()
         if log_path:
             log_event(spark, log_path, detect_event,
-                      {"source": "change_stream", "action": "pending", "batch_id": batch_id}, n)
+                      {"source": "change_stream", "action": "pending", "batch_id": batch_id}, n,
+                      key=f"b{batch_id}-{detect_event}")
         if isinstance(store, BucketedTable):
             store.apply(version, inserts, merge)
         else:
             store.write(merge(store.read(store.latest(below=version)), inserts), version)
         if log_path:
-            log_event(spark, log_path, done_event, {"status": "completed", "batch_id": batch_id}, n)
+            log_event(spark, log_path, done_event, {"status": "completed", "batch_id": batch_id}, n,
+                      key=f"b{batch_id}-{done_event}")
     return body
 
 

@@ -83,8 +83,14 @@ class ModelGraph:
         self._memo: dict[str, DataFrame] = {}
 
     def with_overrides(self, overrides: dict[str, Override]) -> "ModelGraph":
+        """A scenario copy. Models upstream of (or unrelated to) the new
+        overrides are shared with this graph, so baseline and scenario plans
+        contain the very same sub-plans (Spark reuses their exchanges)."""
         merged = {**self.overrides, **overrides}
-        return ModelGraph(self.raw, self.as_of, self.now, self.lex, merged, self.spread)
+        g = ModelGraph(self.raw, self.as_of, self.now, self.lex, merged, self.spread)
+        affected = set(overrides) | {d for o in overrides for d in downstream(o)}
+        g._memo = {k: v for k, v in self._memo.items() if k not in affected}
+        return g
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.get(name)

@@ -436,6 +436,14 @@ def _scenario_stress(spark, sf_dir):
     return _counts_as_double(stressed.get("mart_research_signals"))
 
 
+@register("scenario_stress_script_factor", sql(_COUNTS_AS_DOUBLE, "mart_research_signals",
+                                              ctes=oq.CTES_STRESS_SCRIPT))
+def _scenario_stress_script(spark, sf_dir):
+    """The script's variant of the stress (score * 0.4 - 0.2)."""
+    stressed = scenario.stress_scenario(G(spark, sf_dir), 0.4, -0.2)
+    return _counts_as_double(stressed.get("mart_research_signals"))
+
+
 @register("scenario_compare", f"""
     SELECT a.ticker, a.composite_signal_score AS baseline, b.composite_signal_score AS stress_test,
            a.composite_signal_score - b.composite_signal_score AS delta
@@ -608,6 +616,25 @@ def _refresh_group(spark, sf_dir):
     return _counts_as_double(built["mart_research_signals"])
 
 
+@register("refresh_group_earnings", oq.model("mart_earnings_summary"))
+def _refresh_group_earnings(spark, sf_dir):
+    built = run_pipeline(G(spark, sf_dir), "earnings", scratch_path(spark, "refresh_earnings"))
+    return built["mart_earnings_summary"]
+
+
+@register("refresh_group_filings", oq.model("mart_filing_dashboard"))
+def _refresh_group_filings(spark, sf_dir):
+    built = run_pipeline(G(spark, sf_dir), "filings", scratch_path(spark, "refresh_filings"))
+    return built["mart_filing_dashboard"]
+
+
+@register("refresh_group_ml", oq.model("ml_sentiment_training"))
+def _refresh_group_ml(spark, sf_dir):
+    """The weekly ML group: filing embeddings and the training table."""
+    built = run_pipeline(G(spark, sf_dir), "ml", scratch_path(spark, "refresh_ml"))
+    return built["ml_sentiment_training"]
+
+
 # ======================================================================
 # 2.1 sources, sinks, layouts
 # ======================================================================

@@ -37,6 +37,13 @@ AS_OF, NOW = ad.AS_OF, ad.NOW
 
 _REG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
+# The two versions of the keyed CDC fixture (see adapters.cdc_pair_from_orders).
+_ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
+_BEFORE_SQL = f"SELECT {_ORDER_COLS} FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01 00:00:00'"
+_AFTER_SQL = (f"SELECT o_orderkey, o_custkey, o_orderstatus, "
+              f"CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, "
+              f"o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '1995-07-01 00:00:00'")
+
 
 def register(name: str, sql_text: str | None):
     def deco(fn):
@@ -115,16 +122,13 @@ def _int_price_metrics_plain(spark, sf_dir):
     return G(spark, sf_dir, spread=False).get("int_price_metrics")
 
 
-@register("stg_dedup", sql("""
+@register("stg_dedup", f"""
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, _loaded_at FROM (
       SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY _loaded_at DESC) AS rn FROM (
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
-               TIMESTAMP '2024-01-01 00:00:00' AS _loaded_at FROM orders WHERE o_orderkey % 10 <> 0
+        SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS _loaded_at FROM ({_BEFORE_SQL}) b
         UNION ALL
-        SELECT o_orderkey, o_custkey, o_orderstatus,
-               CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END,
-               o_orderpriority, TIMESTAMP '2024-01-02 00:00:00' FROM orders WHERE o_orderkey % 11 <> 0))
-    WHERE rn = 1"""))
+        SELECT *, TIMESTAMP '2024-01-02 00:00:00' AS _loaded_at FROM ({_AFTER_SQL}) a))
+    WHERE rn = 1""")
 def _stg_dedup(spark, sf_dir):
     """Two loads of the same keyed table; keep the latest row per key."""
     before, after = T(spark, sf_dir).cdc_pair()
@@ -458,11 +462,7 @@ def _scenario_compare(spark, sf_dir):
 # ======================================================================
 # 2.7 change capture and refresh
 # ======================================================================
-_ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
-_BEFORE = f"SELECT {_ORDER_COLS} FROM orders WHERE o_orderkey % 10 <> 0"
-_AFTER = (f"SELECT o_orderkey, o_custkey, o_orderstatus, "
-          f"CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, "
-          f"o_orderpriority FROM orders WHERE o_orderkey % 11 <> 0")
+_BEFORE, _AFTER = _BEFORE_SQL, _AFTER_SQL
 _DIFFERS = " OR ".join(f"b.{c} IS DISTINCT FROM a.{c}" for c in
                        ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
 _CDC_SQL = f"""

@@ -133,20 +133,25 @@ def vectors_from_embeddings(emb: DataFrame) -> DataFrame:
     return emb.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
 
 
+# Version boundaries of the keyed CDC fixture (fixed values).
+CDC_BEFORE_UNTIL = _dt.datetime(2001, 1, 1)    # the older version lacks the newest orders
+CDC_AFTER_FROM = _dt.datetime(1995, 7, 1)      # the newer version lacks the oldest orders
+
+
 def cdc_pair_from_orders(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two versions of one keyed table, both derived from all of ``orders``.
 
-    ``before`` lacks every 10th key, ``after`` lacks every 11th key and
-    re-prices every 7th: the diff between them exercises inserts, deletes
-    and updates over the whole table.
+    ``before`` is the table as of an earlier load (no orders dated from
+    2001 on); ``after`` is a later load in which orders before mid-1995 were
+    purged and open orders were re-priced: the diff exercises inserts,
+    deletes and updates across the whole table.
     """
-    k = F.col("o_orderkey")
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    base = orders.select(*cols)
-    before = base.filter(k % 10 != 0)
-    after = (base.filter(k % 11 != 0)
-             .withColumn("o_totalprice",
-                         F.when(k % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))))
+    day = F.col("o_orderdate").cast("timestamp_ntz")
+    before = orders.filter(day < ts_lit(CDC_BEFORE_UNTIL)).select(*cols)
+    after = (orders.filter(day >= ts_lit(CDC_AFTER_FROM)).select(*cols)
+             .withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") + 1)
+                         .otherwise(F.col("o_totalprice"))))
     return before, after
 
 

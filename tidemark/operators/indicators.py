@@ -30,8 +30,10 @@ FrameSpec = tuple[str, Callable[[Window], Column]]
 
 def _run_plan(df: DataFrame, key: str, order: str, max_preceding: int, run_rows: int,
               grain: str) -> DataFrame:
-    """Per (key, time bucket): the run that owns its rows and the runs that
-    also need them as halo. Computed on the small bucket-count table only.
+    """Per (key, time bucket) of the hot keys: the run that owns its rows and
+    the runs that also need them as halo. Computed on the small
+    bucket-count table only; keys with at most ``run_rows`` rows are left
+    out (one run), so the plan stays tiny and is broadcast by AQE.
 
     Runs are groups of whole buckets (a bucket = ``grain`` of the order
     column) whose starting row position falls in the same ``run_rows``
@@ -41,8 +43,11 @@ def _run_plan(df: DataFrame, key: str, order: str, max_preceding: int, run_rows:
     """
     bucket = F.date_trunc(grain, F.col(order).cast("timestamp_ntz"))
     counts = df.groupBy(key, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    # only keys longer than one run need a plan; every other key is run 0
+    hot = (counts.withColumn("_total", F.sum("_n").over(Window.partitionBy(key)))
+           .filter(F.col("_total") > run_rows).drop("_total"))
     w = Window.partitionBy(key).orderBy("_bucket")
-    b = (counts
+    b = (hot
          .withColumn("_start", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                           F.lit(0)))
          .withColumn("_run", F.floor(F.col("_start") / run_rows))
@@ -64,8 +69,9 @@ def rolling(df: DataFrame, key: str, order: str, specs: Sequence[FrameSpec],
         return df.select("*", *[build(base).alias(name) for name, build in specs])
     plan = _run_plan(df, key, order, max_preceding, run_rows, grain)
     bucket = F.date_trunc(grain, F.col(order).cast("timestamp_ntz"))
-    exploded = (df.withColumn("_bucket", bucket).join(plan, [key, "_bucket"])
-                .withColumn("_run", F.explode("_runs")))
+    exploded = (df.withColumn("_bucket", bucket).join(plan, [key, "_bucket"], "left")
+                .withColumn("_own", F.coalesce(F.col("_own"), F.lit(0).cast("bigint")))
+                .withColumn("_run", F.explode(F.coalesce(F.col("_runs"), F.array(F.lit(0).cast("bigint"))))))
     w = Window.partitionBy(key, "_run").orderBy(F.col(order), *([F.col(tie)] if tie else []))
     out = exploded.select("*", *[build(w).alias(name) for name, build in specs])
     return (out.filter(F.col("_run") == F.col("_own"))

@@ -991,6 +991,7 @@ _HEALTH_SQL = f"""
 
 @register("mon_refresh_health", f"""{_HEALTH_SQL}
     SELECT l.table_name, l.state, g.target_lag, l.last_refresh_time,
+           date_diff('second', l.last_refresh_time, {SQL_NOW}) AS seconds_since_last_refresh,
            date_diff('minute', l.last_refresh_time, {SQL_NOW}) AS minutes_since_refresh
     FROM latest l LEFT JOIN lags g USING (table_name)""")
 def _mon_refresh_health(spark, sf_dir):

@@ -77,3 +77,8 @@ def hour_diff(start, end) -> Column:
 def minute_diff(start, end) -> Column:
     a, b = _wall(start), _wall(ts_lit(end) if not isinstance(end, (Column, str)) else end)
     return hour_diff(a, b) * 60 + (F.minute(b) - F.minute(a)).cast("bigint")
+
+
+def second_diff(start, end) -> Column:
+    a, b = _wall(start), _wall(ts_lit(end) if not isinstance(end, (Column, str)) else end)
+    return minute_diff(a, b) * 60 + (F.second(b) - F.second(a)).cast("bigint")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up, pct, safe_div
-from ..functions.signals import hour_diff, minute_diff, ts_lit
+from ..functions.signals import hour_diff, minute_diff, second_diff, ts_lit
 from .indicators import rolling_group_count, share_of_total
 
 
@@ -177,6 +177,7 @@ def refresh_health(log: DataFrame, now: _dt.datetime, lags: dict[str, str] | Non
     else:
         out = out.withColumn("target_lag", F.lit(None).cast("string"))
     return out.select("table_name", "state", "target_lag", "last_refresh_time",
+                      second_diff(F.col("last_refresh_time"), ts_lit(now)).alias("seconds_since_last_refresh"),
                       minute_diff(F.col("last_refresh_time"), ts_lit(now)).alias("minutes_since_refresh"))
 
 

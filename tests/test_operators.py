@@ -285,3 +285,17 @@ def test_pandas_scorer_plugin(spark):
     default = enrich.score_with_model(df.withColumn("transcript_text", F.lit("record revenue")),
                                       "transcript_text", "s")
     assert {r.s for r in default.collect()} == {0.85}
+
+
+def test_embeddings_tfidf_and_model_plugin(spark):
+    from tidemark.operators import embeddings
+    df = spark.createDataFrame([("d1", "alpha beta beta"), ("d2", "gamma"), ("d3", "alpha gamma")],
+                               "doc string, text string")
+    tfidf = {r.doc: r.embedding for r in embeddings.embed_text(df, "text", "doc", dim=32).collect()}
+    assert all(len(v) == 32 for v in tfidf.values())
+    assert all(abs(sum(x * x for x in v) - 1.0) < 1e-9 for v in tfidf.values())   # L2-normalised
+
+    def make_model():
+        return lambda texts: [[float(len(t)), float(t.count("a"))] for t in texts]
+    got = {r.doc: r.embedding for r in embeddings.embed_with_model(df, "text", "doc", make_model).collect()}
+    assert got == {"d1": [15.0, 4.0], "d2": [5.0, 2.0], "d3": [11.0, 4.0]}

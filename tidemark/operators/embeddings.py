@@ -24,3 +24,24 @@ def embed_text(df: DataFrame, text_col: str, id_col: str, dim: int = 256,
     model = Pipeline(stages=[tok, tf, idf, nrm]).fit(df.select(id_col, text_col))
     out = model.transform(df.select(id_col, text_col))
     return out.select(id_col, vector_to_array("_vec").alias("embedding"))
+
+
+def embed_with_model(df: DataFrame, text_col: str, id_col: str, make_model) -> DataFrame:
+    """Embeddings from an external batch model (e.g. an ONNX session).
+
+    ``mapInPandas`` hands Arrow batches of (id, text) to the model, which is
+    created once per task by ``make_model()`` and maps a ``pd.Series`` of
+    texts to a sequence of vectors. Spark partitions the rows; nothing is
+    gathered on the driver.
+    """
+    import pandas as pd
+
+    id_type = df.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        model = make_model()
+        for pdf in batches:
+            vecs = model(pdf[text_col])
+            yield pd.DataFrame({id_col: pdf[id_col], "embedding": [list(map(float, v)) for v in vecs]})
+
+    return df.select(id_col, text_col).mapInPandas(run, f"{id_col} {id_type}, embedding array<double>")

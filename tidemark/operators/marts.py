@@ -84,12 +84,16 @@ def mart_research_signals(metrics: DataFrame, earnings: DataFrame, filings: Data
 
 
 def mart_filing_dashboard(filings: DataFrame, high: float = 0.4, medium: float = 0.2) -> DataFrame:
+    """Per (ticker, type, fiscal year, quarter). The average section length
+    uses the classification model's ``text_length`` (the length of the same
+    text), so a materialized intermediate is read without its text column."""
+    length = F.col("text_length") if "text_length" in filings.columns else F.length("section_text")
     g = (filings.groupBy("ticker", "filing_type", "fiscal_year", "fiscal_quarter")
          .agg(F.count(F.lit(1)).alias("total_filings"),
               F.count_if(F.col("risk_category") != "OPERATIONAL").alias("risk_flagged_filings"),
               F.count_if(F.col("sentiment_polarity") == "NEGATIVE").alias("negative_sections"),
               F.count_if(F.col("sentiment_polarity") == "POSITIVE").alias("positive_sections"),
-              F.avg(F.length("section_text")).alias("_avg_len")))
+              F.avg(length).alias("_avg_len")))
     flagged, total = F.col("risk_flagged_filings"), F.col("total_filings")
     # thresholds as exact decimals: flagged > total * 0.4 has no float edge
     hi, mid = F.lit(Decimal(str(high))), F.lit(Decimal(str(medium)))

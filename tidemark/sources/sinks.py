@@ -21,12 +21,13 @@ def append(df: DataFrame, target: str) -> None:
 
 
 def materialize(df: DataFrame, name: str, kind: str = "table", layer: str | None = None,
-                root: str | None = None) -> DataFrame:
+                root: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
     """Persist a model.
 
     * ``view``: a temp view over the lazy plan (recomputed per use);
-    * ``table``: written to ``root/layer/name`` and re-read, which cuts the
-      lineage (the written table survives lost executors);
+    * ``table``: written to ``root/layer/name`` (optionally partitioned by
+      ``partition_by``) and re-read, which cuts the lineage (the written
+      table survives lost executors);
     * ``inline``: the DataFrame itself (ephemeral model).
     """
     if kind == "inline":
@@ -40,7 +41,10 @@ def materialize(df: DataFrame, name: str, kind: str = "table", layer: str | None
     if root is None:
         raise ValueError("a table needs a root folder")
     path = f"{root.rstrip('/')}/{layer or 'staging'}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:                      # e.g. a date column: later date filters prune folders
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     return spark.read.parquet(path)
 
 

@@ -98,15 +98,15 @@ def score_outliers(df: DataFrame, col: str, z: float = 3.0,
                    keep: Sequence[str] = ("call_id", "ticker", "call_date")) -> DataFrame:
     """Rows more than ``z`` sample standard deviations from the mean.
 
-    Mean and deviation are scalar subqueries: one aggregate job, then two
-    constants inlined into a single filtering scan (no join at all).
+    Mean and deviation come from one scalar subquery (a single aggregate
+    pass returning a struct); the filtering scan then sees two constants,
+    with no join at all.
     """
-    stats = df.agg(F.avg(col).alias("m"), F.stddev_samp(col).alias("s"))
-    m = stats.select("m").scalar()
-    s = stats.select("s").scalar()
-    zc = F.abs(F.col(col) - m) / F.when(s != 0, s)
-    return (df.filter(zc > z)
-            .select(*keep, col, half_up(zc, 2).alias("z_score")))
+    stats = df.agg(F.struct(F.avg(col).alias("m"), F.stddev_samp(col).alias("s")).alias("st"))
+    st = stats.scalar()
+    scored = df.withColumn("_z", F.abs(F.col(col) - st["m"]) / F.when(st["s"] != 0, st["s"]))
+    return (scored.filter(F.col("_z") > z)
+            .select(*keep, col, half_up("_z", 2).alias("z_score")))
 
 
 def category_distribution(df: DataFrame, col: str = "risk_category") -> DataFrame:

@@ -108,3 +108,15 @@ def test_event_log_idempotent_and_progress_monitor(spark):
     health = monitor.refresh_health(prog, dt.datetime(2100, 1, 1), {"dt_price_summary": "1 minute"}).collect()
     assert len(health) == 1 and health[0].state == "SUCCEEDED" and health[0].target_lag == "1 minute"
     assert health[0].minutes_since_refresh > 0
+
+
+def test_restrict_to_keys_pushdown_and_fallback(spark):
+    from tidemark.streaming.refresh import restrict_to_keys
+    bars = ad.DriverTables(spark, SF_SMALL).stock_prices
+    affected = bars.select("ticker").distinct().orderBy("ticker").limit(3)
+    small = restrict_to_keys(bars, affected, ["ticker"], max_pushdown=10)
+    assert "In(ticker" in small._jdf.queryExecution().optimizedPlan().toString() or \
+        "IN" in small._jdf.queryExecution().optimizedPlan().toString().upper()
+    big = restrict_to_keys(bars, affected, ["ticker"], max_pushdown=2)         # beyond the bound
+    cols = bars.columns
+    assert rows(small, cols) == rows(big, cols) == rows(bars.join(affected, "ticker", "left_semi"), cols)

@@ -299,3 +299,19 @@ def test_embeddings_tfidf_and_model_plugin(spark):
         return lambda texts: [[float(len(t)), float(t.count("a"))] for t in texts]
     got = {r.doc: r.embedding for r in embeddings.embed_with_model(df, "text", "doc", make_model).collect()}
     assert got == {"d1": [15.0, 4.0], "d2": [5.0, 2.0], "d3": [11.0, 4.0]}
+
+
+def test_pipeline_quality_gate_stops_before_staging(spark):
+    from conftest import SF_SMALL
+    from tidemark.functions.rules import FIXTURE
+    from tidemark.plans.graph import graph_from_driver
+    from tidemark.plans.pipeline import run_pipeline
+    from tidemark.session import scratch_path
+    g = graph_from_driver(spark, SF_SMALL, FIXTURE)
+    root = scratch_path(spark, "t_gate")
+    # driver tickers look like 'U12' (digits), so the ticker regex expectation fails
+    with pytest.raises(quality.QualityGateError):
+        run_pipeline(g, "filings", root, gate=quality.SUITES)
+    passing = {"sec_filings": [quality.Check("not_null", "filing_id")]}
+    built = run_pipeline(g, "filings", root, gate=passing)
+    assert built["mart_filing_dashboard"].count() > 0

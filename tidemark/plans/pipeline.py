@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..operators import quality
 from ..sources.sinks import materialize
-from .graph import DEPENDS, ModelGraph, topo_order
+from .graph import DEPENDS, RAW, ModelGraph, topo_order
 
 # Refresh groups: (first model, last model), fixed values.
 GROUPS = {
@@ -46,8 +47,16 @@ def group_models(group: str) -> list[str]:
     return topo_order(sorted(names))
 
 
-def run_pipeline(graph: ModelGraph, group: str, root: str) -> dict[str, DataFrame]:
-    """Materialize every model of the group; returns the re-read tables."""
+def run_pipeline(graph: ModelGraph, group: str, root: str,
+                 gate: dict[str, list] | None = None) -> dict[str, DataFrame]:
+    """Materialize every model of the group; returns the re-read tables.
+
+    ``gate`` (e.g. ``quality.SUITES``) validates the raw inputs first and
+    raises ``QualityGateError`` before anything is staged if a check fails.
+    """
+    if gate:
+        raws = {name: graph.get(name) for name in RAW if name in gate}
+        quality.quality_gate(quality.validate_all(raws, gate), raise_on_fail=True)
     built: dict[str, DataFrame] = {}
     g = graph
     for name in group_models(group):

@@ -23,8 +23,12 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
     session does not name one already.
     """
     parts = shuffle_partitions or (int(cpus) if str(cpus).isdigit() else 8)
+    builder = SparkSession.builder
+    event_dir = os.environ.get("TIDEMARK_EVENT_LOG_DIR")
+    if event_dir:                       # stage/task timings, read offline (no UI)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -315,3 +315,22 @@ def test_pipeline_quality_gate_stops_before_staging(spark):
     passing = {"sec_filings": [quality.Check("not_null", "filing_id")]}
     built = run_pipeline(g, "filings", root, gate=passing)
     assert built["mart_filing_dashboard"].count() > 0
+
+
+def test_csv_round_trip_with_quotes_commas_newlines(spark):
+    from tidemark.session import scratch_path
+    from tidemark.sources import files
+    text = 'He said "growth, margin", then\nleft; ends with comma,'
+    df = calls(spark, [{"call_id": "EC-1", "ticker": "AAPL", "call_date": D(2025, 1, 1), "speaker_role": "CEO",
+                        "transcript_text": text, "confidence_score": 0.9,
+                        "_loaded_at": dt.datetime(2025, 1, 2, 3, 4, 5)},
+                       {"call_id": "EC-2", "ticker": "MSFT", "call_date": D(2025, 1, 2), "speaker_role": "CFO",
+                        "transcript_text": "", "confidence_score": None}])
+    path = scratch_path(spark, "t_csv")
+    files.write_csv(df, path)
+    back = files.load_csv(spark, path, schemas.EARNINGS_CALLS)
+    assert rows(back) == rows(df)
+    filled = files.with_defaults(back, {"confidence_score": 0.85, "_loaded_at": "now"})
+    got = {r.call_id: r for r in filled.collect()}
+    assert got["EC-2"].confidence_score == 0.85 and got["EC-2"]._loaded_at is not None
+    assert got["EC-1"]._loaded_at == dt.datetime(2025, 1, 2, 3, 4, 5)

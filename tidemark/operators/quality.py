@@ -1,4 +1,4 @@
-"""Data-quality expectations, suites, gate, profile and dbt-style tests.
+"""Data-quality expectations, suites, gate, profile and column tests.
 
 A suite compiles to **one** aggregate over its table for all row-level
 checks (plus one grouped aggregate per uniqueness check), then the single
@@ -213,7 +213,7 @@ def profile(df: DataFrame, exact: bool = False, columns: Sequence[str] | None =
 
 
 def test_unique(df: DataFrame, col: str) -> DataFrame:
-    """dbt unique: offending values with their multiplicity."""
+    """Column uniqueness test: offending values with their multiplicity."""
     return (df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n_records"))
             .filter(F.col("n_records") > 1))
 

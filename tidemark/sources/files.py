@@ -15,15 +15,22 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',          # RFC 4180: a quote inside a quoted field is doubled
     "multiLine": "true",    # quoted fields may span lines
+    "ignoreLeadingWhiteSpace": "false",    # keep values byte for byte (the writer
+    "ignoreTrailingWhiteSpace": "false",   # would otherwise trim them)
     "mode": "FAILFAST",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
     "dateFormat": "yyyy-MM-dd",
 }
 
 
+# Reading only: an empty unquoted field is NULL (parser default) while a
+# quoted "" stays an empty string; no real value equals this sentinel.
+READ_NULL_SENTINEL = "\u0000"
+
+
 def load_csv(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
     """Read CSV into a declared schema (never inferred; bad rows fail)."""
-    opts = {**CSV_OPTIONS, **options}
+    opts = {**CSV_OPTIONS, "nullValue": READ_NULL_SENTINEL, **options}
     return spark.read.schema(schema).options(**opts).csv(path)
 
 

@@ -334,3 +334,19 @@ def test_csv_round_trip_with_quotes_commas_newlines(spark):
     got = {r.call_id: r for r in filled.collect()}
     assert got["EC-2"].confidence_score == 0.85 and got["EC-2"]._loaded_at is not None
     assert got["EC-1"]._loaded_at == dt.datetime(2025, 1, 2, 3, 4, 5)
+
+
+def test_write_clustered_gives_disjoint_file_ranges(spark):
+    from conftest import SF_SMALL
+    from tidemark.session import scratch_path
+    from tidemark.sources import adapters as ad, sinks
+    bars = ad.DriverTables(spark, SF_SMALL).stock_prices
+    path = scratch_path(spark, "t_cluster")
+    sinks.write_clustered(bars, path, ["ticker", "price_date"], num_partitions=4)
+    back = spark.read.parquet(path)
+    assert rows(back, bars.columns) == rows(bars)
+    ranges = sorted((r.lo, r.hi) for r in back.groupBy(F.input_file_name().alias("f"))
+                    .agg(F.min(F.struct("ticker", "price_date")).alias("lo"),
+                         F.max(F.struct("ticker", "price_date")).alias("hi")).collect())
+    assert len(ranges) > 1
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))      # no overlap between files

@@ -482,6 +482,13 @@ def _cdc_changes(spark, sf_dir):
     return cdc.cdc_changes(before, after, "o_orderkey")
 
 
+@register("cdc_changes_fingerprint", _CDC_SQL)
+def _cdc_changes_fingerprint(spark, sf_dir):
+    """Wide-row variant: only (key, row fingerprint) is shuffled to classify."""
+    before, after = T(spark, sf_dir).cdc_pair()
+    return cdc.cdc_changes_fingerprint(before, after, "o_orderkey")
+
+
 # Domain-table versions: "before" is the table as loaded before a cut-off
 # date, "after" the whole table (the next day's load arrived).
 _CUTS = {"raw_earnings_stream": ("earnings_calls", "call_id", "call_date", _dt.date(2024, 1, 20)),

@@ -350,3 +350,20 @@ def test_write_clustered_gives_disjoint_file_ranges(spark):
                          F.max(F.struct("ticker", "price_date")).alias("hi")).collect())
     assert len(ranges) > 1
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))      # no overlap between files
+
+
+def test_cdc_fingerprint_equals_struct_diff(spark):
+    from conftest import SF_SMALL
+    from tidemark.sources import adapters as ad
+    A = _orders(spark, [(1, "x", 1.0), (2, "y", None), (3, "z", 3.0), (5, None, 5.0)])
+    B = _orders(spark, [(1, "x", 1.0), (2, "y", 2.0), (4, "w", 4.0), (5, None, 5.0)])
+    cols = ["k", "a", "b", "action", "is_update"]
+    assert rows(cdc.cdc_changes_fingerprint(A, B, "k"), cols) == rows(cdc.cdc_changes(A, B, "k"), cols)
+    calls_ = ad.DriverTables(spark, SF_SMALL).earnings_calls                 # wide text rows
+    before = calls_.filter(F.col("call_date") < F.lit(D(2024, 1, 15)))
+    after = calls_.withColumn("transcript_text", F.when(F.col("speaker_role") == "CEO",
+                                                        F.concat("transcript_text", F.lit(" (rev)")))
+                              .otherwise(F.col("transcript_text")))
+    c1 = cdc.cdc_changes_fingerprint(before, after, "call_id")
+    c2 = cdc.cdc_changes(before, after, "call_id")
+    assert rows(c1, c2.columns) == rows(c2)

@@ -54,7 +54,9 @@ def schema_snapshot(df: DataFrame, name: str) -> DataFrame:
     fields = df.schema.fields
     counts = df.agg(F.count(F.lit(1)).alias("_n"),
                     *[F.count(F.col(f.name)).alias(f"_c{i}") for i, f in enumerate(fields)])
-    rows = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', {str(f.nullable).lower()}, _c{i}"
+    def lit(v: str) -> str:
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    rows = ", ".join(f"{lit(f.name)}, {lit(f.dataType.simpleString())}, {str(f.nullable).lower()}, _c{i}"
                      for i, f in enumerate(fields))
     stacked = counts.selectExpr(
         "_n", f"stack({len(fields)}, {rows}) AS (column_name, data_type, is_nullable, non_null_count)")

@@ -22,7 +22,7 @@ from ..operators import enrich, indicators, marts, staging
 
 Override = Callable[[DataFrame], DataFrame]
 
-# Upstream models of each model (the reference's ref()/source() edges).
+# Upstream models of each model (the dependency edges of the model DAG).
 DEPENDS = {
     "stg_earnings_calls": ["earnings_calls"],
     "stg_sec_filings": ["sec_filings"],

@@ -706,6 +706,25 @@ def _sink_event_log(spark, sf_dir):
         "event_id", "event_type", "event_time", F.to_json("details").alias("details"), "records_affected")
 
 
+@register("sink_event_log_content", f"""
+    SELECT 'CDC_' || action AS event_type,
+           to_json({{'action': action, 'is_update': is_update}}) AS details,
+           count(*) AS records_affected
+    FROM ({_CDC_SQL}) c GROUP BY action, is_update""")
+def _sink_event_log_content(spark, sf_dir):
+    """The event-log sink read back, deterministic columns only (the id is a
+    random UUID and the time the load time): type, VARIANT details as JSON,
+    row count."""
+    before, after = T(spark, sf_dir).cdc_pair()
+    counts = (cdc.cdc_changes(before, after, "o_orderkey").groupBy("action", "is_update")
+              .agg(F.count(F.lit(1)).alias("n")))
+    target = scratch_path(spark, "event_log_content")
+    sinks.append(sinks.event_rows(counts, F.concat(F.lit("CDC_"), F.col("action")),
+                                  F.to_json(F.struct("action", "is_update")), F.col("n")), target)
+    return sinks.read_event_log(spark, target).select(
+        "event_type", F.to_json("details").alias("details"), "records_affected")
+
+
 # ======================================================================
 # 2.8 governance
 # ======================================================================

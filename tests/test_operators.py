@@ -367,3 +367,35 @@ def test_cdc_fingerprint_equals_struct_diff(spark):
     c1 = cdc.cdc_changes_fingerprint(before, after, "call_id")
     c2 = cdc.cdc_changes(before, after, "call_id")
     assert rows(c1, c2.columns) == rows(c2)
+
+
+def test_hot_ticker_is_split_into_bounded_runs(spark):
+    """A ticker with a third of all rows: every window partition of the
+    spread plan stays within run_rows + one bucket + the halo."""
+    n_hot, n_cold_tickers, per_cold = 30000, 200, 300          # hot = 1/3 of 90k rows
+    start = D(1950, 1, 1)
+    hot = spark.range(n_hot).select(F.lit("HOT").alias("ticker"),
+                                    F.date_add(F.lit(start), F.col("id").cast("int")).alias("price_date"),
+                                    (F.col("id") % 97 + 1).cast("double").alias("close_price"))
+    cold = spark.range(n_cold_tickers * per_cold).select(
+        F.concat(F.lit("C"), (F.col("id") % n_cold_tickers).cast("string")).alias("ticker"),
+        F.date_add(F.lit(start), (F.col("id") / n_cold_tickers).cast("int")).alias("price_date"),
+        (F.col("id") % 89 + 1).cast("double").alias("close_price"))
+    df = hot.unionByName(cold).withColumn("price_id", F.concat("ticker", F.lit("-"), F.col("price_date").cast("string")))
+    run_rows, halo = 4000, 49
+    plan = indicators._run_plan(df, "ticker", "price_date", halo, run_rows, "month")
+    sizes = (df.withColumn("_bucket", F.date_trunc("month", F.col("price_date").cast("timestamp_ntz")))
+             .join(plan, ["ticker", "_bucket"], "left")
+             .withColumn("_run", F.explode(F.coalesce("_runs", F.array(F.lit(0).cast("bigint")))))
+             .groupBy("ticker", "_run").count())
+    hot_parts = [r["count"] for r in sizes.filter(F.col("ticker") == "HOT").collect()]
+    assert len(hot_parts) >= n_hot // run_rows                    # the hot ticker is spread out
+    assert max(hot_parts) <= run_rows + 31 + halo + 31             # run + one month + halo months
+    assert plan.select("ticker").distinct().count() == 1           # only the hot ticker is planned
+    specs = [("ma", indicators.moving_avg(50))]
+    plain = indicators.rolling(df, "ticker", "price_date", specs, 49, tie="price_id")
+    spread = indicators.rolling(df, "ticker", "price_date", specs, 49, spread=True, tie="price_id",
+                                run_rows=run_rows)
+    cols = ["ticker", "price_date", "ma"]
+    assert plain.select(cols).exceptAll(spread.select(cols)).count() == 0
+    assert spread.count() == df.count()

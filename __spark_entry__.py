@@ -11,9 +11,16 @@ their oracle is the SQL of the same content.
 from __future__ import annotations
 
 import datetime as _dt
+import os
+import sys
 from collections.abc import Callable
 from functools import reduce
 
+# importable however this file is loaded (by module name or by file path)
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

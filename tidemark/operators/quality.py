@@ -112,29 +112,58 @@ def _row_level(df: DataFrame, c: Check) -> tuple[Column, Column | None]:
 
 
 def validate(df: DataFrame, table: str, suite: Sequence[Check]) -> DataFrame:
-    """One row per check: table, expectation, column, evaluated, unexpected, success."""
-    aggs, stack_rows = [], []
-    for i, c in enumerate(suite):
-        if c.kind == "unique":
-            continue
+    """One row per check: table, expectation, column, evaluated, unexpected, success.
+
+    One pass over the table: without a uniqueness check, one global
+    aggregate; with one, the table is grouped by that column with every
+    row-level counter as a partial sum per value (map-side combined), and a
+    second, tiny aggregate adds them up and counts the duplicated rows.
+    Further uniqueness checks take one grouped pass each.
+    """
+    row_checks = [(i, c) for i, c in enumerate(suite) if c.kind != "unique"]
+    uniques = [(i, c) for i, c in enumerate(suite) if c.kind == "unique"]
+    first_unique = uniques[0] if uniques else None
+
+    def counters(i: int, c: Check):
         ev, un = _row_level(df, c)
-        aggs += [ev.cast("bigint").alias(f"_e{i}"),
-                 (un if un is not None else F.lit(None)).cast("bigint").alias(f"_u{i}")]
-        if c.kind == "row_count":
-            ok = f"_e{i} BETWEEN {int(c.lo)} AND {int(c.hi)}"
-        else:
-            ok = f"_u{i} = 0"
+        return ev, un
+
+    parts = []
+    stack_rows = []
+    for i, c in row_checks:
+        ok = f"_e{i} BETWEEN {int(c.lo)} AND {int(c.hi)}" if c.kind == "row_count" else f"_u{i} = 0"
         col = f"'{c.column}'" if c.column else "CAST(NULL AS STRING)"
         stack_rows.append(f"{i}, '{c.expectation}', {col}, _e{i}, _u{i}, {ok}")
-    parts = []
-    if stack_rows:
+    if first_unique is None:
+        aggs = []
+        for i, c in row_checks:
+            ev, un = counters(i, c)
+            aggs += [ev.cast("bigint").alias(f"_e{i}"),
+                     (un if un is not None else F.lit(None)).cast("bigint").alias(f"_u{i}")]
         one = df.agg(*aggs)
-        parts.append(one.selectExpr(
-            f"stack({len(stack_rows)}, {', '.join(stack_rows)}) "
-            "AS (check_index, expectation, column_name, evaluated, unexpected, success)"))
-    for i, c in enumerate(suite):
-        if c.kind != "unique":
-            continue
+    else:
+        ui, uc = first_unique
+        x = F.col(uc.column)
+        per_value = [F.count(F.lit(1)).alias("_n")]
+        for i, c in row_checks:
+            ev, un = counters(i, c)
+            per_value += [ev.cast("bigint").alias(f"_pe{i}"),
+                          (un if un is not None else F.lit(0)).cast("bigint").alias(f"_pu{i}")]
+        grouped = df.groupBy(x.alias("_key")).agg(*per_value)
+        valued = F.col("_key").isNotNull()
+        totals = [F.coalesce(F.sum(F.when(valued, F.col("_n"))), F.lit(0)).cast("bigint").alias(f"_e{ui}"),
+                  F.coalesce(F.sum(F.when(valued & (F.col("_n") > 1), F.col("_n"))), F.lit(0))
+                  .cast("bigint").alias(f"_u{ui}")]
+        for i, c in row_checks:
+            totals += [F.coalesce(F.sum(f"_pe{i}"), F.lit(0)).cast("bigint").alias(f"_e{i}"),
+                       (F.lit(None).cast("bigint") if c.kind == "row_count"
+                        else F.coalesce(F.sum(f"_pu{i}"), F.lit(0)).cast("bigint")).alias(f"_u{i}")]
+        one = grouped.agg(*totals)
+        stack_rows.append(f"{ui}, '{uc.expectation}', '{uc.column}', _e{ui}, _u{ui}, _u{ui} = 0")
+    parts.append(one.selectExpr(
+        f"stack({len(stack_rows)}, {', '.join(stack_rows)}) "
+        "AS (check_index, expectation, column_name, evaluated, unexpected, success)"))
+    for i, c in uniques[1:]:
         x = F.col(c.column)
         dup = (df.filter(x.isNotNull()).groupBy(x).agg(F.count(F.lit(1)).alias("_n")))
         stats = dup.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("evaluated"),

@@ -1,5 +1,6 @@
 """Every registered query against its DuckDB oracle on the smallest driver
-tables (the driver repeats this at sf0.01)."""
+tables (the driver repeats this at sf0.01; set TIDEMARK_PARITY_SF to a
+driver folder, e.g. /root/testdata/sf0.01, to run it there)."""
 
 import os
 import sys
@@ -8,11 +9,12 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from conftest import SF_SMALL  # noqa: E402
+from conftest import SF_SMALL as _DEFAULT_SF  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
+SF_SMALL = os.environ.get("TIDEMARK_PARITY_SF", _DEFAULT_SF)
 NAMES = sorted(E.queries())
 
 

@@ -399,3 +399,12 @@ def test_hot_ticker_is_split_into_bounded_runs(spark):
     cols = ["ticker", "price_date", "ma"]
     assert plain.select(cols).exceptAll(spread.select(cols)).count() == 0
     assert spread.count() == df.count()
+
+
+def test_schema_drift_detects_each_change(spark):
+    from tidemark.operators import monitor
+    old = spark.createDataFrame([(1, "a", 1.0)], "id long, name string, score double")
+    new = spark.createDataFrame([(1, 2, 3)], "id long, score int, extra int").withColumn("id", F.lit(1).cast("long"))
+    drift = {r.column_name: r.change for r in monitor.schema_drift(
+        monitor.schema_snapshot(new, "t"), monitor.schema_snapshot(old, "t")).collect()}
+    assert drift == {"name": "REMOVED", "extra": "ADDED", "score": "TYPE_CHANGED", "id": "NULLABILITY_CHANGED"}

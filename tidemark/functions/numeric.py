@@ -29,18 +29,13 @@ def safe_div(num, den) -> Column:
     return col_(num) / F.when(d != 0, d)
 
 
-def exact_sum(c) -> Column:
-    """Sum accumulated as an exact decimal, returned as double.
+def exact_avg(c, window=None) -> Column:
+    """AVG(x) computed as exact decimal sum / count (NULLs ignored).
 
     Floating-point sums depend on the order rows arrive in; a decimal sum
     does not, so windowed averages are reproducible across engines and
     across partitionings.
     """
-    return F.sum(col_(c).cast("decimal(38,10)")).cast("double")
-
-
-def exact_avg(c, window=None) -> Column:
-    """AVG(x) computed as exact decimal sum / count (NULLs ignored)."""
     s = F.sum(col_(c).cast("decimal(38,10)"))
     n = F.count(col_(c))
     if window is not None:

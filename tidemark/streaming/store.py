@@ -72,10 +72,12 @@ class BucketedTable:
     partition overwrite) before committing the manifest.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key, n_buckets: int = 256):
+    def __init__(self, spark: SparkSession, root: str, key, n_buckets: int = 256,
+                 writers_per_bucket: int = 4):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys = [key] if isinstance(key, str) else list(key)
         self.n = n_buckets
+        self.writers = writers_per_bucket
 
     # -- helpers -----------------------------------------------------------
     def bucket_col(self):
@@ -150,8 +152,11 @@ class BucketedTable:
         """Write rows of ``version`` into their bucket partitions; returns the
         buckets that received rows (listed from the folder, not recomputed)."""
         from pyspark.sql import functions as F
+        # at most `writers` tasks (and files) per touched bucket: a salt from the
+        # row's content spreads a heavy bucket, deterministically on retries
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(self.writers))
         staged = (df.withColumn("_bucket", self.bucket_col()).withColumn("_v", F.lit(version))
-                  .repartition("_bucket"))          # one task (and file) per touched bucket
+                  .repartition("_bucket", salt))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_bucket", "_v").parquet(f"{self.root}/data"))
         fs, jvm = self._fs()

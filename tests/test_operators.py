@@ -408,3 +408,13 @@ def test_schema_drift_detects_each_change(spark):
     drift = {r.column_name: r.change for r in monitor.schema_drift(
         monitor.schema_snapshot(new, "t"), monitor.schema_snapshot(old, "t")).collect()}
     assert drift == {"name": "REMOVED", "extra": "ADDED", "score": "TYPE_CHANGED", "id": "NULLABILITY_CHANGED"}
+
+
+def test_upsert_reduces_copies_of_a_key(spark):
+    target = _orders(spark, [(1, "x", 1.0)])
+    copies = [(1, "c", float(i)) for i in range(50)] + [(7, "n", 7.0), (7, "n", 7.5)]
+    ch = _orders(spark, copies).withColumn("action", F.lit("INSERT")).withColumn("seq", F.col("b"))
+    out = {r.k: (r.a, r.b) for r in cdc.upsert(target, ch, "k", ["a", "b"], source_order="seq").collect()}
+    assert out == {1: ("c", 49.0), 7: ("n", 7.5)}
+    again = cdc.upsert(target, ch.drop("seq"), "k", ["a", "b"]).collect()
+    assert sorted(r.k for r in again) == [1, 7]                  # one row per key, deterministic

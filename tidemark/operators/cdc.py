@@ -95,13 +95,30 @@ def change_counts(changes: dict[str, DataFrame], time_col: str | None = None) ->
     return out
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per key: the greatest ``order`` (then the greatest row) wins.
+
+    A partially aggregated ``max_by``, so copies of a hot key collapse on
+    the map side; the result is hash-partitioned by key, which the keyed
+    join after it reuses.
+    """
+    cols = df.columns
+    row = F.struct(*[F.col(c) for c in cols])
+    ordering = F.struct(F.col(order), row) if order else row
+    best = df.groupBy(*keys).agg(F.max_by(row, ordering).alias("_r"))
+    return best.select(*[F.col(f"_r.{c}").alias(c) for c in cols])
+
+
 def upsert(target: DataFrame, changes: DataFrame, key, update_cols: Sequence[str],
-           insert_cols: Sequence[str] | None = None, action_col: str = "action") -> DataFrame:
+           insert_cols: Sequence[str] | None = None, action_col: str = "action",
+           source_order: str | None = None) -> DataFrame:
     """MERGE INTO target USING (changes WHERE action = 'INSERT') ON key.
 
     Matched rows take ``update_cols`` from the source (other columns keep
     the target's values); unmatched source rows are inserted with
-    ``insert_cols`` (others NULL); unmatched target rows are kept.
+    ``insert_cols`` (others NULL); unmatched target rows are kept. Several
+    source rows for one key (which a SQL MERGE rejects) are reduced to one:
+    the latest by ``source_order`` if given, else the greatest row.
     """
     keys = _keys(key)
     cols = target.columns
@@ -109,6 +126,8 @@ def upsert(target: DataFrame, changes: DataFrame, key, update_cols: Sequence[str
     src = changes
     if action_col in changes.columns:
         src = changes.filter(F.col(action_col) == "INSERT")
+    src = one_per_key(src.select(*[c for c in src.columns if c in cols or c == source_order]),
+                      keys, source_order)
     s = src.select(*[F.col(k) for k in keys],
                    F.struct(*[F.col(c) for c in cols if c in src.columns]).alias("_s"))
     t = target.select(*[F.col(k) for k in keys], F.struct(*[F.col(c) for c in cols]).alias("_t"))

@@ -106,7 +106,9 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: str | None = None) ->
     row = F.struct(*[F.col(c) for c in cols])
     ordering = F.struct(F.col(order), row) if order else row
     best = df.groupBy(*keys).agg(F.max_by(row, ordering).alias("_r"))
-    return best.select(*[F.col(f"_r.{c}").alias(c) for c in cols])
+    # key columns stay the grouping attributes, so the hash partitioning by
+    # key is visible to (and reused by) a following keyed join
+    return best.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in cols])
 
 
 def upsert(target: DataFrame, changes: DataFrame, key, update_cols: Sequence[str],

@@ -132,7 +132,7 @@ def latest_per_key(df: DataFrame, key, order: str, tie: str | None = None) -> Da
     ordering = F.struct(F.col(order), *([F.col(tie)] if tie else []))
     best = (df.groupBy(*keys)
             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_r")))
-    return best.select(*[F.col(f"_r.{c}").alias(c) for c in cols])
+    return best.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in cols])
 
 
 def last_n_per_key(df: DataFrame, n: int, key: str = "ticker", order: str = "price_date",

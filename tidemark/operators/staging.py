@@ -77,4 +77,4 @@ def dedup_latest(df: DataFrame, key, order_col: str, tie: str | None = None) ->
     order = F.struct(F.col(order_col), *([F.col(tie)] if tie else []))
     latest = (df.groupBy(*[F.col(k) for k in keys])
               .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_row")))
-    return latest.select(*[F.col(f"_row.{c}").alias(c) for c in cols])
+    return latest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in cols])

@@ -120,3 +120,14 @@ def test_restrict_to_keys_pushdown_and_fallback(spark):
     big = restrict_to_keys(bars, affected, ["ticker"], max_pushdown=2)         # beyond the bound
     cols = bars.columns
     assert rows(small, cols) == rows(big, cols) == rows(bars.join(affected, "ticker", "left_semi"), cols)
+
+
+def test_restrict_to_keys_composite_key_uses_semi_join(spark):
+    from tidemark.streaming.refresh import restrict_to_keys
+    filings = ad.DriverTables(spark, SF_SMALL).sec_filings
+    affected = filings.select("ticker", "filing_date").distinct().orderBy("ticker", "filing_date").limit(5)
+    got = restrict_to_keys(filings, affected, ["ticker", "filing_date"])
+    assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
+    cols = filings.columns
+    assert got.columns == cols
+    assert rows(got, cols) == rows(filings.join(affected, ["ticker", "filing_date"], "left_semi"), cols)

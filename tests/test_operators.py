@@ -418,3 +418,22 @@ def test_upsert_reduces_copies_of_a_key(spark):
     assert out == {1: ("c", 49.0), 7: ("n", 7.5)}
     again = cdc.upsert(target, ch.drop("seq"), "k", ["a", "b"]).collect()
     assert sorted(r.k for r in again) == [1, 7]                  # one row per key, deterministic
+
+
+def test_masks_with_per_row_role_column(spark):
+    """A role column (e.g. from a session-to-role mapping) takes the CASE
+    path; results equal folding each role at plan time."""
+    roles = list(gov.ROLES)
+    df = spark.createDataFrame([(r, "t" * 150, 0.3, [1.0] * 5, 44) for r in roles],
+                               "role string, t string, s double, v array<double>, f bigint")
+    per_row = df.select("role", gov.mask_transcript(F.col("t"), F.col("role")).alias("t"),
+                        gov.mask_sentiment(F.col("s"), F.col("role")).alias("s"),
+                        gov.mask_embedding(F.col("v"), F.col("role")).alias("v"),
+                        gov.mask_file_size(F.col("f"), F.col("role")).alias("f"))
+    folded = None
+    for r in roles:
+        part = df.filter(F.col("role") == r).select(
+            "role", gov.mask_transcript(F.col("t"), r).alias("t"), gov.mask_sentiment(F.col("s"), r).alias("s"),
+            gov.mask_embedding(F.col("v"), r).alias("v"), gov.mask_file_size(F.col("f"), r).alias("f"))
+        folded = part if folded is None else folded.unionByName(part)
+    assert rows(per_row) == rows(folded)

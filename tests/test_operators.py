@@ -437,3 +437,24 @@ def test_masks_with_per_row_role_column(spark):
             gov.mask_embedding(F.col("v"), r).alias("v"), gov.mask_file_size(F.col("f"), r).alias("f"))
         folded = part if folded is None else folded.unionByName(part)
     assert rows(per_row) == rows(folded)
+
+
+def test_alert_rules_fire_and_stay_quiet(spark):
+    from tidemark.operators import alerts
+    calls_ = spark.createDataFrame([(D(2024, 1, 1), 0.9), (D(2024, 1, 2), 0.95), (D(2024, 1, 3), None)],
+                                   "call_date date, sentiment_score double")
+    now_late, now_early = dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 3, 3)
+    rows_ = alerts.alerts([
+        alerts.feed_stale({"calls": (calls_, "call_date")}, now_late),
+        alerts.sentiment_mean(calls_),
+        alerts.null_sentiment(calls_),
+        alerts.new_ticker(spark.createDataFrame([("A",), ("B",)], "ticker string"),
+                          spark.createDataFrame([("A",)], "ticker string")),
+    ]).collect()
+    got = {r.alert: (r.fired, r.measure) for r in rows_}
+    assert got["alert_feed_stale"] == (True, 48.0)                 # 2024-01-03 00:00 -> 01-05 00:00
+    assert got["alert_sentiment_mean"] == (True, 0.925)
+    assert got["alert_null_sentiment"][0] is True and abs(got["alert_null_sentiment"][1] - 33.333333) < 1e-9
+    assert got["alert_new_ticker"] == (True, 1.0)
+    quiet = alerts.feed_stale({"calls": (calls_, "call_date")}, now_early).first()
+    assert (quiet.fired, quiet.measure) == (False, 3.0)

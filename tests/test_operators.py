@@ -458,3 +458,16 @@ def test_alert_rules_fire_and_stay_quiet(spark):
     assert got["alert_new_ticker"] == (True, 1.0)
     quiet = alerts.feed_stale({"calls": (calls_, "call_date")}, now_early).first()
     assert (quiet.fired, quiet.measure) == (False, 3.0)
+
+
+def test_volume_trend_and_drop(spark):
+    from tidemark.operators import monitor
+    counts = [10, 10, 10, 10, 10, 10, 10, 2, 10]                     # a dip on day 8
+    data = [(D(2024, 1, 1) + dt.timedelta(days=i),) for i, n in enumerate(counts) for _ in range(n)]
+    df = spark.createDataFrame(data, "call_date date")
+    trend = monitor.volume_trend(df, "call_date", D(2024, 1, 20))
+    drop = monitor.volume_drop(trend, "call_date").collect()
+    assert [r.call_date for r in drop] == [D(2024, 1, 8)]
+    r = drop[0]
+    assert r.daily_count == 2 and abs(r.rolling_7d_avg - 62 / 7) < 1e-12
+    assert r.volume_pct_of_avg == round(2 / (62 / 7) * 100, 1)

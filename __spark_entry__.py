@@ -1369,6 +1369,19 @@ def _check_ticker_coverage(spark, sf_dir):
     return quality.coverage(T(spark, sf_dir).earnings_calls, "ticker")
 
 
+# ======================================================================
+# training-data operators (a separate subpackage that may be absent)
+# ======================================================================
+try:
+    from tidemark.llm import queries as _llm
+except ModuleNotFoundError as _absent:
+    if _absent.name not in ("tidemark.llm", "tidemark.llm.queries", "corpus_pipeline"):
+        raise
+else:
+    for _name, _fn in _llm.QUERIES.items():
+        register(_name, _llm.ORACLE_SQL.get(_name))(_fn)
+
+
 # ======================================================================
 # contract
 # ======================================================================

@@ -52,11 +52,14 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    Only when none is configured (local tests) a fresh scratch folder is
-    created and registered; a cluster must name a shared folder itself.
+    Only a local session (tests) gets a fresh folder of this machine when
+    none is configured; a cluster must name a shared folder itself.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     spark.sparkContext.setCheckpointDir(current)

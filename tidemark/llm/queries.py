@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import bitpack, packing
+from . import bitpack, decontaminate, near_dedup, packing, secrets
 
 QUERIES = {
     "op1_packing": packing.query,
+    "op5_secrets": secrets.query,
+    "op7_decontamination": decontaminate.query,
     "op8_token_files": bitpack.query,
+    "op9_near_dedup": near_dedup.query,
 }
 
 #: Only where SQL can express the result.

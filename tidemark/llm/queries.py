@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bitpack, decontaminate, near_dedup, packing, secrets
+from . import bitpack, chat, decontaminate, near_dedup, packing, quality_rules, secrets
 
 QUERIES = {
     "op1_packing": packing.query,
     "op5_secrets": secrets.query,
+    "op6_chat": chat.query,
     "op7_decontamination": decontaminate.query,
     "op8_token_files": bitpack.query,
     "op9_near_dedup": near_dedup.query,
+    "op10_quality_rules": quality_rules.query,
 }
 
 #: Only where SQL can express the result.

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bitpack, chat, decontaminate, near_dedup, packing, quality_rules, secrets
+from . import bitpack, chat, decontaminate, language_id, near_dedup, packing, quality_rules, secrets
 
 QUERIES = {
     "op1_packing": packing.query,
+    "op2_language_id": language_id.query,
     "op5_secrets": secrets.query,
     "op6_chat": chat.query,
     "op7_decontamination": decontaminate.query,

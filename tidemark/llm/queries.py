@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bitpack, chat, decontaminate, language_id, near_dedup, packing, quality_rules, secrets
+from . import bitpack, chat, decontaminate, language_id, near_dedup, packing, quality_rules, secrets, toxicity
 
 QUERIES = {
     "op1_packing": packing.query,
     "op2_language_id": language_id.query,
+    "op4_toxicity": toxicity.query,
     "op5_secrets": secrets.query,
     "op6_chat": chat.query,
     "op7_decontamination": decontaminate.query,

@@ -11,6 +11,7 @@ their oracle is the SQL of the same content.
 from __future__ import annotations
 
 import datetime as _dt
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -1373,7 +1374,7 @@ def _check_ticker_coverage(spark, sf_dir):
 # training-data operators (a separate subpackage that may be absent)
 # ======================================================================
 try:
-    from tidemark.llm import queries as _llm
+    _llm = importlib.import_module("tidemark.llm.queries")
 except ModuleNotFoundError as _absent:
     if _absent.name not in ("tidemark.llm", "tidemark.llm.queries", "corpus_pipeline"):
         raise

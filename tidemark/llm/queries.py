@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import bitpack, chat, decontaminate, language_id, near_dedup, packing, quality_rules, secrets, toxicity
+import corpus_pipeline
+
+from . import bitpack, chat, decontaminate, language_id, near_dedup, packing, quality_classifier, quality_rules, secrets, toxicity
 
 QUERIES = {
     "op1_packing": packing.query,
     "op2_language_id": language_id.query,
+    "op3_quality_classifier": quality_classifier.query,
     "op4_toxicity": toxicity.query,
     "op5_secrets": secrets.query,
     "op6_chat": chat.query,
@@ -14,6 +17,7 @@ QUERIES = {
     "op8_token_files": bitpack.query,
     "op9_near_dedup": near_dedup.query,
     "op10_quality_rules": quality_rules.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: Only where SQL can express the result.

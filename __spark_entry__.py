@@ -60,16 +60,9 @@ def register(name: str, sql_text: str | None):
     return deco
 
 
-_GRAPHS: dict = {}
-
-
-def G(spark, sf_dir, lex=FIXTURE, spread=True):
-    """The model graph for one session and input folder, built once: shared
-    models (e.g. the filing classifications) are composed a single time."""
-    key = (id(spark), sf_dir.rstrip("/"), id(lex), spread)
-    if key not in _GRAPHS:
-        _GRAPHS[key] = graph_from_driver(spark, sf_dir, lex, spread=spread)
-    return _GRAPHS[key]
+def G(spark, sf_dir, lex=FIXTURE):
+    """The model graph over one input folder."""
+    return graph_from_driver(spark, sf_dir, lex)
 
 
 def T(spark, sf_dir):
@@ -120,14 +113,14 @@ def _ml_filing_embeddings(spark, sf_dir):
 
 @register("int_price_metrics_spread", oq.model("int_price_metrics"))
 def _int_price_metrics_spread(spark, sf_dir):
-    """The skew-spreading rolling-window plan (the default) gives the same rows."""
-    return G(spark, sf_dir, spread=True).get("int_price_metrics")
+    """The plan that cuts long tickers into runs (here of ten bars) gives the same rows."""
+    return indicators.int_price_metrics(G(spark, sf_dir).get("stg_stock_prices"), spread=True, run_rows=10)
 
 
 @register("int_price_metrics_plain", oq.model("int_price_metrics"))
 def _int_price_metrics_plain(spark, sf_dir):
-    """The single-partition-per-ticker plan gives the same rows."""
-    return G(spark, sf_dir, spread=False).get("int_price_metrics")
+    """The one-partition-per-ticker plan, built outside the graph."""
+    return indicators.int_price_metrics(G(spark, sf_dir).get("stg_stock_prices"), spread=False)
 
 
 @register("stg_dedup", f"""
@@ -246,10 +239,8 @@ def _text_model_score(spark, sf_dir):
 _W = "PARTITION BY ticker ORDER BY price_date, price_id ROWS BETWEEN {n} PRECEDING AND CURRENT ROW"
 
 
-def _sql_exact_avg(n):
-    w = _W.format(n=n - 1)
-    return (f"CAST(sum(CAST(close_price AS DECIMAL(38,10))) OVER ({w}) AS DOUBLE) / "
-            f"NULLIF(CAST(count(close_price) OVER ({w}) AS DOUBLE), 0)")
+def _sql_avg(n):
+    return hu(f"avg(close_price) OVER ({_W.format(n=n - 1)})", 10)
 
 
 def _rounded(c, d, name):
@@ -261,13 +252,14 @@ def _bars(spark, sf_dir):
 
 
 @register("win_moving_avg", sql(
-    f"SELECT ticker, price_date, {hu(_sql_exact_avg(20), 4)} AS ma_20d, {hu(_sql_exact_avg(50), 4)} AS ma_50d "
+    f"SELECT ticker, price_date, {hu(_sql_avg(20), 4)} AS ma_20d, {hu(_sql_avg(50), 4)} AS ma_50d "
     "FROM stg_stock_prices", "stg_stock_prices"))
 def _win_moving_avg(spark, sf_dir):
     f = indicators.rolling(_bars(spark, sf_dir), "ticker", "price_date",
                            [("a", indicators.moving_avg(20)), ("b", indicators.moving_avg(50))],
                            49, tie="price_id")
-    return f.select("ticker", "price_date", _rounded("a", 4, "ma_20d"), _rounded("b", 4, "ma_50d"))
+    return f.select("ticker", "price_date", indicators.rounded_avg("a", 4).alias("ma_20d"),
+                    indicators.rounded_avg("b", 4).alias("ma_50d"))
 
 
 @register("win_rolling_volatility", sql(

@@ -144,3 +144,24 @@ def test_half_up_and_hour_diff(spark):
     t = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 59), dt.datetime(2024, 1, 1, 1, 1))],
                               "a timestamp, b timestamp")
     assert t.select(signals.hour_diff(F.col("a"), F.col("b"))).first()[0] == 1
+
+
+def test_half_up_keeps_large_small_and_special_values(spark):
+    df = spark.sql("SELECT * FROM VALUES (1e16D), (-1e300D), (double('inf')), (double('nan')), (2.5D), (-2.5D), (null) AS t(x)")
+    got = [r[0] for r in df.select(half_up("x", 4)).collect()]
+    assert got[:3] == [1e16, -1e300, float("inf")] and got[3] != got[3] and got[4:] == [2.5, -2.5, None]
+    assert [r[0] for r in df.select(half_up("x", 0)).collect()][4:6] == [3.0, -3.0]
+
+
+def test_windowed_average_has_no_decimal_bounds(spark):
+    from pyspark.sql import Window
+    from tidemark.operators import indicators
+    df = spark.sql("SELECT * FROM VALUES (1, 2e28D), (2, 2e28D), (3, 1e-12D) AS t(i, close_price)")
+    avg = indicators.moving_avg(1)(Window.partitionBy().orderBy("i"))
+    assert [r[0] for r in df.select(avg).collect()] == [2e28, 2e28, 1e-12]
+
+
+def test_partition_count_counts_null_groups(spark):
+    from tidemark.operators import indicators
+    df = spark.createDataFrame([("a", 1), (None, 2), (None, 2)], "k string, d int")
+    assert sorted((str(r.k), r.n) for r in indicators.partition_count(df, ["k", "d"], "n").collect()) == [("None", 2), ("None", 2), ("a", 1)]

@@ -3,6 +3,8 @@ with the batch result, and idempotent re-runs on the same checkpoint."""
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
@@ -26,13 +28,13 @@ def test_cdc_stream_equals_batch_and_is_idempotent(spark):
     for i, d in enumerate(drops):
         d.write.parquet(f"{src}/drop{i}")
         cdc_stream.run_cdc_stream(spark, f"{src}/*", drops[0].schema, target, "o_orderkey", upd, ckpt,
-                                  trigger={"availableNow": True}, log_path=log).awaitTermination()
+                                  trigger={"availableNow": True}, log_path=log, whole_snapshots=True).awaitTermination()
     versions = store.versions()
     batch = cdc.upsert(before, changes, "o_orderkey", upd)
     assert rows(store.read()) == rows(batch)
     # same checkpoint, no new files: nothing processed, no new version
     cdc_stream.run_cdc_stream(spark, f"{src}/*", drops[0].schema, target, "o_orderkey", upd, ckpt,
-                              trigger={"availableNow": True}, log_path=log).awaitTermination()
+                              trigger={"availableNow": True}, log_path=log, whole_snapshots=True).awaitTermination()
     assert store.versions() == versions
     logged = spark.read.parquet(log)
     assert logged.filter(F.col("event_type") == "EARNINGS_PROCESSED").count() == len(versions) - 1
@@ -110,16 +112,62 @@ def test_event_log_idempotent_and_progress_monitor(spark):
     assert health[0].minutes_since_refresh > 0
 
 
-def test_restrict_to_keys_pushdown_and_fallback(spark):
+def test_restrict_to_keys_keeps_null_keys(spark):
     from tidemark.streaming.refresh import restrict_to_keys
-    bars = ad.DriverTables(spark, SF_SMALL).stock_prices
-    affected = bars.select("ticker").distinct().orderBy("ticker").limit(3)
-    small = restrict_to_keys(bars, affected, ["ticker"], max_pushdown=10)
-    assert "In(ticker" in small._jdf.queryExecution().optimizedPlan().toString() or \
-        "IN" in small._jdf.queryExecution().optimizedPlan().toString().upper()
-    big = restrict_to_keys(bars, affected, ["ticker"], max_pushdown=2)         # beyond the bound
-    cols = bars.columns
-    assert rows(small, cols) == rows(big, cols) == rows(bars.join(affected, "ticker", "left_semi"), cols)
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, v int")
+    affected = spark.createDataFrame([("a",), (None,), (None,)], "k string")
+    assert rows(restrict_to_keys(df, affected, ["k"])) == [("a", 1), (None, 2)]
+
+
+def test_refresh_replaces_null_keys(spark):
+    root = scratch_path(spark, "t_null")
+    store = VersionedTable(spark, f"{root}/target")
+    schema = "k string, v int"
+    total = lambda df: df.groupBy("k").agg(F.sum("v").alias("v"))
+    for i, drop in enumerate([[("a", 1), (None, 2)], [(None, 5)]]):
+        batch = spark.createDataFrame(drop, schema)
+        batch.write.mode("append").parquet(f"{root}/base")
+        refresh.refresh_batch_body(spark, total, f"{root}/base", batch.schema, store, ["k"])(batch, i)
+    assert rows(store.read()) == [("a", 1), (None, 7)]
+
+
+def test_event_log_keeps_rows_with_and_without_key(spark):
+    from tidemark.sources import sinks
+    target = f"{scratch_path(spark, 't_log')}/log"
+    sinks.log_event(spark, target, "PLAIN", None)
+    sinks.log_event(spark, target, "KEYED", {"a": 1}, 3, key="b0")
+    sinks.log_event(spark, target, "PLAIN", None)
+    assert sorted(r.event_type for r in sinks.read_event_log(spark, target).collect()) == ["KEYED", "PLAIN", "PLAIN"]
+
+
+def test_bucketed_store_keeps_its_layout(spark):
+    from tidemark.streaming.store import BucketedTable
+    root = f"{scratch_path(spark, 't_store')}/t"
+    base = spark.range(200).selectExpr("id", "0 as v")
+    BucketedTable(spark, root, "id", rows_per_bucket=30).create(base)
+    opened = BucketedTable(spark, root, "id")
+    change = spark.range(5).selectExpr("id", "1 as v")
+    merge = lambda old, new: old.join(new, "id", "left_anti").unionByName(new)
+    for version in (1, 999_999, 1_000_000):
+        assert opened.apply(version, change, merge)
+    assert opened.n == 7 and opened.latest() == 1_000_000 and opened.read().count() == 200
+    for wrong in (BucketedTable(spark, root, "id", 16), BucketedTable(spark, root, "v")):
+        with pytest.raises(ValueError):
+            wrong.apply(1_000_001, change, merge)
+
+
+def test_old_versions_expire(spark):
+    from tidemark.streaming.store import BucketedTable
+    root = f"{scratch_path(spark, 't_expire')}/t"
+    store = BucketedTable(spark, root, "id", 4, keep=2)
+    store.create(spark.range(40).selectExpr("id", "0 as v"))
+    merge = lambda old, new: old.join(new, "id", "left_anti").unionByName(new)
+    for version in range(1, 6):
+        store.apply(version, spark.range(1).selectExpr("id", f"{version} as v"), merge)
+    assert store.versions() == [4, 5]
+    for version in (4, 5):
+        got = store.read(version)
+        assert got.count() == 40 and got.filter("id = 0").first()["v"] == version
 
 
 def test_restrict_to_keys_composite_key_uses_semi_join(spark):

@@ -2,7 +2,10 @@
 
 Rounding is half away from zero computed with plain IEEE arithmetic
 (``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``) so that the value is the same
-bit pattern in Spark and in any SQL engine used as an oracle.
+bit pattern in Spark and in any SQL engine used as an oracle. The floor is
+taken in double arithmetic (no 64-bit integer in between), and a value whose
+scaled size is beyond 2^52 has no digits to round and is returned as it is.
+A decimal tie such as 1.005 is judged by its binary value (1.0, not 1.01).
 """
 
 from __future__ import annotations
@@ -19,8 +22,8 @@ def half_up(c, digits: int) -> Column:
     """ROUND(x, digits) with half-away-from-zero ties, NULL-preserving."""
     x = col_(c).cast("double")
     scale = float(10 ** digits)
-    return (F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double")
-            / F.lit(scale))
+    y = F.abs(x) * F.lit(scale) + F.lit(0.5)
+    return F.when(y < F.lit(2.0 ** 52), F.signum(x) * (y - y % F.lit(1.0)) / F.lit(scale)).otherwise(x)
 
 
 def safe_div(num, den) -> Column:
@@ -29,20 +32,6 @@ def safe_div(num, den) -> Column:
     return col_(num) / F.when(d != 0, d)
 
 
-def exact_avg(c, window=None) -> Column:
-    """AVG(x) computed as exact decimal sum / count (NULLs ignored).
-
-    Floating-point sums depend on the order rows arrive in; a decimal sum
-    does not, so windowed averages are reproducible across engines and
-    across partitionings.
-    """
-    s = F.sum(col_(c).cast("decimal(38,10)"))
-    n = F.count(col_(c))
-    if window is not None:
-        s, n = s.over(window), n.over(window)
-    return safe_div(s.cast("double"), n.cast("double"))
-
-
 def pct(part, whole, digits: int) -> Column:
     """ROUND(part * 100.0 / whole, digits) in double arithmetic."""
     return half_up(safe_div(col_(part).cast("double") * F.lit(100.0), col_(whole)), digits)

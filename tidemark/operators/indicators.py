@@ -3,9 +3,10 @@
 Rolling frames are ROWS frames per ticker ordered by date. Two physical
 strategies compute exactly the same values:
 
-* ``spread=False``: one ``Window.partitionBy(ticker)``; all frames share a
-  single Exchange + Sort (cheapest when tickers are many and even).
-* ``spread=True``: a hot ticker is cut into runs of consecutive months
+* ``spread=False`` (default): one ``Window.partitionBy(ticker)``; all frames
+  share a single Exchange + Sort. One bar per ticker and day and the 3-year
+  staging filter bound a ticker at about 1,100 rows, whatever the table size.
+* ``spread=True`` (on request, for long or intraday histories): a hot ticker is cut into runs of consecutive months
   (about ``run_rows`` rows each, decided on the small table of row counts
   per (ticker, month)); every run also receives the months just before it
   that hold its ``max_preceding`` halo rows, so each run computes its frames
@@ -16,12 +17,13 @@ strategies compute exactly the same values:
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_avg, half_up, safe_div
+from ..functions.numeric import half_up, safe_div
 from ..functions.signals import technical_signal, ts_lit
 
 # A frame spec: (output name, builder(window) -> Column)
@@ -79,7 +81,13 @@ def rolling(df: DataFrame, key: str, order: str, specs: Sequence[FrameSpec],
 
 
 def moving_avg(n: int, value: str = "close_price") -> Callable[[Window], Column]:
-    return lambda w: exact_avg(value, w.rowsBetween(-(n - 1), 0))
+    return lambda w: F.avg(value).over(w.rowsBetween(-(n - 1), 0))
+
+
+def rounded_avg(avg: str, digits: int) -> Column:
+    """A windowed average rounded for output. Engines add up a frame in
+    different orders, so the last bits are rounded away before the digits."""
+    return half_up(half_up(avg, 10), digits)
 
 
 def rolling_stddev(n: int, value: str = "daily_return_pct") -> Callable[[Window], Column]:
@@ -87,24 +95,24 @@ def rolling_stddev(n: int, value: str = "daily_return_pct") -> Callable[[Window]
 
 
 def price_frames(prices: DataFrame, short: int = 20, long: int = 50, vol: int = 20,
-                 spread: bool = False) -> DataFrame:
+                 spread: bool = False, run_rows: int = 100_000) -> DataFrame:
     """Unrounded ma_short, ma_long, volatility per bar."""
     specs = [("_ma_s", moving_avg(short)), ("_ma_l", moving_avg(long)),
              ("_vol", rolling_stddev(vol))]
     cols = ["ticker", "price_date", "price_id", "close_price", "volume",
             "dollar_volume", "daily_return_pct"]
     return rolling(prices.select(*cols), "ticker", "price_date", specs,
-                   max(short, long, vol) - 1, spread=spread, tie="price_id")
+                   max(short, long, vol) - 1, spread=spread, tie="price_id", run_rows=run_rows)
 
 
 def int_price_metrics(stg_prices: DataFrame, short: int = 20, long: int = 50,
-                      spread: bool = False) -> DataFrame:
-    f = price_frames(stg_prices, short, long, short, spread=spread)
+                      spread: bool = False, run_rows: int = 100_000) -> DataFrame:
+    f = price_frames(stg_prices, short, long, short, spread=spread, run_rows=run_rows)
     return (f.filter(F.col("_ma_l").isNotNull())
             .select("ticker", "price_date", "close_price", "volume", "dollar_volume",
                     "daily_return_pct",
-                    half_up("_ma_s", 4).alias(f"ma_{short}d"),
-                    half_up("_ma_l", 4).alias(f"ma_{long}d"),
+                    rounded_avg("_ma_s", 4).alias(f"ma_{short}d"),
+                    rounded_avg("_ma_l", 4).alias(f"ma_{long}d"),
                     half_up(safe_div("_ma_s", "_ma_l"), 6).alias(f"ma_ratio_{short}_{long}"),
                     half_up("_vol", 6).alias(f"volatility_{short}d"),
                     half_up(safe_div("daily_return_pct", "_vol"), 4).alias("sharpe_like_ratio")))
@@ -129,6 +137,13 @@ def latest_per_key(df: DataFrame, key, order: str, tie: str | None = None) -> Da
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = df.columns
+    kinds = dict(df.dtypes)
+    fixed = lambda c: kinds[c] in ("int", "bigint", "double", "float", "date", "timestamp", "timestamp_ntz", "boolean")
+    if tie is None and fixed(order) and all(fixed(c) for c in cols if c not in keys):
+        # fixed-width buffers: a hash aggregate, no sort
+        rest = [c for c in cols if c not in keys and c != order]
+        best = df.groupBy(*keys).agg(F.max(order).alias(order), *[F.max_by(c, order).alias(c) for c in rest])
+        return best.select(*cols)
     ordering = F.struct(F.col(order), *([F.col(tie)] if tie else []))
     best = (df.groupBy(*keys)
             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_r")))
@@ -194,8 +209,9 @@ def partition_count(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     (AQE broadcasts the count table when its measured size is small, and
     splits a skewed key's partition otherwise).
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    return df.join(counts, list(keys), "inner")
+    counts = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias(out))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]      # a NULL key is a group
+    return df.join(counts, reduce(lambda a, b: a & b, same)).select(*df.columns, out)
 
 
 def share_of_total(df: DataFrame, key: str, count_col: str = "record_count",

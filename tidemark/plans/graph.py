@@ -70,13 +70,13 @@ class ModelGraph:
     ``overrides`` maps a model name to a function applied to that model
     after it is built; every downstream model is then derived from the
     overridden frame (a what-if copy that never touches the baseline).
-    ``spread`` selects the hot-ticker-safe rolling-window plan (default).
+    ``spread`` asks for the rolling-window plan that cuts long tickers.
     """
 
     def __init__(self, raw: dict[str, DataFrame | Callable[[], DataFrame]], as_of: _dt.date,
                  now: _dt.datetime,
                  lex: Lexicon = REFERENCE, overrides: dict[str, Override] | None = None,
-                 spread: bool = True):
+                 spread: bool = False):
         self.raw, self.as_of, self.now, self.lex = raw, as_of, now, lex
         self.overrides = dict(overrides or {})
         self.spread = spread
@@ -162,7 +162,7 @@ def topo_order(names: list[str]) -> list[str]:
 
 
 def graph_from_driver(spark, sf_dir: str, lex: Lexicon, as_of=None, now=None,
-                      spread: bool = True) -> ModelGraph:
+                      spread: bool = False) -> ModelGraph:
     from ..sources import adapters as ad
     t = ad.DriverTables(spark, sf_dir)
     raw = {"earnings_calls": lambda: t.earnings_calls, "sec_filings": lambda: t.sec_filings,

@@ -20,55 +20,9 @@ AS_OF = _dt.date(2024, 1, 31)
 NOW = _dt.datetime(2024, 1, 31, 12, 0, 0)
 
 
-# Tables whose rows carry whole texts: per-row work (rules over the full
-# text) dominates, so an under-split scan is spread before it.
-TEXT_TABLES = ("documents", "conversations", "pages", "benchmark")
-
-
-_SCANS: dict = {}
-
-
-def read(spark: SparkSession, sf_dir: str, name: str, balance: bool | None = None) -> DataFrame:
-    """Scan one driver table. The (lazy) scan DataFrame is memoised per
-    session and path, so repeated plans skip file listing and footer reads;
-    no data is cached."""
-    if balance is None:
-        balance = name in TEXT_TABLES
-    key = (id(spark), sf_dir.rstrip("/"), name, balance)
-    if key not in _SCANS:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _SCANS[key] = balanced(df) if balance else df
-    return _SCANS[key]
-
-
-def _input_bytes(df: DataFrame) -> int:
-    """Total size of the files behind a scan (file-system metadata only)."""
-    sc = df.sparkSession.sparkContext
-    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return total
-
-
-def balanced(df: DataFrame, min_partitions: int | None = None,
-             min_bytes: int = 8 << 20) -> DataFrame:
-    """Spread an under-split scan over the cluster.
-
-    A source stored as few large files / row groups is scanned by as many
-    tasks as it has splits, and every narrow operator after it (text rules
-    over whole documents) inherits that parallelism. When the scan yields
-    fewer splits than the cluster has cores and the input is large enough
-    (``min_bytes``) for its per-row work to outweigh a shuffle, a round-robin
-    repartition spreads the rows. (Split counts overstate parallelism for
-    files with few row groups, so size decides.) A well-split large input,
-    or a small one, is left untouched.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target or _input_bytes(df) < min_bytes:
-        return df
-    return df.repartition(target)
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def prices_from_events(events: DataFrame) -> DataFrame:

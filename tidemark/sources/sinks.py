@@ -89,23 +89,26 @@ def event_rows(events: DataFrame, event_type, details, records_affected) -> Data
 
 def log_event(spark: SparkSession, target: str, event_type: str, details: dict | None,
               records_affected: int = 0, key: str | None = None) -> None:
-    """Write one audit row (used from driver-side control flow such as a
-    ``foreachBatch`` body; the payload is one small row).
+    """Write one audit row; see ``log_events``."""
+    log_events(spark, target, [(event_type, details, records_affected)], key)
 
-    With ``key`` (e.g. ``"b42-EARNINGS_CDC"``) the row replaces the log
-    partition of that key, so a replayed micro-batch does not log twice.
+
+def log_events(spark: SparkSession, target: str, events: Sequence[tuple[str, dict | None, int]],
+               key: str | None = None) -> None:
+    """Write audit rows (event_type, details, records_affected) as one set
+    (from driver-side control flow such as a ``foreachBatch`` body).
+
+    Every row lies in a ``_key=`` folder. With ``key`` (e.g. ``"b42"``) the
+    set replaces the folder of that key, so a replayed micro-batch does not
+    log twice; rows without a key are appended to the folder ``_key=none``.
     """
-    one = spark.range(1).select(
-        F.lit(event_type).alias("t"),
-        F.lit(json.dumps(details) if details is not None else "null").alias("d"),
-        F.lit(int(records_affected)).alias("n"))
-    rows = event_rows(one, F.col("t"), F.col("d"), F.col("n"))
-    if key is None:
-        append(rows, target)
-    else:
-        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/_key={key}")
+    given = spark.createDataFrame([(t, json.dumps(d) if d is not None else "null", int(n)) for t, d, n in events],
+                                  "t string, d string, n long").coalesce(1)
+    rows = event_rows(given, F.col("t"), F.col("d"), F.col("n"))
+    (rows.write.mode("append" if key is None else "overwrite")
+     .parquet(f"{target.rstrip('/')}/_key={'none' if key is None else key}"))
 
 
 def read_event_log(spark: SparkSession, target: str) -> DataFrame:
-    df = spark.read.parquet(target)
-    return df.drop("_key") if "_key" in df.columns else df
+    """All rows of the log, keyed or not."""
+    return spark.read.option("basePath", target).parquet(f"{target.rstrip('/')}/_key=*").drop("_key")

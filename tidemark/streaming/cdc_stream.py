@@ -3,9 +3,9 @@ Streaming query.
 
 The file source's checkpoint plays the role of the stream offset; every
 micro-batch is a set of change rows (``action``, ``is_update`` plus the
-table's columns). ``foreachBatch`` logs the detection, upserts the INSERT
-actions into a new snapshot version named by the batch id, then logs the
-processed row count. Production uses ``trigger(processingTime="1 minute")``;
+table's columns). ``foreachBatch`` upserts the INSERT actions into a new
+snapshot version named by the batch id, then logs the detection and the
+processed row count as one row set. Production uses ``trigger(processingTime="1 minute")``;
 tests use ``availableNow``.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cdc import upsert
-from ..sources.sinks import log_event
+from ..sources.sinks import log_events
 from .store import BucketedTable, VersionedTable
 
 
@@ -27,8 +27,8 @@ def cdc_batch_body(spark: SparkSession, store: VersionedTable | BucketedTable, k
                    update_cols: Sequence[str], insert_cols: Sequence[str] | None = None,
                    log_path: str | None = None, detect_event: str = "EARNINGS_CDC",
                    done_event: str = "EARNINGS_PROCESSED"):
-    """foreachBatch body: log detection, upsert the INSERT actions into
-    version ``batch_id + 1``, log completion. With a ``BucketedTable`` only
+    """foreachBatch body: upsert the INSERT actions into version
+    ``batch_id + 1``, then log detection and completion as one row set. With a ``BucketedTable`` only
     the key buckets touched by the batch are read and rewritten."""
     def merge(current: DataFrame, inserts: DataFrame) -> DataFrame:
         return upsert(current, inserts, key, update_cols, insert_cols)
@@ -39,17 +39,14 @@ def cdc_batch_body(spark: SparkSession, store: VersionedTable | BucketedTable, k
             return
         inserts = batch.filter(F.col("action") == "INSERT")
         n = inserts.count()
-        if log_path:
-            log_event(spark, log_path, detect_event,
-                      {"source": "change_stream", "action": "pending", "batch_id": batch_id}, n,
-                      key=f"b{batch_id}-{detect_event}")
         if isinstance(store, BucketedTable):
             store.apply(version, inserts, merge)
         else:
             store.write(merge(store.read(store.latest(below=version)), inserts), version)
         if log_path:
-            log_event(spark, log_path, done_event, {"status": "completed", "batch_id": batch_id}, n,
-                      key=f"b{batch_id}-{done_event}")
+            log_events(spark, log_path, [
+                (detect_event, {"source": "change_stream", "action": "pending", "batch_id": batch_id}, n),
+                (done_event, {"status": "completed", "batch_id": batch_id}, n)], key=f"b{batch_id}")
     return body
 
 
@@ -58,10 +55,12 @@ def run_cdc_stream(spark: SparkSession, src_dir: str, schema: T.StructType, targ
                    trigger: dict | None = None, log_path: str | None = None,
                    max_files_per_trigger: int | None = None,
                    insert_cols: Sequence[str] | None = None,
-                   buckets: int | None = None) -> StreamingQuery:
-    """``buckets``: keep the target as key-bucketed versions (incremental
-    rewrite); ``None`` writes a full snapshot per micro-batch."""
-    store = BucketedTable(spark, target_root, key, buckets) if buckets else VersionedTable(spark, target_root)
+                   buckets: int | None = None, whole_snapshots: bool = False) -> StreamingQuery:
+    """The target is kept as key-bucketed versions (a batch rewrites the
+    buckets it touches; ``buckets`` is needed only to insist on a count);
+    ``whole_snapshots`` writes the full table per micro-batch instead."""
+    store = (VersionedTable(spark, target_root) if whole_snapshots
+             else BucketedTable(spark, target_root, key, buckets))
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -3,8 +3,7 @@
 ``refresh_stream`` watches the base table's folder. For each micro-batch
 of new base rows it finds the affected keys (e.g. tickers), recomputes the
 table body for those keys only (the base is restricted to the affected keys
-before any window or aggregate runs: an ``IN`` filter pushed into the scan
-for a bounded key set, a semi-join beyond it) and writes a new version with
+by a semi-join before any window or aggregate runs) and writes a new version with
 the affected keys replaced. Row-frame windows are not allowed on streams,
 so the per-key recompute happens in the ``foreachBatch`` body, which is a
 normal batch plan. Trigger = the target lag: ``processingTime`` of 1, 5 or
@@ -16,6 +15,7 @@ sentiment table): a plain streaming projection appended to Parquet.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,38 +34,40 @@ TARGET_LAG = {
 }
 
 
-def restrict_to_keys(df: DataFrame, affected: DataFrame, keys: Sequence[str],
-                     max_pushdown: int = 10_000) -> DataFrame:
-    """Rows of ``df`` whose key is in ``affected``.
+def _same(keys: Sequence[str]):
+    """Null-safe equality with the affected keys (``_k0``, ``_k1``, ...)."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
 
-    A small key set (counted with a bound first) becomes an ``IN`` filter
-    that the Parquet scan evaluates against row-group statistics and bloom
-    filters, so unaffected row groups are never read; beyond the bound the
-    restriction is a semi-join.
+
+def affected_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return batch.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+
+
+def restrict_to_keys(df: DataFrame, affected: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is in ``affected`` (a NULL key is a key).
+
+    Always one semi-join; Spark broadcasts or filters at run time by the
+    measured size of the affected keys.
     """
-    keys = list(keys)
-    if len(keys) == 1 and affected.limit(max_pushdown + 1).count() <= max_pushdown:
-        values = [r[0] for r in affected.collect()]          # at most max_pushdown values
-        return df.filter(F.col(keys[0]).isin(values))
-    return df.join(affected, keys, "left_semi").select(*df.columns)
+    return df.join(affected_keys(affected, keys), _same(keys), "left_semi")
 
 
 def refresh_batch_body(spark: SparkSession, body: Body, base_dir: str, schema: T.StructType,
-                       store: VersionedTable, keys: Sequence[str], max_pushdown: int = 10_000):
+                       store: VersionedTable, keys: Sequence[str]):
     keys = list(keys)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         version = batch_id + 1
         if store.committed(version):
             return
-        affected = batch.select(*keys).distinct()
+        affected = batch.select(*keys)
         base = spark.read.schema(schema).parquet(base_dir)
-        fresh = body(restrict_to_keys(base, affected, keys, max_pushdown))
+        fresh = body(restrict_to_keys(base, affected, keys))
         prev = store.latest(below=version)
         if prev is None:
             new = fresh
         else:
-            new = store.read(prev).join(affected, keys, "left_anti").unionByName(fresh)
+            new = store.read(prev).join(affected_keys(affected, keys), _same(keys), "left_anti").unionByName(fresh)
         store.write(new, version)
     return run
 

@@ -65,19 +65,25 @@ class BucketedTable:
 
     Rows live under ``data/_bucket=<b>/_v=<version>/`` with
     ``_bucket = pmod(xxhash64(key), n_buckets)``. A small manifest per
-    version (``manifest/v000042.json``: bucket -> version holding its rows)
-    is written after the data and is the commit point. An upsert micro-batch
-    therefore reads and rewrites the buckets its keys fall in, not the whole
-    table; replaying a batch overwrites the same partitions (dynamic
-    partition overwrite) before committing the manifest.
+    version (``manifest/v000042.json``: bucket count, keys, and bucket ->
+    version holding its rows) is written after the data and is the commit
+    point. An upsert micro-batch therefore reads and rewrites the buckets its
+    keys fall in, not the whole table; replaying a batch overwrites the same
+    partitions (dynamic partition overwrite) before committing the manifest.
+
+    The bucket count is fixed when the table is created (``n_buckets``, or
+    one bucket per ``rows_per_bucket`` rows) and read from the manifest
+    afterwards; opening the table with another count or other keys is an
+    error. ``keep`` versions stay readable; older manifests and the bucket
+    folders that only they name are removed after a commit.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key, n_buckets: int = 256,
-                 writers_per_bucket: int = 4):
+    def __init__(self, spark: SparkSession, root: str, key, n_buckets: int | None = None,
+                 rows_per_bucket: int = 1_000_000, keep: int = 16):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys = [key] if isinstance(key, str) else list(key)
         self.n = n_buckets
-        self.writers = writers_per_bucket
+        self.rows_per_bucket, self.keep = rows_per_bucket, keep
 
     # -- helpers -----------------------------------------------------------
     def bucket_col(self):
@@ -101,29 +107,47 @@ class BucketedTable:
         d = jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
         if not fs.exists(d):
             return []
-        out = [int(st.getPath().getName()[1:7]) for st in fs.listStatus(d)
-               if st.getPath().getName().endswith(".json")]
-        return sorted(out)
+        names = [st.getPath().getName() for st in fs.listStatus(d)]
+        return sorted(int(n[1:-len(".json")]) for n in names if n.startswith("v") and n.endswith(".json"))
 
     def manifest(self, version: int) -> dict[int, int]:
+        """Bucket -> version of its rows; also checks and takes over the layout."""
         import json
         fs, jvm = self._fs()
         stream = fs.open(jvm.org.apache.hadoop.fs.Path(self._manifest_path(version)))
         try:
             reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            text = reader.readLine()
+            told = json.loads(reader.readLine())
         finally:
             stream.close()
-        return {int(b): int(v) for b, v in json.loads(text)["buckets"].items()}
+        if self.n not in (None, told["n_buckets"]) or self.keys != told["keys"]:
+            raise ValueError(f"{self.root} has {told['n_buckets']} buckets by {told['keys']}, "
+                             f"not {self.n} by {self.keys}")
+        self.n = told["n_buckets"]
+        return {int(b): int(v) for b, v in told["buckets"].items()}
 
     def _write_manifest(self, version: int, buckets: dict[int, int]) -> None:
         import json
         fs, jvm = self._fs()
         tmp = jvm.org.apache.hadoop.fs.Path(self._manifest_path(version) + ".tmp")
         out = fs.create(tmp, True)
-        out.write(bytearray(json.dumps({"version": version, "buckets": buckets}).encode("utf-8")))
+        out.write(bytearray(json.dumps({"version": version, "n_buckets": self.n, "keys": self.keys,
+                                        "buckets": buckets}).encode("utf-8")))
         out.close()
-        fs.rename(tmp, jvm.org.apache.hadoop.fs.Path(self._manifest_path(version)))
+        if not fs.rename(tmp, jvm.org.apache.hadoop.fs.Path(self._manifest_path(version))):
+            raise OSError(f"version {version} of {self.root} could not be committed")
+
+    def expire(self) -> None:
+        """Remove manifests beyond the kept ones and the folders only they name."""
+        fs, jvm = self._fs()
+        old, live = self.versions()[:-self.keep], self.versions()[-self.keep:]
+        if not old:
+            return
+        named = {p for v in live for p in self._paths(self.manifest(v))}
+        for v in old:
+            for p in set(self._paths(self.manifest(v))) - named:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._manifest_path(v)), False)
 
     def _paths(self, buckets: dict[int, int]) -> list[str]:
         return [f"{self.root}/data/_bucket={b}/_v={v}" for b, v in sorted(buckets.items())]
@@ -150,28 +174,23 @@ class BucketedTable:
     # -- writing -----------------------------------------------------------
     def _write(self, df: DataFrame, version: int) -> list[int]:
         """Write rows of ``version`` into their bucket partitions; returns the
-        buckets that received rows (listed from the folder, not recomputed)."""
+        buckets that received rows (one small int per written bucket)."""
         from pyspark.sql import functions as F
-        # at most `writers` tasks (and files) per touched bucket: a salt from the
-        # row's content spreads a heavy bucket, deterministically on retries
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(self.writers))
+        # AQE cuts a heavy bucket into several writer tasks and joins light ones
         staged = (df.withColumn("_bucket", self.bucket_col()).withColumn("_v", F.lit(version))
-                  .repartition("_bucket", salt))
+                  .hint("rebalance", "_bucket"))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_bucket", "_v").parquet(f"{self.root}/data"))
         fs, jvm = self._fs()
-        out = []
-        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/data")):
-            name = st.getPath().getName()
-            if name.startswith("_bucket=") and fs.exists(
-                    jvm.org.apache.hadoop.fs.Path(f"{st.getPath().toString()}/_v={version}")):
-                out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
+        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/data/_bucket=*/_v={version}"))
+        return sorted(int(st.getPath().getParent().getName().split("=", 1)[1]) for st in found)
 
     def create(self, df: DataFrame) -> None:
-        """Version 0 from a full table."""
+        """Version 0 from a full table; fixes the bucket count."""
         if self.committed(0):
             return
+        if self.n is None:
+            self.n = max(1, -(-df.count() // self.rows_per_bucket))
         written = self._write(df, 0)
         self._write_manifest(0, {b: 0 for b in written})
 
@@ -195,4 +214,5 @@ class BucketedTable:
         new = {b: v for b, v in base.items() if b not in touched}
         new.update({b: version for b in written})
         self._write_manifest(version, new)
+        self.expire()
         return True

@@ -618,27 +618,29 @@ def _dt_earnings_sentiment_stream(spark, sf_dir):
 @register("refresh_group", sql(_COUNTS_AS_DOUBLE, "mart_research_signals"))
 def _refresh_group(spark, sf_dir):
     """The 'prices' group (staging -> research signals) materialized in
-    dependency order; the mart is read back from its written table."""
-    built = run_pipeline(G(spark, sf_dir), "prices", scratch_path(spark, "refresh_prices"))
+    dependency order; the mart is read back from its written table. (The
+    driver tables lie outside the reference suites' bounds, hence no gate
+    here; see ``pipeline_gate``.)"""
+    built = run_pipeline(G(spark, sf_dir), "prices", scratch_path(spark, "refresh_prices"), gate=None)
     return _counts_as_double(built["mart_research_signals"])
 
 
 @register("refresh_group_earnings", oq.model("mart_earnings_summary"))
 def _refresh_group_earnings(spark, sf_dir):
-    built = run_pipeline(G(spark, sf_dir), "earnings", scratch_path(spark, "refresh_earnings"))
+    built = run_pipeline(G(spark, sf_dir), "earnings", scratch_path(spark, "refresh_earnings"), gate=None)
     return built["mart_earnings_summary"]
 
 
 @register("refresh_group_filings", oq.model("mart_filing_dashboard"))
 def _refresh_group_filings(spark, sf_dir):
-    built = run_pipeline(G(spark, sf_dir), "filings", scratch_path(spark, "refresh_filings"))
+    built = run_pipeline(G(spark, sf_dir), "filings", scratch_path(spark, "refresh_filings"), gate=None)
     return built["mart_filing_dashboard"]
 
 
 @register("refresh_group_ml", oq.model("ml_sentiment_training"))
 def _refresh_group_ml(spark, sf_dir):
     """The weekly ML group: filing embeddings and the training table."""
-    built = run_pipeline(G(spark, sf_dir), "ml", scratch_path(spark, "refresh_ml"))
+    built = run_pipeline(G(spark, sf_dir), "ml", scratch_path(spark, "refresh_ml"), gate=None)
     return built["ml_sentiment_training"]
 
 
@@ -649,15 +651,34 @@ def _refresh_group_ml(spark, sf_dir):
 def _src_csv_load(spark, sf_dir):
     path = scratch_path(spark, "csv_earnings")
     files.write_csv(T(spark, sf_dir).earnings_calls, path)
-    return files.load_csv(spark, path, schemas.EARNINGS_CALLS)
+    return files.load_csv(spark, path, schemas.EARNINGS_CALLS, multiLine="true")     # transcripts span lines
 
 
-@register("ingest_defaults", sql(
-    "SELECT call_id, coalesce(confidence_score, CAST(0.85 AS DOUBLE)) AS confidence_score FROM earnings_calls",
-    "earnings_calls"))
+_DEFAULTED = [("earnings_calls", "call_id", schemas.EARNINGS_DEFAULTS), ("sec_filings", "filing_id", schemas.FILINGS_DEFAULTS),
+              ("stock_prices", "price_id", schemas.PRICES_DEFAULTS)]
+# rows whose load time is missing before the defaults are filled in
+_UNLOADED = "substr(md5({id}), 1, 1) < '8'"
+
+
+@register("ingest_defaults", sql("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, {i} AS id, "
+    + ("coalesce(confidence_score, CAST(0.85 AS DOUBLE))" if t == "earnings_calls" else "CAST(NULL AS DOUBLE)")
+    + f" AS confidence_score, CASE WHEN {_UNLOADED.format(id=i)} THEN 'now' ELSE strftime(_loaded_at, '%Y-%m-%d %H:%M:%S') END AS loaded_at, "
+    "'timestamp_ntz' AS loaded_type FROM " + t for t, i, _ in _DEFAULTED), *[t for t, _, _ in _DEFAULTED]))
 def _ingest_defaults(spark, sf_dir):
-    df = files.with_defaults(T(spark, sf_dir).earnings_calls, schemas.EARNINGS_DEFAULTS)
-    return df.select("call_id", "confidence_score")
+    """Defaults of all three raw tables: half the rows arrive without a load
+    time; the default keeps the declared type."""
+    parts = []
+    for name, key, defaults in _DEFAULTED:
+        raw = _raw_tables(spark, sf_dir)[name].withColumn(
+            "_loaded_at", F.when(~F.expr(_UNLOADED.format(id=key)), F.col("_loaded_at")))
+        df = files.with_defaults(raw, defaults)
+        score = F.col("confidence_score") if "confidence_score" in df.columns else F.lit(None).cast("double")
+        now = F.col("_loaded_at") >= F.date_sub(F.current_date(), 1).cast("timestamp_ntz")
+        parts.append(df.select(F.lit(name).alias("table_name"), F.col(key).alias("id"), score.alias("confidence_score"),
+                               F.when(now, "now").otherwise(F.date_format("_loaded_at", "yyyy-MM-dd HH:mm:ss")).alias("loaded_at"),
+                               F.lit(df.schema["_loaded_at"].dataType.simpleString()).alias("loaded_type")))
+    return union_all(parts)
 
 
 @register("sink_insert_select", oq.model("stock_prices"))
@@ -701,7 +722,7 @@ def _sink_event_log(spark, sf_dir):
     target = scratch_path(spark, "event_log")
     rows = sinks.event_rows(counts, F.concat(F.lit("CDC_"), F.col("action")),
                             F.to_json(F.struct("action", "is_update")), F.col("n"))
-    sinks.append(rows, target)
+    sinks.append_events(rows, target)
     return sinks.read_event_log(spark, target).select(
         "event_id", "event_type", "event_time", F.to_json("details").alias("details"), "records_affected")
 
@@ -719,7 +740,7 @@ def _sink_event_log_content(spark, sf_dir):
     counts = (cdc.cdc_changes(before, after, "o_orderkey").groupBy("action", "is_update")
               .agg(F.count(F.lit(1)).alias("n")))
     target = scratch_path(spark, "event_log_content")
-    sinks.append(sinks.event_rows(counts, F.concat(F.lit("CDC_"), F.col("action")),
+    sinks.append_events(sinks.event_rows(counts, F.concat(F.lit("CDC_"), F.col("action")),
                                   F.to_json(F.struct("action", "is_update")), F.col("n")), target)
     return sinks.read_event_log(spark, target).select(
         "event_type", F.to_json("details").alias("details"), "records_affected")
@@ -873,11 +894,25 @@ def _mon_volume_trend_filings(spark, sf_dir):
 
 
 @register("mon_volume_drop", sql(
-    f"SELECT filing_date, daily_count, rolling_7d_avg, {hu('volume_ratio * 100.0', 1)} AS volume_pct_of_avg "
-    f"FROM ({_trend_sql('sec_filings', 'filing_date')}) t WHERE volume_ratio < 0.5", "sec_filings"))
+    f"SELECT call_date, daily_count, rolling_7d_avg, {hu('volume_ratio * 100.0', 1)} AS volume_pct_of_avg "
+    f"FROM ({_trend_sql('earnings_calls', 'call_date')}) t WHERE volume_ratio < 0.5", "earnings_calls"))
 def _mon_volume_drop(spark, sf_dir):
-    trend = monitor.volume_trend(T(spark, sf_dir).sec_filings, "filing_date", AS_OF)
-    return monitor.volume_drop(trend, "filing_date")
+    trend = monitor.volume_trend(T(spark, sf_dir).earnings_calls, "call_date", AS_OF)
+    return monitor.volume_drop(trend, "call_date")
+
+
+# A feed that lost three quarters of the calls of every fifth day.
+_DIP = "NOT (extract(day FROM call_date) % 5 = 0 AND substr(md5(call_id), 1, 1) < 'c')"
+_DIP_SQL = f"(SELECT * FROM earnings_calls WHERE {_DIP}) d"
+
+
+@register("mon_volume_drop_dip", sql(
+    f"SELECT call_date, daily_count, rolling_7d_avg, {hu('volume_ratio * 100.0', 1)} AS volume_pct_of_avg "
+    f"FROM ({_trend_sql(_DIP_SQL, 'call_date')}) t WHERE volume_ratio < 0.5", "earnings_calls"))
+def _mon_volume_drop_dip(spark, sf_dir):
+    """The same monitor over a feed with dipping days."""
+    dipped = T(spark, sf_dir).earnings_calls.filter(F.expr(_DIP))
+    return monitor.volume_drop(monitor.volume_trend(dipped, "call_date", AS_OF), "call_date")
 
 
 # Nullability is what Spark reports for the adapter output (fixed values).
@@ -896,9 +931,10 @@ def _mon_schema_snapshot(spark, sf_dir):
     return monitor.schema_snapshot(T(spark, sf_dir).earnings_calls, "earnings_calls")
 
 
-@register("mon_schema_unexpected", """
-    SELECT 'sentiment_score' AS column_name, 'double' AS data_type
-    UNION ALL SELECT 'ai_summary', 'string'""")
+@register("mon_schema_unexpected", sql("""
+    SELECT 'sentiment_score' AS column_name, 'double' AS data_type, count(sentiment_score) AS non_null_count
+    FROM int_earnings_sentiment
+    UNION ALL SELECT 'ai_summary', 'string', count(ai_summary) FROM int_earnings_sentiment""", "int_earnings_sentiment"))
 def _mon_schema_unexpected(spark, sf_dir):
     """The enriched call table against the raw column list."""
     return monitor.schema_unexpected(G(spark, sf_dir).get("int_earnings_sentiment"),
@@ -1160,12 +1196,27 @@ def _alert_zero_new_filings(spark, sf_dir):
     return alerts.zero_new_filings(T(spark, sf_dir).sec_filings, NOW)
 
 
-@register("alert_volume_drop", _alert_sql(
-    "warning", "alert_volume_drop",
-    f"SELECT count(*) FILTER (WHERE volume_ratio < 0.5) FROM ({_trend_sql('sec_filings', 'filing_date')}) t",
-    0.5, "{m} > 0", "sec_filings"))
+_FEEDS = [("earnings_calls", "call_date"), ("sec_filings", "filing_date"), ("stock_prices", "price_date")]
+
+
+def _low_sql(tables) -> str:
+    lows = " UNION ALL ".join(f"SELECT min(volume_ratio) AS m FROM ({_trend_sql(t, c)}) t" for t, c in tables)
+    return f"SELECT min(m) FROM ({lows}) x"
+
+
+@register("alert_volume_drop", _alert_sql("warning", "alert_volume_drop", _low_sql(_FEEDS), 0.5, "{m} < 0.5",
+                                          *[t for t, _ in _FEEDS]))
 def _alert_volume_drop(spark, sf_dir):
-    return alerts.volume_drop(T(spark, sf_dir).sec_filings, "filing_date", AS_OF)
+    """The lowest volume ratio of every raw feed."""
+    raw = _raw_tables(spark, sf_dir)
+    return alerts.volume_drop([(raw[t], c) for t, c in _FEEDS], AS_OF)
+
+
+@register("alert_volume_drop_dip", _alert_sql("warning", "alert_volume_drop", _low_sql([(_DIP_SQL, "call_date")]), 0.5,
+                                              "{m} < 0.5", "earnings_calls"))
+def _alert_volume_drop_dip(spark, sf_dir):
+    """Fires on the feed with dipping days."""
+    return alerts.volume_drop([(T(spark, sf_dir).earnings_calls.filter(F.expr(_DIP)), "call_date")], AS_OF)
 
 
 @register("alert_risk_surge", _alert_sql(
@@ -1192,22 +1243,37 @@ def _alert_null_sentiment(spark, sf_dir):
     return alerts.null_sentiment(G(spark, sf_dir).get("int_earnings_sentiment"))
 
 
-@register("alert_schema_changed", _alert_sql("info", "alert_schema_changed", "SELECT 0", 0, "{m} > 0"))
+# Two loads of the documents table: a column lost, one gained, one retyped.
+_LOADS = ("SELECT doc_id, text, lang, n_chars FROM documents",
+          "SELECT doc_id, text, source, CAST(n_chars AS DOUBLE) AS n_chars FROM documents")
+
+
+@register("alert_schema_changed", _alert_sql("info", "alert_schema_changed", f"""
+    SELECT count(*) FROM (SELECT column_name, column_type FROM (DESCRIBE {_LOADS[0]})) a
+    FULL JOIN (SELECT column_name, column_type FROM (DESCRIBE {_LOADS[1]})) b USING (column_name)
+    WHERE a.column_type IS DISTINCT FROM b.column_type""", 0, "{m} > 0"))
 def _alert_schema_changed(spark, sf_dir):
-    return alerts.schema_changed(T(spark, sf_dir).earnings_calls, schemas.EARNINGS_CALLS_EXPECTED_COLUMNS)
+    """A stored snapshot of one load against the snapshot of the next."""
+    docs = T(spark, sf_dir).raw("documents")
+    path = scratch_path(spark, "schema_snapshot")
+    monitor.schema_snapshot(docs.select("doc_id", "text", "lang", "n_chars"), "documents").write.parquet(path)
+    now = docs.select("doc_id", "text", "source", F.col("n_chars").cast("double").alias("n_chars"))
+    return alerts.schema_changed(monitor.schema_snapshot(now, "documents"), spark.read.parquet(path))
 
 
 _SHIFT_SQL = f"""
     SELECT arg_max(shift, price_date) FROM (
       SELECT price_date, {hu('abs((a - lag(a, 30) OVER (ORDER BY price_date)) / NULLIF(lag(a, 30) OVER (ORDER BY price_date), 0)) * 100.0', 2)} AS shift
       FROM (SELECT price_date, avg(CAST(n AS DOUBLE)) OVER (ORDER BY price_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS a
-            FROM (SELECT price_date, count(*) AS n FROM stock_prices GROUP BY price_date) d) x) y"""
+            FROM (SELECT CAST(o_orderdate AS DATE) AS price_date, count(*) AS n FROM orders GROUP BY 1) d) x) y"""
 
 
 @register("alert_volume_trend_shift", _alert_sql("info", "alert_volume_trend_shift", _SHIFT_SQL, 20,
-                                                 "{m} > 20", "stock_prices"))
+                                                 "{m} > 20"))
 def _alert_volume_trend_shift(spark, sf_dir):
-    return alerts.volume_trend_shift(T(spark, sf_dir).stock_prices, "price_date")
+    """Over the orders feed, which has far more days than the lag."""
+    orders = T(spark, sf_dir).raw("orders").select(F.to_date("o_orderdate").alias("price_date"))
+    return alerts.volume_trend_shift(orders, "price_date")
 
 
 @register("alert_new_ticker", _alert_sql(
@@ -1289,17 +1355,51 @@ def _quality_gate(spark, sf_dir):
     return quality.quality_gate(quality.validate_all(_raw_tables(spark, sf_dir)), raise_on_fail=False)
 
 
-_PROFILE_COLS = ["open_price", "high_price", "low_price", "close_price", "adj_close_price", "volume"]
+# a column of each kind as the number that is profiled
+_PROFILED = {"price_id": "length(price_id)", "ticker": "length(ticker)", "price_date": "date_diff('day', DATE '1970-01-01', price_date)",
+             **{c: c for c in ("open_price", "high_price", "low_price", "close_price", "adj_close_price", "volume")},
+             "_loaded_at": "epoch_us(_loaded_at) / 1e6"}
 
 
 @register("column_profile", sql("\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, count({c}) AS non_null_count, count(*) - count({c}) AS null_count, "
-    f"count(DISTINCT {c}) AS distinct_count, CAST(min({c}) AS DOUBLE) AS min_value, "
-    f"CAST(max({c}) AS DOUBLE) AS max_value, {hu(f'avg({c})', 6)} AS mean_value, "
-    f"{hu(f'stddev_samp({c})', 6)} AS stddev_value FROM stock_prices" for c in _PROFILE_COLS), "stock_prices"))
+    f"count(DISTINCT {c}) AS distinct_count, CAST(min({m}) AS DOUBLE) AS min_value, "
+    f"CAST(max({m}) AS DOUBLE) AS max_value, {hu(f'avg({m})', 3)} AS mean_value, "
+    f"{hu(f'stddev_samp({m})', 3)} AS stddev_value FROM stock_prices" for c, m in _PROFILED.items()), "stock_prices"))
 def _column_profile(spark, sf_dir):
     p = quality.profile(T(spark, sf_dir).stock_prices, exact=True)
-    return p.withColumns({"mean_value": half_up("mean_value", 6), "stddev_value": half_up("stddev_value", 6)})
+    return p.withColumns({"mean_value": half_up("mean_value", 3), "stddev_value": half_up("stddev_value", 3)})
+
+
+# Suites that the driver tables pass or fail, as SQL over the same tables.
+_GATES = {"reference": quality.SUITES, "keys": {"stock_prices": [
+    quality.Check("not_null", "price_id"), quality.Check("unique", "price_id"), quality.Check("not_null", "ticker")]}}
+
+
+def _gate_sql(name: str, suites) -> str:
+    checks = "\nUNION ALL\n".join(_check_sql("stock_prices", i, c) for i, c in enumerate(suites["stock_prices"]))
+    return (f"SELECT '{name}' AS suites, bool_and(success) AS passed, "
+            f"CASE WHEN bool_and(success) THEN (SELECT count(*) FROM stg_stock_prices) ELSE 0 END AS staged_rows FROM ({checks}) c")
+
+
+def _gated(spark, sf_dir, suites) -> tuple[bool, int]:
+    """Run the prices group behind the suites: did it pass, rows staged."""
+    root = scratch_path(spark, "gated")
+    prices = {"stock_prices": suites["stock_prices"]}
+    try:
+        built = run_pipeline(G(spark, sf_dir), "prices", root, gate=prices)
+    except quality.QualityGateError:
+        staged = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/staging")
+        fs = staged.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return False, -1 if fs.exists(staged) else 0
+    return True, built["stg_stock_prices"].count()
+
+
+@register("pipeline_gate", sql("\nUNION ALL\n".join(_gate_sql(n, s) for n, s in _GATES.items()), "stock_prices", "stg_stock_prices"))
+def _pipeline_gate(spark, sf_dir):
+    """A failing gate leaves nothing staged, a passing one stages the table."""
+    rows = [(name, *_gated(spark, sf_dir, suites)) for name, suites in _GATES.items()]
+    return spark.createDataFrame(rows, "suites string, passed boolean, staged_rows long")
 
 
 _IDS = [("earnings_calls", "call_id"), ("sec_filings", "filing_id"), ("stock_prices", "price_id")]

@@ -48,10 +48,11 @@ def zero_new_filings(filings: DataFrame, now: _dt.datetime, hours: int = 48) ->
     return _row(a, CRITICAL, "alert_zero_new_filings", F.col("m"), 0, lambda m: m == 0)
 
 
-def volume_drop(df: DataFrame, date_col: str, as_of: _dt.date, ratio: float = 0.5) -> DataFrame:
-    t = monitor.volume_trend(df, date_col, as_of)
-    a = t.agg(F.count_if(F.col("volume_ratio") < ratio).alias("m"))
-    return _row(a, WARNING, "alert_volume_drop", F.col("m"), ratio, lambda m: m > 0)
+def volume_drop(feeds: Sequence[tuple[DataFrame, str]], as_of: _dt.date, ratio: float = 0.5) -> DataFrame:
+    """The lowest daily volume of any feed, as a ratio to its 7-day average."""
+    lows = [monitor.volume_trend(df, date_col, as_of).agg(F.min("volume_ratio").alias("m")) for df, date_col in feeds]
+    a = reduce(lambda x, y: x.unionByName(y), lows).agg(F.min("m").alias("m"))
+    return _row(a, WARNING, "alert_volume_drop", F.col("m"), ratio, lambda m: m < ratio)
 
 
 def risk_surge(filings: DataFrame, as_of: _dt.date, days: int = 7, pct: float = 60.0) -> DataFrame:
@@ -72,14 +73,10 @@ def null_sentiment(scores: DataFrame, col: str = "sentiment_score", pct: float =
     return _row(a, WARNING, "alert_null_sentiment", F.col("m"), pct, lambda m: m > pct)
 
 
-def schema_changed(current: DataFrame, expected: Sequence[str]) -> DataFrame:
-    """Columns added or missing against the expected column list."""
-    spark = current.sparkSession
-    cur = spark.createDataFrame([(c.upper(),) for c in current.columns], "c string")
-    exp = spark.createDataFrame([(c.upper(),) for c in expected], "c string")
-    added = cur.join(exp, "c", "left_anti")
-    missing = exp.join(cur, "c", "left_anti")
-    a = added.unionByName(missing).agg(F.count(F.lit(1)).alias("m"))
+def schema_changed(current: DataFrame, stored: DataFrame) -> DataFrame:
+    """Columns added, removed or of another type or nullability between two
+    schema snapshots (``monitor.schema_snapshot``)."""
+    a = monitor.schema_drift(current, stored).agg(F.count(F.lit(1)).alias("m"))
     return _row(a, INFO, "alert_schema_changed", F.col("m"), 0, lambda m: m > 0)
 
 

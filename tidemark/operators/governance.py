@@ -89,14 +89,14 @@ def row_access(df: DataFrame, role: str, role_tickers: DataFrame | None = None,
     """Rows visible to ``role``: everything for privileged roles, the
     role's ticker list for sector roles, nothing otherwise.
 
-    The role->ticker table is the policy definition itself (a handful of
-    rows, bounded by the policy, not by the data), so it is broadcast.
+    The role->ticker table is the policy definition; the optimiser decides
+    by its size whether it is broadcast.
     """
     if role in ALL_ROWS_ROLES:
         return df
     rt = role_tickers if role_tickers is not None else role_tickers_frame(df.sparkSession)
     allowed = rt.filter(F.col("role") == role).select(F.col("ticker").alias("_allowed"))
-    return df.join(F.broadcast(allowed), df[col] == F.col("_allowed"), "left_semi")
+    return df.join(allowed, df[col] == F.col("_allowed"), "left_semi")
 
 
 # Policies attached per table: (row filter column or None, {column: mask}).

@@ -65,8 +65,13 @@ def schema_snapshot(df: DataFrame, name: str) -> DataFrame:
 
 
 def schema_unexpected(df: DataFrame, expected: Sequence[str]) -> DataFrame:
-    """Columns present but not in the expected list (case-insensitive)."""
-    snap = schema_snapshot(df.limit(0), "t").select("column_name", "data_type")
+    """Columns present but not in the expected list (case-insensitive), with
+    the number of rows that fill them."""
+    known = {e.upper() for e in expected}
+    extra = df.select(*[c for c in df.columns if c.upper() not in known])
+    if not extra.columns:
+        extra = df                                   # nothing unexpected: the join below leaves no row
+    snap = schema_snapshot(extra, "t").select("column_name", "data_type", "non_null_count")
     exp = df.sparkSession.createDataFrame([(e.upper(),) for e in expected], "expected string")
     return snap.join(exp, F.upper(F.col("column_name")) == F.col("expected"), "left_anti")
 
@@ -175,7 +180,7 @@ def refresh_health(log: DataFrame, now: _dt.datetime, lags: dict[str, str] | Non
                         F.col("_r.completed_time").alias("last_refresh_time"))
     if lag_rows:
         lagdf = log.sparkSession.createDataFrame(lag_rows, "table_name string, target_lag string")
-        out = out.join(F.broadcast(lagdf), "table_name", "left")
+        out = out.join(lagdf, "table_name", "left")
     else:
         out = out.withColumn("target_lag", F.lit(None).cast("string"))
     return out.select("table_name", "state", "target_lag", "last_refresh_time",

@@ -114,58 +114,28 @@ def _row_level(df: DataFrame, c: Check) -> tuple[Column, Column | None]:
 def validate(df: DataFrame, table: str, suite: Sequence[Check]) -> DataFrame:
     """One row per check: table, expectation, column, evaluated, unexpected, success.
 
-    One pass over the table: without a uniqueness check, one global
-    aggregate; with one, the table is grouped by that column with every
-    row-level counter as a partial sum per value (map-side combined), and a
-    second, tiny aggregate adds them up and counts the duplicated rows.
-    Further uniqueness checks take one grouped pass each.
+    Row checks are one global aggregate (no data shuffle, only the columns
+    they name); each uniqueness check groups its key column alone.
     """
     row_checks = [(i, c) for i, c in enumerate(suite) if c.kind != "unique"]
-    uniques = [(i, c) for i, c in enumerate(suite) if c.kind == "unique"]
-    first_unique = uniques[0] if uniques else None
-
-    def counters(i: int, c: Check):
-        ev, un = _row_level(df, c)
-        return ev, un
-
     parts = []
-    stack_rows = []
-    for i, c in row_checks:
-        ok = f"_e{i} BETWEEN {int(c.lo)} AND {int(c.hi)}" if c.kind == "row_count" else f"_u{i} = 0"
-        col = f"'{c.column}'" if c.column else "CAST(NULL AS STRING)"
-        stack_rows.append(f"{i}, '{c.expectation}', {col}, _e{i}, _u{i}, {ok}")
-    if first_unique is None:
-        aggs = []
+    if row_checks:
+        aggs, stacked = [], []
         for i, c in row_checks:
-            ev, un = counters(i, c)
+            ev, un = _row_level(df, c)
             aggs += [ev.cast("bigint").alias(f"_e{i}"),
                      (un if un is not None else F.lit(None)).cast("bigint").alias(f"_u{i}")]
-        one = df.agg(*aggs)
-    else:
-        ui, uc = first_unique
-        x = F.col(uc.column)
-        per_value = [F.count(F.lit(1)).alias("_n")]
-        for i, c in row_checks:
-            ev, un = counters(i, c)
-            per_value += [ev.cast("bigint").alias(f"_pe{i}"),
-                          (un if un is not None else F.lit(0)).cast("bigint").alias(f"_pu{i}")]
-        grouped = df.groupBy(x.alias("_key")).agg(*per_value)
-        valued = F.col("_key").isNotNull()
-        totals = [F.coalesce(F.sum(F.when(valued, F.col("_n"))), F.lit(0)).cast("bigint").alias(f"_e{ui}"),
-                  F.coalesce(F.sum(F.when(valued & (F.col("_n") > 1), F.col("_n"))), F.lit(0))
-                  .cast("bigint").alias(f"_u{ui}")]
-        for i, c in row_checks:
-            totals += [F.coalesce(F.sum(f"_pe{i}"), F.lit(0)).cast("bigint").alias(f"_e{i}"),
-                       (F.lit(None).cast("bigint") if c.kind == "row_count"
-                        else F.coalesce(F.sum(f"_pu{i}"), F.lit(0)).cast("bigint")).alias(f"_u{i}")]
-        one = grouped.agg(*totals)
-        stack_rows.append(f"{ui}, '{uc.expectation}', '{uc.column}', _e{ui}, _u{ui}, _u{ui} = 0")
-    parts.append(one.selectExpr(
-        f"stack({len(stack_rows)}, {', '.join(stack_rows)}) "
-        "AS (check_index, expectation, column_name, evaluated, unexpected, success)"))
-    for i, c in uniques[1:]:
+            ok = f"_e{i} BETWEEN {int(c.lo)} AND {int(c.hi)}" if c.kind == "row_count" else f"_u{i} = 0"
+            col = f"'{c.column}'" if c.column else "CAST(NULL AS STRING)"
+            stacked.append(f"{i}, '{c.expectation}', {col}, _e{i}, _u{i}, {ok}")
+        parts.append(df.agg(*aggs).selectExpr(
+            f"stack({len(stacked)}, {', '.join(stacked)}) "
+            "AS (check_index, expectation, column_name, evaluated, unexpected, success)"))
+    for i, c in enumerate(suite):
+        if c.kind != "unique":
+            continue
         x = F.col(c.column)
-        dup = (df.filter(x.isNotNull()).groupBy(x).agg(F.count(F.lit(1)).alias("_n")))
+        dup = df.filter(x.isNotNull()).groupBy(x).agg(F.count(F.lit(1)).alias("_n"))
         stats = dup.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("evaluated"),
                         F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0))
                         .cast("bigint").alias("unexpected"))
@@ -219,25 +189,40 @@ def quality_gate(results: DataFrame, raise_on_fail: bool = True) -> DataFrame:
     return rows
 
 
+def _measure(field: T.StructField):
+    """A column as a number: numbers and booleans themselves, strings and
+    binaries by length, dates as days and timestamps as seconds since 1970."""
+    x, kind = F.col(field.name), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType, T.CharType, T.VarcharType)):
+        return F.length(x).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.datediff(x, F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(kind), x).cast("double") / 1e6
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return x.cast("double")
+    return None
+
+
 def profile(df: DataFrame, exact: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per numeric column: non-null, null, distinct, min, max, mean, stddev.
+    """Per column: non-null, null, distinct, and min, max, mean, stddev of
+    its measure (see ``_measure``; NULL for nested types).
 
     One aggregate; distinct is HyperLogLog++ unless ``exact``.
     """
-    num = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-    cols = [f.name for f in df.schema.fields
-            if isinstance(f.dataType, num) and (columns is None or f.name in columns)]
+    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, c in enumerate(cols):
-        x = F.col(c)
+    for i, f in enumerate(fields):
+        x, m = F.col(f.name), _measure(f)
+        m = F.lit(None).cast("double") if m is None else m
         d = F.count_distinct(x) if exact else F.approx_count_distinct(x)
         aggs += [F.count(x).alias(f"_nn{i}"), d.cast("bigint").alias(f"_d{i}"),
-                 F.min(x).cast("double").alias(f"_mi{i}"), F.max(x).cast("double").alias(f"_ma{i}"),
-                 F.avg(x).cast("double").alias(f"_av{i}"), F.stddev_samp(x).cast("double").alias(f"_sd{i}")]
-    rows = ", ".join(f"'{c}', _nn{i}, _n - _nn{i}, _d{i}, _mi{i}, _ma{i}, _av{i}, _sd{i}"
-                     for i, c in enumerate(cols))
+                 F.min(m).alias(f"_mi{i}"), F.max(m).alias(f"_ma{i}"),
+                 F.avg(m).alias(f"_av{i}"), F.stddev_samp(m).alias(f"_sd{i}")]
+    rows = ", ".join(f"'{f.name}', _nn{i}, _n - _nn{i}, _d{i}, _mi{i}, _ma{i}, _av{i}, _sd{i}"
+                     for i, f in enumerate(fields))
     return df.agg(*aggs).selectExpr(
-        f"stack({len(cols)}, {rows}) AS (column_name, non_null_count, null_count, distinct_count, "
+        f"stack({len(fields)}, {rows}) AS (column_name, non_null_count, null_count, distinct_count, "
         "min_value, max_value, mean_value, stddev_value)")
 
 

@@ -14,7 +14,6 @@ CSV_OPTIONS = {
     "sep": ",",
     "quote": '"',
     "escape": '"',          # RFC 4180: a quote inside a quoted field is doubled
-    "multiLine": "true",    # quoted fields may span lines
     "ignoreLeadingWhiteSpace": "false",    # keep values byte for byte (the writer
     "ignoreTrailingWhiteSpace": "false",   # would otherwise trim them)
     "mode": "FAILFAST",
@@ -29,7 +28,11 @@ READ_NULL_SENTINEL = "\u0000"
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """Read CSV into a declared schema (never inferred; bad rows fail)."""
+    """Read CSV into a declared schema (never inferred; bad rows fail).
+
+    Pass ``multiLine="true"`` for files whose quoted fields span lines; such
+    files can't be split, so it is off by default.
+    """
     opts = {**CSV_OPTIONS, "nullValue": READ_NULL_SENTINEL, **options}
     return spark.read.schema(schema).options(**opts).csv(path)
 
@@ -45,7 +48,7 @@ def with_defaults(df: DataFrame, defaults: dict[str, Any]) -> DataFrame:
     repl = {}
     for c, v in defaults.items():
         if isinstance(v, str) and v == "now":
-            repl[c] = F.coalesce(F.col(c), F.current_timestamp())
+            repl[c] = F.coalesce(F.col(c), F.current_timestamp().cast(df.schema[c].dataType))
         else:
             repl[c] = F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
     return df.withColumns(repl)

@@ -45,8 +45,10 @@ EARNINGS_CALLS_EXPECTED_COLUMNS = [
     "TRANSCRIPT_TEXT", "CONFIDENCE_SCORE", "_LOADED_AT",
 ]
 
-# Column defaults applied at ingest (fixed values).
-EARNINGS_DEFAULTS = {"confidence_score": 0.85}
+# Column defaults applied at ingest (fixed values; "now" is the load time).
+EARNINGS_DEFAULTS = {"confidence_score": 0.85, "_loaded_at": "now"}
+FILINGS_DEFAULTS = {"_loaded_at": "now"}
+PRICES_DEFAULTS = {"_loaded_at": "now"}
 
 BY_NAME = {
     "earnings_calls": EARNINGS_CALLS,

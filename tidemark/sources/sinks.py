@@ -87,6 +87,11 @@ def event_rows(events: DataFrame, event_type, details, records_affected) -> Data
         F.coalesce(records_affected.cast("bigint"), F.lit(0).cast("bigint")).alias("records_affected"))
 
 
+def append_events(rows: DataFrame, target: str) -> None:
+    """Append shaped rows (``event_rows``) that need no replay key."""
+    append(rows, f"{target.rstrip('/')}/_key=none")
+
+
 def log_event(spark: SparkSession, target: str, event_type: str, details: dict | None,
               records_affected: int = 0, key: str | None = None) -> None:
     """Write one audit row; see ``log_events``."""

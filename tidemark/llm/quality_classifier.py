@@ -111,15 +111,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Logistic |
     draw = F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(1 << 40)) / float(1 << 40)
     # about ``sample`` ids whatever the size of the table, so small enough to broadcast
     drawn = F.broadcast(known.filter(draw * float(max(total, 1)) < sample).select(F.col("doc_id").alias("_id"), "_y"))
-    rows = docs.join(drawn, F.col("doc_id") == F.col("_id")).select(
-        "_y", _shape(docs.sparkSession)(F.col("text").cast("string").cast("binary")).alias("x")).toPandas()
+    rows = docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("_id")).select(
+        "_y", _shape()(F.col("text").cast("string").cast("binary")).alias("x")).toPandas()
     if not len(rows):
         return None
     order = sorted(range(len(rows)), key=lambda i: (rows["_y"][i], list(rows["x"][i])))   # whatever order rows came in
     return train_logistic(np.array([rows["x"][i] for i in order]), np.array([rows["_y"][i] for i in order], dtype=float))
 
 
-def _shape(spark):
+def _shape():
     @F.pandas_udf("array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
@@ -181,45 +181,40 @@ def site_posteriors(evidence_: DataFrame, base: float) -> DataFrame:
     return materialize(joined.join(k_path, F.lit(True)), "sites")
 
 
-def judged(docs: DataFrame, sites: DataFrame, log_odds: Column, base: float, host: Column, path: Column) -> DataFrame:
-    """docs (all their columns) with a struct ``_q``: evidence, host_rate,
-    path_rate, score, kept. The site table is left to the optimiser, which
+def judged(rows: DataFrame, sites: DataFrame, base: float) -> DataFrame:
+    """``rows`` (row, host, path, log_odds) with evidence, host_rate,
+    path_rate, score and kept. The site table is left to the optimiser, which
     broadcasts it only if its measured size allows."""
-    marked = docs.withColumn("_h", host).withColumn("_p", path).withColumn("_e", log_odds)
-    at = sites.select([F.col(c).alias(f"_site_{c}") for c in sites.columns])
-    joined = marked.join(at, F.col("_h").eqNullSafe(F.col("_site_host")) & F.col("_p").eqNullSafe(F.col("_site_path")), "left")
-    own, c = _good(F.col("_e") + base), lambda name: F.col(f"_site_{name}")
+    at = sites.select([F.col(c).alias(f"site_{c}") for c in sites.columns])
+    joined = rows.join(at, F.col("host").eqNullSafe(F.col("site_host")) & F.col("path").eqNullSafe(F.col("site_path")), "left")
+    own, c = _good(F.col("log_odds") + base), lambda name: F.col(f"site_{name}")
     logit = lambda p: F.log(p / (1 - p))
     bound = lambda p: F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
     # without the document itself, at both levels
-    host_rate = bound((c("host_s") - own + c("k_host") * c("prior")) / (c("host_n") - 1 + c("k_host")))
-    path_rate = bound((c("s") - own + c("k_path") * F.col("_hr")) / (c("n") - 1 + c("k_path")))
-    joined = joined.withColumn("_hr", host_rate).withColumn("_pr", path_rate)
-    score = _good(F.col("_e") + logit(F.col("_pr")))
-    return joined.withColumn("_q", F.struct(F.col("_e").alias("evidence"), F.col("_hr").alias("host_rate"),
-                                            F.col("_pr").alias("path_rate"), score.alias("score"), (score >= CUT).alias("kept"))
-                             ).select(*docs.columns, "_q")
+    joined = joined.withColumn("host_rate", bound((c("host_s") - own + c("k_host") * c("prior")) / (c("host_n") - 1 + c("k_host"))))
+    joined = joined.withColumn("path_rate", bound((c("s") - own + c("k_path") * F.col("host_rate")) / (c("n") - 1 + c("k_path"))))
+    score = _good(F.col("log_odds") + logit(F.col("path_rate")))
+    return joined.select("row", F.col("log_odds").alias("evidence"), "host_rate", "path_rate", score.alias("score"),
+                         (score >= CUT).alias("kept"))
 
 
-def _sites_of(docs: DataFrame, model: Logistic | None, host: Column, path: Column) -> DataFrame:
-    return site_posteriors(docs.select(host.alias("host"), path.alias("path"),
-                                       evidence(docs.sparkSession, model)(F.col("text")).alias("log_odds")), base_of(model))
+def _rows(docs: DataFrame, model: Logistic | None, host: str, path: str, *columns: Column) -> DataFrame:
+    return docs.select(*columns, F.col(host).alias("host"), F.col(path).alias("path"),
+                       evidence(docs.sparkSession, model)(F.col("text")).alias("log_odds"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
     """The documents (all their columns) that are not rejected."""
     model = fit(docs, labels)
-    sites = _sites_of(docs, model, F.col(host), F.col(path))
-    log_odds = evidence(docs.sparkSession, model)(F.col("text"))
-    return judged(docs, sites, log_odds, base_of(model), F.col(host), F.col(path)).filter("_q.kept").drop("_q")
+    sites = site_posteriors(_rows(docs, model, host, path), base_of(model))
+    return judged(_rows(docs, model, host, path, F.struct("*").alias("row")), sites, base_of(model)).filter("kept").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op3: evidence, site rates and verdict of every document."""
     docs = table(spark, sf_dir, "documents")
     model = fit(docs, table(spark, sf_dir, "labels"))
-    thin = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("host"),
-                                   F.col("lang").alias("path"), held_out().alias("held_out"),
-                                   evidence(spark, model)(F.col("text")).alias("log_odds")), "evidence")
-    out = judged(thin, site_posteriors(thin, base_of(model)), F.col("log_odds"), base_of(model), F.col("host"), F.col("path"))
-    return out.select("doc_id", "held_out", "_q.evidence", "_q.host_rate", "_q.path_rate", "_q.score", "_q.kept")
+    row = F.struct(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out")).alias("row")
+    thin = materialize(_rows(docs, model, "source", "lang", row), "evidence")
+    return judged(thin, site_posteriors(thin, base_of(model)), base_of(model)).select(
+        "row.doc_id", "row.held_out", "evidence", "host_rate", "path_rate", "score", "kept")

@@ -215,7 +215,7 @@ def _with_candidates(source: DataFrame, rules: tuple[Rule, ...]) -> tuple[Column
     if not names:
         return F.array(), source
     found = candidates(build_index(source, names), rules)
-    return F.col("_rules"), source.join(found, source["doc_id"].cast("long").eqNullSafe(found["_doc"]), "left")
+    return F.col("_rules"), source.join(found, source["doc_id"].eqNullSafe(found["_doc"]), "left")
 
 
 def _where(found: Column, rule: Rule, then: Column, other: Column) -> Column:
@@ -227,8 +227,9 @@ def _where(found: Column, rule: Rule, then: Column, other: Column) -> Column:
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """The documents (all their columns) with every match replaced by the
     mark, rule after rule; n_chars follows the text. A null text stays null."""
-    names = docs.columns
-    found, joined = _with_candidates(docs, rules)
+    whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                        F.col("text").cast("string").alias("text"))
+    found, joined = _with_candidates(whole, rules)
 
     def wiped(text: Column, rule: Rule) -> Column:
         def body(cut: Column) -> Column:
@@ -240,12 +241,11 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     def step(text: Column, rule: Rule) -> Column:
         return let(text, lambda t: _where(found, rule, F.when(F.rlike(t, F.lit(rule.regex)), wiped(t, rule)).otherwise(t), t))
 
-    text = reduce(step, rules, joined["text"])
-    out = joined.withColumn("text", text)
-    if "n_chars" in names:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return out.select(*names)
+    wiped_text = joined.withColumn("text", reduce(step, rules, F.col("text")))
+    counted = F.when(F.col("text").isNull(), F.col("row.n_chars")).otherwise(
+        F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else None
+    own = {"text": F.col("text"), "n_chars": counted}
+    return wiped_text.select(*[own.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def _listed(spans: Column) -> Column:

@@ -156,7 +156,7 @@ def examples(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES,
     # about ``positives`` ids whatever the size of the table, so small enough to broadcast
     drawn = F.broadcast(known.filter((F.col("toxic") == 1) & (_draw("doc_id", 21) * float(max(toxic, 1)) < positives))
                         .select(F.col("doc_id").alias("_id"), F.lit(True).alias("_p")))
-    rows = docs.filter(~held_out()).join(drawn, F.col("doc_id") == F.col("_id"), "left").filter(
+    rows = docs.select("doc_id", "text").filter(~held_out()).join(drawn, F.col("doc_id") == F.col("_id"), "left").filter(
         F.col("_p").isNotNull() | (_draw("doc_id", 22) * float(max(total, 1)) < unlabelled))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,6 +27,8 @@ are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -79,7 +81,8 @@ def read_turns(text: Column) -> Column:
 def ancestors(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """([(node, up) at distance 1, 2, 4, ...], (node, tree, depth, path_score)).
 
-    Each round joins the pointer table with itself on unique node ids.
+    Each round joins the pointers that have not reached a root with all
+    pointers, on unique node ids.
     """
     parents = messages.select(F.col("node").alias("up"), F.lit(True).alias("_is"))
     state = materialize(
@@ -87,18 +90,21 @@ def ancestors(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         .select("node", "tree", F.when(F.col("_is"), F.col("up")).alias("up"),
                 F.when(F.col("_is"), 1).otherwise(0).cast("long").alias("depth"),
                 F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("path_score")), "pointers")
-    jumps, rounds = [], 0
-    while pending := state.filter("up is not null").agg(F.count(F.lit(1))).first()[0]:
-        if rounds > max(1, pending).bit_length() and rounds > 40:
+    # messages that have reached their root are done; only the others go on
+    done, active = [state.filter("up is null")], state.filter("up is not null")
+    jumps, most = [], None
+    while pending := active.count():
+        most = most or pending.bit_length() + 1
+        if len(jumps) > most:
             raise ValueError("messages reply to each other in a circle")
-        jumps.append(state.filter("up is not null").select("node", "up"))
-        far = state.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"),
-                           F.col("path_score").alias("_score"))
-        state = materialize(state.join(far, "up", "left").select(
-            "node", "tree", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-            (F.col("path_score") + F.coalesce("_score", F.lit(0.0))).alias("path_score")), "pointers")
-        rounds += 1
-    return jumps, state.drop("up")
+        jumps.append(active.select("node", "up"))
+        far = reduce(DataFrame.unionByName, [*done, active]).select(
+            F.col("node").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("path_score").alias("_score"))
+        state = materialize(active.join(far, "up").select(
+            "node", "tree", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"),
+            (F.col("path_score") + F.col("_score")).alias("path_score")), "pointers")
+        done, active = [*done, state.filter("up is null")], state.filter("up is not null")
+    return jumps, reduce(DataFrame.unionByName, done).drop("up")
 
 
 def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:

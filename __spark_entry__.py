@@ -427,11 +427,18 @@ def _vector_cosine_topk_filings(spark, sf_dir):
                                  extra_cols=("risk_category",))
 
 
-@register("scenario_clone", sql(_COUNTS_AS_DOUBLE, "mart_research_signals"))
+@register("scenario_clone", f"""
+    SELECT 'baseline' AS scenario, * FROM ({sql(_COUNTS_AS_DOUBLE, "mart_research_signals")}) a
+    UNION ALL SELECT 'clone', * FROM ({sql(_COUNTS_AS_DOUBLE, "mart_research_signals", ctes=oq.CTES_STRESS)}) b
+    UNION ALL SELECT 'baseline after', * FROM ({sql(_COUNTS_AS_DOUBLE, "mart_research_signals")}) c""")
 def _scenario_clone(spark, sf_dir):
-    """An override-free scenario copy: same results, baseline untouched."""
+    """A copy is taken and stressed; the baseline gives the same rows after."""
     base = G(spark, sf_dir)
-    return _counts_as_double(scenario.scenario(base, {}).get("mart_research_signals"))
+    before = base.get("mart_research_signals")
+    clone = scenario.stress_scenario(scenario.scenario(base, {}), 0.6, -0.2).get("mart_research_signals")
+    after = base.get("mart_research_signals")
+    return union_all([_counts_as_double(df).select(F.lit(name).alias("scenario"), "*")
+                      for name, df in (("baseline", before), ("clone", clone), ("baseline after", after))])
 
 
 @register("scenario_stress", sql(_COUNTS_AS_DOUBLE, "mart_research_signals", ctes=oq.CTES_STRESS))
@@ -769,12 +776,15 @@ def _mask_transcript_sql(role: str) -> str:
     return f"SELECT call_id, '{role}' AS role, {v} AS transcript_text FROM stg_earnings_calls"
 
 
+def _per_role(df: DataFrame) -> DataFrame:
+    """Every row once per role, from one scan; masks read the role per row."""
+    return df.withColumn("role", F.explode(F.array(*[F.lit(r) for r in gov.ROLES])))
+
+
 @register("mask_transcript", sql(_roles_sql(_mask_transcript_sql), "stg_earnings_calls"))
 def _mask_transcript(spark, sf_dir):
     df = _stg_calls(spark, sf_dir)
-    return union_all([df.select("call_id", F.lit(r).alias("role"),
-                                gov.mask_transcript(F.col("transcript_text"), r).alias("transcript_text"))
-                      for r in gov.ROLES])
+    return _per_role(df).select("call_id", "role", gov.mask_transcript(F.col("transcript_text"), F.col("role")).alias("transcript_text"))
 
 
 def _bucket_sql(v: str) -> str:
@@ -788,9 +798,8 @@ def _bucket_sql(v: str) -> str:
     f"FROM mart_earnings_summary")), "mart_earnings_summary"))
 def _mask_sentiment_range(spark, sf_dir):
     df = G(spark, sf_dir).get("mart_earnings_summary")
-    return union_all([df.select("ticker", "call_date", "company_name", F.lit(r).alias("role"),
-                                gov.mask_sentiment(F.col("sentiment_score"), r).alias("sentiment_score"))
-                      for r in gov.ROLES])
+    return _per_role(df).select("ticker", "call_date", "company_name", "role",
+                                gov.mask_sentiment(F.col("sentiment_score"), F.col("role")).alias("sentiment_score"))
 
 
 @register("mask_embedding", sql(_roles_sql(lambda r: (
@@ -799,12 +808,8 @@ def _mask_sentiment_range(spark, sf_dir):
     + " FROM ml_filing_embeddings")), "ml_filing_embeddings"))
 def _mask_embedding(spark, sf_dir):
     df = G(spark, sf_dir).get("ml_filing_embeddings")
-    parts = []
-    for r in gov.ROLES:
-        m = gov.mask_embedding(F.col("embedding_vector"), r)
-        parts.append(df.select("filing_id", F.lit(r).alias("role"),
-                               *[m[i].alias(f"emb_{i + 1}") for i in range(5)]))
-    return union_all(parts)
+    m = gov.mask_embedding(F.col("embedding_vector"), F.col("role"))
+    return _per_role(df).select("filing_id", "role", *[m[i].alias(f"emb_{i + 1}") for i in range(5)])
 
 
 @register("mask_file_size", sql(_roles_sql(lambda r: (
@@ -814,9 +819,7 @@ def _mask_embedding(spark, sf_dir):
     + " AS file_size_kb FROM stg_sec_filings")), "stg_sec_filings"))
 def _mask_file_size(spark, sf_dir):
     df = _stg_filings(spark, sf_dir)
-    return union_all([df.select("filing_id", F.lit(r).alias("role"),
-                                gov.mask_file_size(F.col("file_size_kb"), r).alias("file_size_kb"))
-                      for r in gov.ROLES])
+    return _per_role(df).select("filing_id", "role", gov.mask_file_size(F.col("file_size_kb"), F.col("role")).alias("file_size_kb"))
 
 
 def _row_access_sql(r: str, cols: str = "ticker", table: str = "mart_research_signals") -> str:

@@ -10,12 +10,16 @@ earliest per coordinate is the signature: two documents agree in a
 coordinate with a probability equal to their (weighted) Jaccard similarity.
 A document with an empty coordinate is thrown again with a larger t.
 
-Signatures are cut into bands. Documents that share a band are candidates:
-each bucket's members are compared with pivots of the bucket, links found so
-far are contracted to components, and further pivots are drawn only for
-buckets that still hold several components, so a large group of near copies
-never becomes all its pairs, and no candidate link between two components is
-left untested. Every candidate is checked on the whole texts.
+Signatures are cut into bands. Documents that share a band are candidates,
+but a bucket never becomes all its pairs: its members are compared with a
+pivot of the bucket, links found so far are contracted to components, and
+only buckets that still hold several components go on. Of their members the
+shingles that no other member of such a bucket has are counted: a member
+with too many of them is done, and the member with the fewest is the next
+pivot. What two members can have in common is bounded by what each shares
+with that central member and by what is left of its shingles that anyone
+else has; further pivots are drawn for what the bound leaves. No candidate link between two components is
+left untested, and every candidate is checked on the whole texts.
 
 Defined results: a null text counts as empty; equal texts are one class
 whatever their size; a text of fewer than five words is one shingle; texts
@@ -33,7 +37,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -42,6 +46,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 32
 ROWS = 6
+#: Words whose hash a worker remembers before it starts afresh.
+MEMO_WORDS = 250_000
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _POISSON = np.array([min(2 ** 64 - 1, int(sum(math.exp(-1) / math.factorial(j) for j in range(n + 1)) * 2 ** 64))
@@ -69,7 +75,7 @@ def shingles(text: bytes | None, size: int = SHINGLE) -> tuple[np.ndarray, np.nd
     words = text.lower().split() if text else []
     if not words:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    if len(_WORDS) > 1_000_000:
+    if len(_WORDS) > MEMO_WORDS:
         _WORDS.clear()
     h = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
     n = max(1, len(h) - size + 1)
@@ -184,17 +190,24 @@ def _pieces(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(texts) - start
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Does every node point to one centre, and no centre anywhere?"""
+    ends = (edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+            .unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))))
+    known = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return not known.filter("out > 1 or (out > 0 and into > 0)").limit(1).count()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node of each connected component.
 
-    Alternating large-star and small-star steps on an edge table; every
-    step is a grouped minimum joined back, checkpointed to shared files.
+    Alternating large-star and small-star steps on an edge table until it
+    holds only stars; every step is a grouped minimum joined back, written
+    to shared files.
     """
     e = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                     .filter("a <> b").distinct(), "edges")
-    print_of = lambda d: d.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-    last = print_of(e)
-    while last[0]:
+    while not _are_stars(e):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (both.join(least, "a").filter("b > a")
@@ -203,20 +216,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").select("a", "b", "m")
         e = materialize(small.select(F.col("b").alias("a"), F.col("m").alias("b"))
                         .unionByName(small.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "edges")
-        now = print_of(e)
-        if now == last:
-            break
-        last = now
     return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def _checked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Of the pairs (a, b), those whose whole texts reach the threshold."""
+def _shared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, na, nb, both): shingles of the whole texts and how many they share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            memo: dict[int, np.ndarray] = {}        # pivots repeat; one batch at most
-            keep = []
+            memo: dict[int, np.ndarray] = {}        # pivots repeat; a few dozen at most
+            na, nb, both = [], [], []
             for b, ta, tb in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 x = shingles(ta.as_py())[0]
                 if b not in memo:
@@ -224,13 +233,67 @@ def _checked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                         memo.clear()
                     memo[b] = shingles(tb.as_py())[0]
                 y = memo[b]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= threshold * (len(x) + len(y) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                na.append(len(x))
+                nb.append(len(y))
+                both.append(len(np.intersect1d(x, y, assume_unique=True)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(v, pa.int64()) for v in (na, nb, both))],
+                                             names=["a", "b", "na", "nb", "both"])
 
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(
+        run, "a long, b long, na long, nb long, both long")
+
+
+def _similar(both: Column, n: Column, n2: Column, threshold: float) -> Column:
+    return both >= threshold * (n + n2 - both) - 1e-9
+
+
+def _may_reach(threshold: float) -> Column:
+    """Can two members of a bucket reach the threshold? They share at most
+    what each shares with the bucket's central member, and of the rest at
+    most what each shares with anyone."""
+    most = F.least("inside", "inside2") + F.least("outside", "outside2")
+    return _similar(most, F.col("n"), F.col("n2"), threshold)
+
+
+def _merged(component: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after more links; nodes without a link have no row."""
+    if component is None:
+        return connected_components(links)
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    known = materialize(ends.join(component, "node", "full").select(
+        "node", F.coalesce("component", "node").alias("component")), "components")
+    of = lambda end: known.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+    between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    joined = connected_components(between).select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    return materialize(known.join(joined, "component", "left").select(
+        "node", F.coalesce("_to", "component").alias("component")), "components")
+
+
+def _open(shared: DataFrame, component: DataFrame | None) -> DataFrame:
+    """Rows of the buckets that hold several components, with the component."""
+    label = shared.drop("component")
+    label = (label.withColumn("component", F.col("node")) if component is None else
+             label.join(component, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    several = (label.groupBy("bucket").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"),
+                                           F.count(F.lit(1)).alias("members")).filter("_lo <> _hi").select("bucket", "members"))
+    return materialize(label.drop("members").join(several, "bucket"), "open")
+
+
+def _common(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, c): how many of its shingles a node shares with any other of the nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = shingles(text.as_py())[0].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), node))], names=["shingle", "node"])
+
+    rows = texts.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(
+        run, "shingle long, node long")
+    lone = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("_m")).filter("node = _m")
+    return lone.groupBy("node").agg(F.count(F.lit(1)).alias("lone"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = False,
@@ -242,49 +305,65 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
     firsts = sig.join(classes.select(F.col("text_class").alias("node")), "node", "left_semi")
     entries = firsts.select("node", "n", F.explode("bands").alias("bucket"))
     sizes = (entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"),
-                                           F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("p"))
-             .filter("members > 1").select("bucket", "members", F.col("p.node").alias("pivot")))
+                                           F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n")).alias("p"))
+             .filter("members > 1").select("bucket", "members", F.col("p.node").alias("pivot"), F.col("p.n").alias("n2")))
     shared = materialize(entries.join(sizes, "bucket"), "buckets")
 
-    wanted = shared.select("node").distinct()
-    named = sig.join(wanted, "node").select("node", "digest", F.col("doc_id").alias("_doc"))
+    named = sig.join(shared.select("node").distinct(), "node").select("node", "digest", F.col("doc_id").alias("_doc"))
     source = docs.select(F.col("doc_id").cast("long").alias("_doc"), _digest().alias("digest"),
                          F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     match = (source["digest"] == named["digest"]) & source["_doc"].eqNullSafe(named["_doc"])
     texts = materialize(source.join(named, match).select("node", "text").dropDuplicates(["node"]), "texts")
 
-    near = F.least("n", "n2") >= threshold * F.greatest("n", "n2") - 1e-9     # else they can't reach it
-    size_of = shared.select(F.col("node").alias("pivot"), F.col("n").alias("n2")).distinct()
-    pairs = (shared.filter("node <> pivot").select(F.col("node").alias("a"), "n", "pivot").distinct()
-             .join(size_of, "pivot").filter(near)
-             .select(F.least("a", "pivot").alias("a"), F.greatest("a", "pivot").alias("b")).distinct())
-    tested = [materialize(pairs, "pairs")]
-    links = [materialize(_checked(tested[0], texts, threshold), "links")]
-
-    pivots = 8
+    def once(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).filter("a <> b").distinct()
+
+    def test(pairs: DataFrame) -> DataFrame:
+        """Count what the pairs share; merge the components of those that are similar."""
+        nonlocal component
+        counted = materialize(_shared(materialize(pairs, "pairs"), texts), "counted")
+        links = counted.filter(_similar(F.col("both"), F.col("na"), F.col("nb"), threshold)).select("a", "b")
+        if component is None or links.limit(1).count():
+            component = _merged(component, links)
+        return counted
+
+    component = None
+    size_ok = F.least("n", "n2") >= threshold * F.greatest("n", "n2") - 1e-9
+    tested = [test(once(shared.filter(size_ok).withColumn("other", F.col("pivot")))).select("a", "b")]
+
+    # a bucket of two is done; of the others, members with too few shared shingles are
+    open_ = _open(shared.filter("members > 2").drop("pivot", "n2"), component)
+    lone = _common(texts, open_)
+    open_ = (open_.join(lone, "node", "left").withColumn("c", F.col("n") - F.coalesce("lone", F.lit(0)))
+             .drop("lone").filter(F.col("c") >= threshold * F.col("n") - 1e-9))
+    open_ = _open(open_, component)
+    best = open_.groupBy("bucket").agg(F.min(F.struct((1 - F.col("c") / F.col("n")).alias("u"), F.xxhash64("node").alias("h"), "node")
+                                             ).alias("p")).select("bucket", F.col("p.node").alias("other"))
+    open_ = materialize(open_.join(best, "bucket"), "open")
+    counted = test(once(open_))
+    tested.append(counted.select("a", "b"))
+    with_best = counted.select("a", "b", "both").unionByName(counted.select(F.col("b").alias("a"), F.col("a").alias("b"), "both"))
+    open_ = (open_.join(with_best.select(F.col("a").alias("node"), F.col("b").alias("other"), "both"), ["node", "other"], "left")
+             .withColumn("inside", F.coalesce("both", "n")).withColumn("outside", F.greatest(F.col("c") - F.col("inside"), F.lit(0)))
+             .drop("other", "both"))
+
+    pivots = 32
     while True:
-        component = connected_components(reduce(DataFrame.unionByName, links))
-        label = (shared.select("bucket", "node", "n", "members").join(component, "node", "left")
-                 .withColumn("component", F.coalesce("component", "node")))
-        spread = (label.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                  .filter("lo <> hi").select("bucket"))
-        open_ = materialize(label.join(spread, "bucket", "left_semi")
-                            .withColumn("draw", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 40)) / float(1 << 40)), "open")
-        drawn = F.col("draw") * F.col("members")
-        chosen = open_.filter(drawn < pivots).select("bucket", F.col("node").alias("b"), F.col("n").alias("n2"),
-                                                      F.col("component").alias("c2"), F.col("draw").alias("draw2"))
-        more = (open_.join(chosen, "bucket").filter(near & (F.col("component") != F.col("c2")) & (F.col("draw2") < F.col("draw")))
-                .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-                .join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti"))
-        tested.append(materialize(more, "pairs"))
-        links.append(materialize(_checked(tested[-1], texts, threshold), "links"))
-        # buckets of which every member has been a pivot are done
-        left = open_.filter(F.col("members") > pivots).limit(1).count()
-        if not left:
+        open_ = _open(open_, component)
+        most = open_.agg(F.max("members")).first()[0]
+        if most is None:
+            break
+        draw = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 40)) / float(1 << 40)
+        chosen = (open_.withColumn("draw2", draw).filter(F.col("draw2") * F.col("members") < pivots)
+                  .select("bucket", F.col("node").alias("other"), F.col("n").alias("n2"), F.col("inside").alias("inside2"),
+                          F.col("outside").alias("outside2"), F.col("component").alias("component2"), "draw2"))
+        met = open_.withColumn("draw", draw).join(chosen, "bucket").filter(
+            _may_reach(threshold) & (F.col("component") != F.col("component2")) & (F.col("draw2") < F.col("draw")))
+        fresh = once(met).join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
+        tested.append(test(fresh).select("a", "b"))
+        if most <= pivots:                  # every member has been a pivot
             break
-        pivots *= 16
-    if links[-1].limit(1).count():
-        component = connected_components(reduce(DataFrame.unionByName, links))
+        pivots *= 32
     return (sig.select("node", "doc_id", "digest").join(classes, "digest")
             .join(component.withColumnRenamed("node", "text_class"), "text_class", "left")
             .select("node", "doc_id", "digest", "text_class", F.coalesce("component", "text_class").alias("component")))
@@ -301,11 +380,10 @@ def representatives(found: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents (all their columns), one of each class of near copies."""
-    kept = representatives(near_duplicates(docs, threshold)).select(F.col("class_digest").alias("_d"),
-                                                                    F.col("class_id").alias("_i"))
-    marked = docs.withColumn("_digest", _digest())
-    same = (marked["_digest"] == kept["_d"]) & marked["doc_id"].cast("long").eqNullSafe(kept["_i"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["_digest", "doc_id"]).drop("_digest")
+    kept = representatives(near_duplicates(docs, threshold)).select("class_digest", "class_id")
+    marked = docs.select(F.struct("*").alias("row"), _digest().alias("digest"), F.col("doc_id").cast("long").alias("id"))
+    same = (marked["digest"] == kept["class_digest"]) & marked["id"].eqNullSafe(kept["class_id"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["digest", "id"]).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ one place per filter, so training is cheap. A text is cut into windows that
 together hold every filter position of the whole text once; the softmax
 outputs of its windows are averaged by the bytes they cover.
 
-Training takes at most ``PER_LANG`` windows of each language, drawn by hash
-from the labelled rows outside the held-out fold. Inputs are bytes of texts
+Training takes about ``PER_LANG`` windows of each language (of the
+``MOST_LANGS`` most frequent ones), drawn by hash from the labelled rows
+outside the held-out fold. Inputs are bytes of texts
 and, while learning, ``lang``; nothing else.
 
 Defined results: a null text or one without a letter is ``und`` with score
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, table
@@ -34,6 +35,7 @@ WIDTHS = (2, 3, 4)
 EMBED = 6
 FILTERS = 16                       # of each width
 PER_LANG = 2500
+MOST_LANGS = 1000
 CHUNK = 64                         # windows that are convolved at once
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -142,16 +144,24 @@ def _gradients(m: ByteCNN, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
 
 
 def training_windows(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
-    """(lang, window): at most per_lang windows of each language, by hash."""
+    """(lang, window): a window of about per_lang documents of each language.
+
+    A row is drawn if its hash is below per_lang / rows of its language: no
+    sort, and no task that gathers a language.
+    """
+    known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
+        F.col("lang").isNotNull() & ~held_out())
+    counts = (known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+              .limit(MOST_LANGS).collect())
+    if not counts:
+        return known.select("lang", F.col("text").cast("binary").alias("window")).limit(0)
+    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], per_lang / r["n"])])
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
     raw = F.col("text").cast("string").cast("binary")
     size = F.octet_length(raw)
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (size > 0) & ~held_out())
-    key = F.xxhash64("doc_id", F.lit(11))
     start = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.greatest(size - WINDOW + 1, F.lit(1)))
-    drawn = known.select(F.col("lang").cast("string").alias("lang"), key.alias("_k"),
-                         F.substr(raw, (start + 1).cast("int"), F.lit(WINDOW)).alias("window"))
-    order = Window.partitionBy("lang").orderBy("_k")
-    return drawn.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_lang).select("lang", "window")
+    return known.filter((draw < F.try_element_at(share, F.col("lang"))) & (size > 0)).select(
+        "lang", F.substr(raw, (start + 1).cast("int"), F.lit(WINDOW)).alias("window"))
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> ByteCNN | None:

@@ -198,5 +198,32 @@ def test_thresholds_follow_language_and_source(spark):
     assert got[1002].kept and got[1003].kept and all(got[i].kept for i in range(900))
 
 
+def test_thresholds_are_quantiles_of_the_group(spark):
+    """Shares that a fixed cutoff would take (0.3 symbols, 0.15 capitals, 0.3
+    repeated words) are outliers where a group has hardly any, and usual in a
+    group that has such shares itself; nor do documents of the base rule or
+    some hundredths of outliers move the thresholds."""
+    import random
+    rng = random.Random(2)
+
+    def text(symbols, capitals, repeated):
+        words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(200)]
+        words[:repeated] = ["same", "three", "words"] * (repeated // 3)
+        words = [w.upper() if 120 <= i < 120 + capitals else w for i, w in enumerate(words)]
+        return " ".join(["#" + w if 150 <= i < 150 + symbols else w for i, w in enumerate(words)])
+
+    rows = [(i, "en", "plain", text(0, rng.randint(1, 4), 0)) for i in range(300)]
+    rows += [(1000 + i, "en", "rich", text(rng.randint(0, 50), rng.randint(0, 28), 3 * rng.randint(0, 24))) for i in range(300)]
+    rows += [(2000 + i, "en", "plain", "same three words " * 60) for i in range(200)]          # the base rule's
+    odd = {"symbols_high": (50, 2, 0), "capitals_high": (0, 28, 0), "repeats_high": (0, 2, 60)}
+    rows += [(3000 + 10 * k + j, "en", source, text(*shares)) for k, shares in enumerate(odd.values())
+             for j, source in enumerate(("plain", "rich"))]
+    got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")).collect()}
+    for k, rule in enumerate(odd):
+        assert rule in got[3000 + 10 * k].broken and got[3001 + 10 * k].kept
+    assert sum(got[i].kept for i in range(300)) >= 297 and sum(got[1000 + i].kept for i in range(300)) >= 297
+    assert all(got[2000 + i].base_failed for i in range(200))
+
+
 def test_let_binds_once(spark):
     assert spark.range(1).select(let(F.lit(3), lambda x: x + x)).first()[0] == 6

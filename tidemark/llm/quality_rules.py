@@ -1,15 +1,19 @@
 """Quality rules whose thresholds come from mergeable quantile sketches.
 
-Counts of each whole text are array expressions on its own row. Their ratios
-are summarised by one KLL sketch per language and source (partial sketches
+Counts of each whole text are array expressions on its own row. The ratios of
+the documents that pass the base rule (the others are rejected anyhow) are
+summarised by one KLL sketch per language and source (partial sketches
 merge before the shuffle, so a source with a third of all rows is no hot
 key); merging those gives the sketches of a language and of everything. A
 document is judged by the thresholds of its language and source, or of its
 language, or of everything: the first that was seen ``least`` times.
 
-A threshold lies ``reach`` spreads beyond the quartile, a spread being the
-distance of the quartiles, but never less than the metric's smallest spread
-(else a metric that is 0 for most documents would reject all others).
+A threshold lies ``reach`` spreads beyond an upper (or lower) quantile, a
+spread being the distance of that quantile from the median. The quantile is
+the metric's ``level``: 0.99 where ordinary documents are seldom above 0, 0.9
+where the outliers themselves may be some hundredths of the documents. A
+spread is never less than ``tie``, which decides only where the quantile and
+the median (nearly) coincide.
 
 Everything is DataFrame expressions. Defined results: a null text has no
 words; a text without words has no ratios and fails the base rule; null
@@ -36,18 +40,20 @@ SPACE = r"[ \t-\r]+"                     # \x20 and \x09 to \x0D
 class Metric:
     name: str
     value: Column
-    smallest_spread: float
+    level: float                         # the upper quantile
+    reach: float                         # spreads beyond it
+    tie: float                           # least spread, for quantiles that coincide
     low: bool = False                    # also judged from below
 
 
 def metrics() -> tuple[Metric, ...]:
     words = F.when(F.col("n_words") > 0, F.col("n_words").cast("double"))
     return (
-        Metric("symbols", F.col("n_symbols") / words, 0.15),
-        Metric("dup_lines", F.col("n_dup_lines") / F.when(F.col("n_lines") > 0, F.col("n_lines").cast("double")), 0.15),
-        Metric("repeats", F.col("n_repeat_words") / words, 0.15),
-        Metric("word_length", F.col("word_chars") / words, 0.6, low=True),
-        Metric("capitals", F.col("n_capitals") / F.when(F.col("word_chars") > 0, F.col("word_chars").cast("double")), 0.08),
+        Metric("symbols", F.col("n_symbols") / words, 0.9, 3.0, 0.01),
+        Metric("dup_lines", F.col("n_dup_lines") / F.when(F.col("n_lines") > 0, F.col("n_lines").cast("double")), 0.99, 1.0, 0.01),
+        Metric("repeats", F.col("n_repeat_words") / words, 0.99, 1.0, 0.01),
+        Metric("word_length", F.col("word_chars") / words, 0.9, 3.0, 0.01, low=True),
+        Metric("capitals", F.col("n_capitals") / F.when(F.col("word_chars") > 0, F.col("word_chars").cast("double")), 0.9, 3.0, 0.001),
     )
 
 
@@ -93,13 +99,20 @@ def document_counts(docs: DataFrame) -> DataFrame:
                        ).select("doc_id", "lang", "source", "c.*")
 
 
-def sketches(counts: DataFrame, k: int = 200) -> DataFrame:
-    """One row per language and source: number of documents, a sketch per metric."""
+def base_rule_failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
+def sketches(counts: DataFrame, k: int = 800) -> DataFrame:
+    """One row per language and source: number of documents that pass the
+    base rule, a sketch per metric of them."""
+    passed = ~base_rule_failed()
     return counts.groupBy("lang", "source").agg(
-        F.count(F.lit(1)).alias("docs"), *[F.kll_sketch_agg_double(m.value, k).alias(m.name) for m in metrics()])
+        F.count_if(passed).alias("docs"),
+        *[F.kll_sketch_agg_double(F.when(passed, m.value), k).alias(m.name) for m in metrics()])
 
 
-def thresholds(found: DataFrame, least: int, reach: float) -> DataFrame:
+def thresholds(found: DataFrame, least: int) -> DataFrame:
     """(lang, source, <metric>_lo, <metric>_hi) of every language and source."""
     def merged(keys: list[str], tag: str) -> DataFrame:
         by = found.groupBy(*keys) if keys else found.groupBy()
@@ -115,26 +128,25 @@ def thresholds(found: DataFrame, least: int, reach: float) -> DataFrame:
                   .when(F.col("docs_l") >= least, F.col(f"{m.name}_l")).otherwise(F.col(f"{m.name}_a")))
         # a sketch that has seen no value has no quantiles
         q = F.when(F.kll_sketch_get_n_double(sketch) > 0,
-                   F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.25), F.lit(0.75))))
-        spread = F.greatest(q[1] - q[0], F.lit(m.smallest_spread))
-        out.append((q[1] + spread * reach).alias(f"{m.name}_hi"))
+                   F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(1 - m.level), F.lit(0.5), F.lit(m.level))))
+        spread = lambda a, b: F.greatest(q[b] - q[a], F.lit(m.tie)) * m.reach  # noqa: E731,B023
+        out.append((q[2] + spread(1, 2)).alias(f"{m.name}_hi"))
         if m.low:
-            out.append((q[0] - spread * reach).alias(f"{m.name}_lo"))
+            out.append((q[0] - spread(0, 1)).alias(f"{m.name}_lo"))
     return one.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *out)
 
 
-def judge(docs: DataFrame, least: int = 100, reach: float = 3.0) -> DataFrame:
+def judge(docs: DataFrame, least: int = 100) -> DataFrame:
     """Per document its counts, base_failed, kept, and the rules it broke."""
     counts = materialize(document_counts(docs), "quality-counts")
-    limits = thresholds(materialize(sketches(counts), "quality-sketches"), least, reach)
+    limits = thresholds(materialize(sketches(counts), "quality-sketches"), least)
     joined = counts.join(limits, counts["lang"].eqNullSafe(limits["_lang"]) & counts["source"].eqNullSafe(limits["_source"]), "left")
-    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     broken = []
     for m in metrics():
         broken.append(F.when(m.value > F.col(f"{m.name}_hi"), F.lit(f"{m.name}_high")))
         if m.low:
             broken.append(F.when(m.value < F.col(f"{m.name}_lo"), F.lit(f"{m.name}_low")))
-    judged = joined.withColumn("base_failed", base_failed).withColumn("broken", F.array_compact(F.array(*broken)))
+    judged = joined.withColumn("base_failed", base_rule_failed()).withColumn("broken", F.array_compact(F.array(*broken)))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken")
 

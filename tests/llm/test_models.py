@@ -35,6 +35,18 @@ def test_language_ignores_the_held_out_fold(real):
     assert "zz" not in language_id.fit(other, per_lang=50).langs
 
 
+def test_every_language_is_learned(spark):
+    """More languages than a thousand, rare ones and ones without a text."""
+    rows = [(i, f"l{i % 1100:04d}", f"text {i}") for i in range(11_000)]
+    rows += [(20_000 + i, "big", f"big text {i}") for i in range(3000)] + [(30_000 + i, "mute", None) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    want = {lang for i, lang, text in rows if text and fold_of(i)}
+    got = language_id.training_windows(df, per_lang=4).toPandas()["lang"].value_counts()
+    assert set(got.index) == want and len(want) > 1000 and got["big"] < 20
+    few = language_id.training_windows(df, most=50).toPandas()["lang"].value_counts()      # bounded, one of each at least
+    assert set(few.index) == want and few.sum() < 1.2 * len(want)
+
+
 def test_windows_cover_every_byte_once():
     for n in (1, 3, 252, 253, 254, 256, 257, 506, 507, 509, 5000):
         text = bytes(np.random.default_rng(n).integers(1, 256, n, dtype=np.uint8))

@@ -7,9 +7,10 @@ one place per filter, so training is cheap. A text is cut into windows that
 together hold every filter position of the whole text once; the softmax
 outputs of its windows are averaged by the bytes they cover.
 
-Training takes about ``PER_LANG`` windows of each language (of the
-``MOST_LANGS`` most frequent ones), drawn by hash from the labelled rows
-outside the held-out fold. Inputs are bytes of texts
+Training takes about ``PER_LANG`` windows of each language, drawn by hash from
+the labelled rows outside the held-out fold; where that would be more than
+``MOST_WINDOWS`` in all, less of each, but never less than one. Every language
+with a text to learn from is learned. Inputs are bytes of texts
 and, while learning, ``lang``; nothing else.
 
 Defined results: a null text or one without a letter is ``und`` with score
@@ -35,7 +36,8 @@ WIDTHS = (2, 3, 4)
 EMBED = 6
 FILTERS = 16                       # of each width
 PER_LANG = 2500
-MOST_LANGS = 1000
+MOST_WINDOWS = 1000 * PER_LANG
+MOST_SCORES = 10_000_000           # numbers (texts or windows, by languages) held at once
 CHUNK = 64                         # windows that are convolved at once
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -143,25 +145,28 @@ def _gradients(m: ByteCNN, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
             hidden.T @ d_out, d_out.sum(axis=0)]
 
 
-def training_windows(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
+def training_windows(docs: DataFrame, per_lang: int = PER_LANG, most: int = MOST_WINDOWS) -> DataFrame:
     """(lang, window): a window of about per_lang documents of each language.
 
-    A row is drawn if its hash is below per_lang / rows of its language: no
-    sort, and no task that gathers a language.
+    A row is drawn if its hash is below per_lang / rows of its language, or the
+    least of its language: no sort, and no task that gathers a language.
     """
-    known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
-        F.col("lang").isNotNull() & ~held_out())
-    counts = (known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
-              .limit(MOST_LANGS).collect())
-    if not counts:
-        return known.select("lang", F.col("text").cast("binary").alias("window")).limit(0)
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], per_lang / r["n"])])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
     raw = F.col("text").cast("string").cast("binary")
     size = F.octet_length(raw)
     start = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.greatest(size - WINDOW + 1, F.lit(1)))
-    return known.filter((draw < F.try_element_at(share, F.col("lang"))) & (size > 0)).select(
-        "lang", F.substr(raw, (start + 1).cast("int"), F.lit(WINDOW)).alias("window"))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
+    known = docs.filter(F.col("lang").isNotNull() & ~held_out() & (size > 0)).select(
+        F.col("lang").cast("string").alias("lang"), draw.alias("draw"),
+        F.substr(raw, (start + 1).cast("int"), F.lit(WINDOW)).alias("window"))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("least")).collect()
+    if not counts:
+        return known.select("lang", "window").limit(0)
+    each = min(per_lang, most / len(counts))
+    limits = docs.sparkSession.createDataFrame([(r["lang"], max(each / r["n"], r["least"])) for r in counts],
+                                               "_lang string, _limit double")
+    # a row per language, as the model has
+    return known.join(F.broadcast(limits), (F.col("lang") == F.col("_lang")) & (F.col("draw") <= F.col("_limit"))
+                      ).select("lang", "window")
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> ByteCNN | None:
@@ -192,11 +197,13 @@ def predictor(spark, model: ByteCNN | None):
             for j, i in enumerate(lettered):
                 part.append(i)
                 held += len(texts.iloc[i])
-                if held >= 1 << 20 or j == len(lettered) - 1:
+                if held >= 1 << 20 or len(part) * len(m.langs) >= MOST_SCORES or j == len(lettered) - 1:
                     x, owner, covered = windows_of([bytes(texts.iloc[i]) for i in part])
-                    p = m.probabilities(x) * covered[:, None]
                     total = np.zeros((len(part), len(m.langs)))
-                    np.add.at(total, owner, p)
+                    step = CHUNK * max(1, MOST_SCORES // (CHUNK * len(m.langs)))
+                    for at in range(0, len(x), step):
+                        now = slice(at, at + step)
+                        np.add.at(total, owner[now], m.probabilities(x[now]) * covered[now, None])
                     total /= np.bincount(owner, covered)[:, None]
                     best = total.argmax(axis=1)
                     lang[part] = [m.langs[b] for b in best]

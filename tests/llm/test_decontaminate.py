@@ -79,6 +79,46 @@ def test_awkward(spark, docs, none):
     assert dc.remove_contaminated(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_one_block_at_a_time(spark, docs, monkeypatch):
+    """A benchmark of many blocks: one on the driver and broadcast at once."""
+    from pyspark import Broadcast, SparkContext
+
+    items = [(i, f"word{i} seven wise owls read old books near the quiet harbour word{i}") for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    live, most, sizes = [0], [0], []
+    put, end, make = SparkContext.broadcast, Broadcast.destroy, dc.TestBlock.__init__
+
+    def broadcast(self, value):
+        live[0] += isinstance(value, dc.TestBlock)
+        most[0] = max(most[0], live[0])
+        return put(self, value)
+
+    def destroy(self, *a, **kw):
+        live[0] -= 1
+        return end(self, *a, **kw)
+
+    def init(self, items, *a, **kw):
+        sizes.append(len(items))
+        make(self, items, *a, **kw)
+
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "destroy", destroy)
+    monkeypatch.setattr(dc.TestBlock, "__init__", init)
+    whole = {(r.doc_id, r.n_words, str(r.hits), tuple(sorted(r["items"])), r.longest) for r in dc.overlap(docs, bench).collect()}
+    assert sizes == [40]
+    live[0], most[0] = 0, 0
+    rows = dc.overlap(docs, bench, block_words=130).collect()
+    assert {(r.doc_id, r.n_words, str(r.hits), tuple(sorted(r["items"])), r.longest) for r in rows} == whole
+    assert any(longest for *_, longest in whole) and sum(sizes) == 80 and len(sizes) > 3
+    kept = dc.remove_contaminated(docs, bench, block_words=130).collect()
+    assert _told(kept) == _told(dc.remove_contaminated(docs, bench).collect())
+    assert most[0] == 1
+
+
+def _told(rows):
+    return sorted(map(str, rows))
+
+
 def test_query_digest(spark, tmp_path):
     spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(10, "b C"), (9, "a")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))

@@ -17,7 +17,9 @@ A window is ``window`` consecutive words of an item; an item of fewer words
 Defined results: null or empty texts have no words and no hits; repeated
 documents are reported each for itself; repeated item_ids count once; a null
 item_id is the empty string; an empty benchmark hits nothing. A benchmark
-of more than ``BLOCK_WORDS`` words is searched in blocks of that size.
+of more than ``BLOCK_WORDS`` words is dealt by hash into blocks of about that
+size (an item is never cut), and one block after the other is on the driver
+and broadcast.
 """
 
 from __future__ import annotations
@@ -31,6 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from .common import materialize
+
 WINDOW = 10
 SHARD_WORDS = 1 << 21
 BLOCK_WORDS = 1 << 20
@@ -174,16 +179,33 @@ def match_shard(docs: list[list[bytes]], block: TestBlock) -> dict[int, tuple[li
     return out
 
 
-def test_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list[TestBlock]:
-    blocks, items, n = [], [], 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("binary").alias("t"))
-    for r in rows.toLocalIterator():
-        words = words_of(bytes(r["t"]) if r["t"] is not None else None)
-        if n and n + len(words) > block_words:
-            blocks, items, n = [*blocks, TestBlock(items, window)], [], 0
-        items.append((r["i"] or "", words))
-        n += len(words)
-    return [*blocks, TestBlock(items, window)] if items or not blocks else blocks
+# as words_of() cuts
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def test_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> tuple[int, Iterator[TestBlock]]:
+    """Number of blocks, and the blocks, each made when it is asked for."""
+    spark = benchmark.sparkSession
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").cast("string").alias("t"))
+    words = rows.agg(F.sum(F.regexp_count("t", F.lit(_WORD)).cast("long"))).first()[0] or 0
+    count = max(1, -(-words // block_words))
+
+    def block(items: DataFrame) -> TestBlock:
+        found = items.select("i", F.col("t").cast("binary").alias("t")).toLocalIterator()
+        return TestBlock([(r["i"], words_of(bytes(r["t"]) if r["t"] is not None else None)) for r in found], window)
+
+    def blocks() -> Iterator[TestBlock]:
+        if count == 1:
+            yield block(rows)
+            return
+        path = scratch_path(spark, "benchmark-blocks")
+        dealt = rows.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(count)))
+        dealt.repartition("b").write.partitionBy("b").parquet(path)
+        stored = spark.read.schema("i string, t string, b long").parquet(path)
+        for b in range(count):
+            yield block(stored.filter(F.col("b") == b))
+
+    return count, blocks()
 
 
 test_blocks.__test__ = False
@@ -249,9 +271,17 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
         return rows.mapInArrow(run, OVERLAP)
 
-    parts = [scan(sc.broadcast(b)) for b in test_blocks(benchmark, window, block_words)]
-    if len(parts) == 1:
-        return parts[0].drop("row")
+    count, blocks = test_blocks(benchmark, window, block_words)
+    if count == 1:
+        return scan(sc.broadcast(next(blocks))).drop("row")
+    rows = materialize(rows, "decontamination-rows")
+    parts = []
+    for block in blocks:
+        shared = sc.broadcast(block)
+        found = scan(shared)
+        # every document once, then those with a hit
+        parts.append(materialize(found if not parts else found.filter(F.size("hits") > 0), "decontamination-hits"))
+        shared.destroy()
     union = reduce(DataFrame.unionByName, parts)
     merged = union.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
@@ -265,18 +295,26 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
     """The documents (all their columns) that hold no window of a test item."""
     sc = docs.sparkSession.sparkContext
 
-    def cleaner(block):
+    def cleaner(block, keep: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for held, words in _shards(batches, "text", shard_words):
                 found, at = match_shard(words, block.value), 0
                 for batch in held:
-                    yield batch.filter(pa.array([at + i not in found for i in range(batch.num_rows)], pa.bool_()))
+                    yield batch.filter(pa.array([(at + i not in found) == keep for i in range(batch.num_rows)], pa.bool_()))
                     at += batch.num_rows
         return run
 
-    for block in test_blocks(benchmark, window, block_words):
-        docs = docs.mapInArrow(cleaner(sc.broadcast(block)), docs.schema)
-    return docs
+    count, blocks = test_blocks(benchmark, window, block_words)
+    if count == 1:
+        return docs.mapInArrow(cleaner(sc.broadcast(next(blocks)), True), docs.schema)
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("d")), "decontamination-rows")
+    texts = rows.select("row", F.col("d.text").cast("string").alias("text"))
+    hit = []
+    for block in blocks:
+        shared = sc.broadcast(block)
+        hit.append(materialize(texts.mapInArrow(cleaner(shared, False), texts.schema).select("row"), "decontamination-hits"))
+        shared.destroy()
+    return rows.join(reduce(DataFrame.union, hit), "row", "left_anti").select("d.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ from tidemark.functions.signals import technical_signal, ts_lit
 from tidemark.operators import (alerts, cdc, embeddings, enrich, governance as gov, indicators,
                                 joins, marts, monitor, quality, retrieval, scenario, staging)
 from tidemark.plans.graph import graph_from_driver
-from tidemark.plans.pipeline import run_pipeline
+from tidemark.plans.pipeline import GROUPS, raw_inputs, run_pipeline
 from tidemark.session import ensure_checkpoint_dir, scratch_path
 from tidemark.sources import adapters as ad
 from tidemark.sources import files, schemas, sinks
@@ -1385,26 +1385,47 @@ def _gate_sql(name: str, suites) -> str:
             f"CASE WHEN bool_and(success) THEN (SELECT count(*) FROM stg_stock_prices) ELSE 0 END AS staged_rows FROM ({checks}) c")
 
 
-def _gated(spark, sf_dir, suites) -> tuple[bool, int]:
-    """Run the prices group behind the suites: did it pass, rows staged."""
+def _gated(spark, sf_dir, suites, group="prices") -> tuple[bool, int]:
+    """Run the group behind the suites: did it pass, rows staged."""
     root = scratch_path(spark, "gated")
-    prices = {"stock_prices": suites["stock_prices"]}
     try:
-        built = run_pipeline(G(spark, sf_dir), "prices", root, gate=prices)
+        built = run_pipeline(G(spark, sf_dir), group, root, gate=suites)
     except quality.QualityGateError:
         staged = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/staging")
         fs = staged.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         return False, -1 if fs.exists(staged) else 0
-    return True, built["stg_stock_prices"].count()
+    return True, built[GROUPS[group][0]].count()
 
 
 @register("pipeline_gate", sql("\nUNION ALL\n".join(_gate_sql(n, s) for n, s in _GATES.items()), "stock_prices", "stg_stock_prices"))
 def _pipeline_gate(spark, sf_dir):
     """A failing gate leaves nothing staged, a passing one stages the table."""
-    rows = [(name, *_gated(spark, sf_dir, suites)) for name, suites in _GATES.items()]
+    rows = [(name, *_gated(spark, sf_dir, {"stock_prices": suites["stock_prices"]})) for name, suites in _GATES.items()]
     return spark.createDataFrame(rows, "suites string, passed boolean, staged_rows long")
 
 
+_TABLE_KEYS = {t: [quality.Check("not_null", c), quality.Check("unique", c), quality.Check("not_null", "ticker")]
+               for t, c in [("earnings_calls", "call_id"), ("sec_filings", "filing_id"), ("stock_prices", "price_id")]}
+# with "reference_texts" only the calls and the filings can stop a group
+_GROUP_GATES = {"reference": quality.SUITES, "keys": _TABLE_KEYS,
+                "reference_texts": {**quality.SUITES, "stock_prices": _TABLE_KEYS["stock_prices"]}}
+_GATED_GROUPS = ("prices", "earnings", "filings")
+
+
+def _group_gate_sql(group: str, name: str) -> str:
+    checks = "\nUNION ALL\n".join(_check_sql(t, i, c) for t in raw_inputs(group) for i, c in enumerate(_GROUP_GATES[name][t]))
+    return (f"SELECT '{group}' AS refresh_group, '{name}' AS suites, bool_and(success) AS passed, CASE WHEN bool_and(success) "
+            f"THEN (SELECT count(*) FROM {GROUPS[group][0]}) ELSE 0 END AS staged_rows FROM ({checks}) c")
+
+
+@register("pipeline_gate_groups", sql("\nUNION ALL\n".join(_group_gate_sql(g, n) for g in _GATED_GROUPS for n in _GROUP_GATES),
+                                      "earnings_calls", "sec_filings", "stock_prices", *[GROUPS[g][0] for g in _GATED_GROUPS]))
+def _pipeline_gate_groups(spark, sf_dir):
+    """Every group behind the suites of all raw tables that it reads."""
+    rows = [(g, n, *_gated(spark, sf_dir, suites, g)) for g in _GATED_GROUPS for n, suites in _GROUP_GATES.items()]
+    return spark.createDataFrame(rows, "refresh_group string, suites string, passed boolean, staged_rows long")
+
+
 _IDS = [("earnings_calls", "call_id"), ("sec_filings", "filing_id"), ("stock_prices", "price_id")]
 
 

@@ -317,6 +317,17 @@ def test_pipeline_quality_gate_stops_before_staging(spark):
     assert built["mart_filing_dashboard"].count() > 0
 
 
+def test_every_group_is_gated_by_all_its_tables(spark):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    got = {(r.refresh_group, r.suites): r for r in E.queries()["pipeline_gate_groups"](spark, SF_SMALL).collect()}
+    assert len(got) == 9
+    for group in ("prices", "earnings", "filings"):
+        assert got[group, "keys"].passed and got[group, "keys"].staged_rows > 0
+        for suites in ("reference", "reference_texts"):          # the calls or the filings stop it
+            assert not got[group, suites].passed and got[group, suites].staged_rows == 0
+
+
 def test_csv_round_trip_with_quotes_commas_newlines(spark):
     from tidemark.session import scratch_path
     from tidemark.sources import files

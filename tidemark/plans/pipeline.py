@@ -47,6 +47,12 @@ def group_models(group: str) -> list[str]:
     return topo_order(sorted(names))
 
 
+def raw_inputs(group: str) -> list[str]:
+    """The raw tables that the models of the group read."""
+    read = set().union(*(_ancestors(m) for m in group_models(group)))
+    return [name for name in RAW if name in read]
+
+
 def run_pipeline(graph: ModelGraph, group: str, root: str,
                  gate: dict[str, list] | None = quality.SUITES) -> dict[str, DataFrame]:
     """Materialize every model of the group; returns the re-read tables.
@@ -57,8 +63,7 @@ def run_pipeline(graph: ModelGraph, group: str, root: str,
     a deployment (pass suites with other bounds for larger feeds, or None).
     """
     if gate:
-        read = set().union(*(_ancestors(m) for m in group_models(group)))
-        raws = {name: graph.get(name) for name in RAW if name in gate and name in read}
+        raws = {name: graph.get(name) for name in raw_inputs(group) if name in gate}
         quality.quality_gate(quality.validate_all(raws, gate), raise_on_fail=True)
     built: dict[str, DataFrame] = {}
     g = graph

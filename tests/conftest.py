@@ -3,10 +3,9 @@ import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-SF_SMALL = "/root/testdata/sf0.001"
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
+sys.path.insert(0, os.path.dirname(HERE))
 
 
 @pytest.fixture(scope="session")
@@ -15,9 +14,3 @@ def spark():
     s = local_session("*", shuffle_partitions=8, app="tidemark-tests")
     yield s
     s.stop()
-
-
-def rows(df, cols=None):
-    """Sorted list of tuples (order-insensitive comparison)."""
-    cols = cols or df.columns
-    return sorted([tuple(r[c] for c in cols) for r in df.select(*cols).collect()], key=repr)

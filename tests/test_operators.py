@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tidemark.functions.numeric import half_up
 from tidemark.operators import (cdc, governance as gov, indicators, joins, marts, quality,
                                 retrieval, staging)
@@ -302,7 +302,7 @@ def test_embeddings_tfidf_and_model_plugin(spark):
 
 
 def test_pipeline_quality_gate_stops_before_staging(spark):
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from tidemark.functions.rules import FIXTURE
     from tidemark.plans.graph import graph_from_driver
     from tidemark.plans.pipeline import run_pipeline
@@ -319,7 +319,7 @@ def test_pipeline_quality_gate_stops_before_staging(spark):
 
 def test_every_group_is_gated_by_all_its_tables(spark):
     import __spark_entry__ as E
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     got = {(r.refresh_group, r.suites): r for r in E.queries()["pipeline_gate_groups"](spark, SF_SMALL).collect()}
     assert len(got) == 9
     for group in ("prices", "earnings", "filings"):
@@ -348,7 +348,7 @@ def test_csv_round_trip_with_quotes_commas_newlines(spark):
 
 
 def test_write_clustered_gives_disjoint_file_ranges(spark):
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from tidemark.session import scratch_path
     from tidemark.sources import adapters as ad, sinks
     bars = ad.DriverTables(spark, SF_SMALL).stock_prices
@@ -364,7 +364,7 @@ def test_write_clustered_gives_disjoint_file_ranges(spark):
 
 
 def test_cdc_fingerprint_equals_struct_diff(spark):
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from tidemark.sources import adapters as ad
     A = _orders(spark, [(1, "x", 1.0), (2, "y", None), (3, "z", 3.0), (5, None, 5.0)])
     B = _orders(spark, [(1, "x", 1.0), (2, "y", 2.0), (4, "w", 4.0), (5, None, 5.0)])

@@ -9,7 +9,7 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from conftest import SF_SMALL as _DEFAULT_SF  # noqa: E402
+from helpers import SF_SMALL as _DEFAULT_SF  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402

@@ -5,7 +5,7 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 from tidemark.functions.rules import FIXTURE, REFERENCE, Rule, rule_case
 from tidemark.operators import joins, staging
 

@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 from tidemark.operators import cdc, indicators, staging
 from tidemark.session import scratch_path
 from tidemark.sources import adapters as ad

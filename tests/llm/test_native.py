@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from fixtures import awkward_rows, sha
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidemark.llm import chat, quality_rules, secrets
@@ -76,6 +76,7 @@ def _meets(query, text):
 
 
 @pytest.mark.parametrize("rule", secrets.RULES, ids=lambda r: r.kind)
+@settings(deadline=None)
 @given(data=st.data())
 def test_every_match_meets_its_query(rule, data):
     text = data.draw(st.from_regex(rule.regex))

@@ -40,6 +40,7 @@ def test_special_texts(text, library):
     assert np.frombuffer(_encoder().encode(text.encode()), dtype="<u4").tolist() == library(text)
 
 
+@settings(deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 300), max_size=30))
 def test_patterns_place_every_piece_once(histogram):
     slots = packing.shortest_pack_first(histogram, 64)
@@ -93,6 +94,7 @@ def test_equal_lengths_are_ranked_by_many_tasks(spark):
     assert sorted(ranks) == list(range(5000))
 
 
+@settings(deadline=None)
 @given(st.integers(1, 32), st.lists(st.integers(0, 2 ** 32 - 1), max_size=200), st.data())
 def test_bits_round_trip(bits, values, data):
     ids = np.array([v & ((1 << bits) - 1) for v in values], dtype=np.uint32)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -28,6 +28,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """The rows with ``index`` (from 0 in their group, by ``order``) and
+    ``total`` (rows of the group).
+
+    A global sort in ranges cuts a group of any size over many tasks; a small
+    table of counts per (group, range) says how many rows come before. The
+    group must not be null; ``order`` should tell all rows apart.
+    """
+    ranged = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    placed = materialize(ranged.withColumn("_at", F.monotonically_increasing_id())
+                         .withColumn("_range", F.shiftright("_at", 33)), "numbered")
+    counts = placed.groupBy(group, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bases = counts.select(group, "_range", "_first", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"),
+                          F.sum("_n").over(Window.partitionBy(group)).alias("total"))
+    return (placed.join(bases, [group, "_range"])
+            .withColumn("index", F.col("_before") + F.col("_at") - F.col("_first"))
+            .drop("_at", "_range", "_first", "_before"))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for the fold that labels are never learned from (null id: held out)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % FOLDS == 0, F.lit(True))

@@ -116,4 +116,44 @@ def _op9() -> str:
     SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, doc_id = class_id AS kept FROM classed"""
 
 
-ORACLE_SQL = {"op5_secrets": _op5(), "op6_chat": _op6(), "op7_decontamination": _op7(), "op9_near_dedup": _op9()}
+# op11: whole levels at a time, from plain leaf numbers; siblings are the
+# other nodes of a run, in order.
+def _op11() -> str:
+    field = lambda x: f"CASE WHEN {x} IS NULL THEN '-' ELSE CAST(strlen(CAST({x} AS VARCHAR)) AS VARCHAR) || ':' || CAST({x} AS VARCHAR) END"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    level = """SELECT {tree} lvl + 1 AS lvl, i // 3 AS i, any_value((n + 2) // 3) AS n, sha256(string_agg(d, '' ORDER BY i)) AS d
+        FROM {of} WHERE n > 1 GROUP BY {tree} lvl, i // 3"""
+    # crc32 of the decimal id, bit by bit
+    crc = "list_reduce(list_prepend(4294967295, list_transform(range(0, length(id) * 8), lambda k: CAST(ascii(substr(id, k // 8 + 1, 1)) AS BIGINT) * 8 + k % 8)), " \
+          "lambda c, x: CASE WHEN (xor(c, (x // 8) >> (x % 8)) & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+    return f"""
+    WITH RECURSIVE docs AS (
+      SELECT doc_id, source, {leaf("text")} AS leaf, CASE WHEN xor({crc}, 4294967295) % 2 = 0 THEN {leaf("replace(text, chr(10), '')")}
+               ELSE {leaf("text")} END AS claim
+      FROM (SELECT *, CAST(doc_id AS VARCHAR) AS id FROM documents)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n,
+                 dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM docs),
+    nodes AS (SELECT tree, 0 AS lvl, pos AS i, n, leaf AS d FROM placed UNION ALL {level.format(tree="tree,", of="nodes")}),
+    subroots AS (SELECT tree, d AS subroot FROM nodes WHERE n = 1),
+    above AS (SELECT 0 AS lvl, tree AS i, (SELECT count(*) FROM subroots) AS n, subroot AS d FROM subroots
+              UNION ALL {level.format(tree="", of="above")}),
+    every AS (SELECT tree, lvl, i, n, d FROM nodes UNION ALL SELECT -1, lvl, i, n, d FROM above),
+    steps AS (
+      SELECT p.doc_id, p.tree, x.lvl AS step, x.i, p.pos // CAST(pow(3, x.lvl) AS BIGINT) AS own, x.d FROM placed p JOIN nodes x
+        ON x.tree = p.tree AND x.n > 1 AND x.i // 3 = p.pos // CAST(pow(3, x.lvl + 1) AS BIGINT)
+      UNION ALL
+      SELECT p.doc_id, p.tree, 1000 + x.lvl, x.i, p.tree // CAST(pow(3, x.lvl) AS BIGINT), x.d FROM placed p JOIN above x
+        ON x.n > 1 AND x.i // 3 = p.tree // CAST(pow(3, x.lvl + 1) AS BIGINT)),
+    runs AS (SELECT doc_id, step, coalesce(string_agg(d, '' ORDER BY i) FILTER (WHERE i < own), '') AS lo,
+               coalesce(string_agg(d, '' ORDER BY i) FILTER (WHERE i > own), '') AS hi FROM steps GROUP BY doc_id, step),
+    turns AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY step) AS k, lo, hi FROM runs),
+    fold AS (SELECT doc_id, 0 AS k, claim AS d FROM docs
+             UNION ALL SELECT f.doc_id, f.k + 1, sha256(t.lo || f.d || t.hi) FROM fold f JOIN turns t ON t.doc_id = f.doc_id AND t.k = f.k + 1),
+    folded AS (SELECT doc_id, arg_max(d, k) AS folded_root FROM fold GROUP BY doc_id),
+    proof AS (SELECT doc_id, sha256(string_agg(lo || hi, '' ORDER BY k)) AS proof_sha256 FROM turns GROUP BY doc_id),
+    top AS (SELECT d AS root FROM above WHERE n = 1)
+    SELECT p.doc_id, p.leaf, s.subroot, top.root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = top.root AS verified
+    FROM placed p JOIN subroots s USING (tree) JOIN folded f ON f.doc_id = p.doc_id LEFT JOIN proof ON proof.doc_id = p.doc_id CROSS JOIN top"""
+
+
+ORACLE_SQL = {"op11_merkle_manifest": _op11(), "op5_secrets": _op5(), "op6_chat": _op6(), "op7_decontamination": _op7(), "op9_near_dedup": _op9()}

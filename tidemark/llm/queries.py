@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bitpack, chat, decontaminate, language_id, near_dedup, oracles, packing, quality_classifier, quality_rules, secrets, toxicity
+from . import bitpack, chat, decontaminate, language_id, merkle, near_dedup, oracles, packing, quality_classifier, quality_rules, secrets, toxicity
 
 QUERIES = {
     "op1_packing": packing.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_token_files": bitpack.query,
     "op9_near_dedup": near_dedup.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_merkle_manifest": merkle.query,
     "pipeline": corpus_pipeline.run,
 }
 

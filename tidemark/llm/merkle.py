@@ -35,7 +35,6 @@ from .common import materialize, numbered
 ARITY = 3
 #: Levels of a block: 729 leaves, at most 1,093 nodes, 35 kB.
 LEVELS = 6
-BLOCK = ARITY ** LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 LOG = "tree string, block long, whole boolean, n int, names array<string>, claims array<binary>, nodes binary, top binary"
@@ -119,8 +118,9 @@ def _cut(nodes: bytes) -> list[bytes]:
     return [nodes[k:k + 32] for k in range(0, len(nodes), 32)]
 
 
-def _levels(row: dict) -> int:
-    return height(row["n"]) if row["whole"] else LEVELS
+def _levels(row: dict, levels: int) -> int:
+    """A whole tree ends with one node; other blocks rise to the next tier."""
+    return height(row["n"]) if row["whole"] else levels
 
 
 def _packed(path: list[tuple[list[bytes], list[bytes]]]) -> bytes:
@@ -145,11 +145,11 @@ def fold(digest: bytes, path: list[tuple[list[bytes], list[bytes]]]) -> bytes:
     return digest
 
 
-def _block_paths(row: dict) -> Iterator[list[tuple[list[bytes], list[bytes]]]]:
+def _block_paths(row: dict, levels: int) -> Iterator[list[tuple[list[bytes], list[bytes]]]]:
     """Per leaf of a block, its siblings, taken from the log by their places."""
     nodes = _cut(row["nodes"])
     for i in range(row["n"]):
-        yield [([nodes[k] for k in left], [nodes[k] for k in right]) for left, right in siblings(i, row["n"], _levels(row))]
+        yield [([nodes[k] for k in left], [nodes[k] for k in right]) for left, right in siblings(i, row["n"], _levels(row, levels))]
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -184,7 +184,7 @@ def leaves(docs: DataFrame, claimed_text: Column | None = None) -> DataFrame:
                        leaf_digest().alias("leaf"), claim.alias("claim"), F.monotonically_increasing_id().alias("row"))
 
 
-def _tier(nodes: DataFrame, name: str) -> DataFrame:
+def _tier(nodes: DataFrame, name: str, levels: int) -> DataFrame:
     """One row per aligned block of (tree, index, name, leaf, claim): its log."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,27 +194,28 @@ def _tier(nodes: DataFrame, name: str) -> DataFrame:
                 members = row["members"]
                 row["n"], row["names"] = len(members), [m["name"] for m in members]
                 row["claims"] = [m["claim"] for m in members]
-                log = append_log([m["leaf"] for m in members], _levels(row))
+                log = append_log([m["leaf"] for m in members], _levels(row, levels))
                 row["nodes"], row["top"] = b"".join(log), log[-1]
                 out.append(row)
             yield _batch(out, LOG)
 
-    blocks = (nodes.withColumn("block", F.expr(f"index div {BLOCK}")).groupBy("tree", "block", "total").agg(
+    size = ARITY ** levels
+    blocks = (nodes.withColumn("block", F.expr(f"index div {size}")).groupBy("tree", "block", "total").agg(
         F.array_sort(F.collect_list(F.struct("index", "name", "leaf", "claim"))).alias("members"))
-        .select("tree", "block", (F.col("total") <= BLOCK).alias("whole"), "members"))
+        .select("tree", "block", (F.col("total") <= size).alias("whole"), "members"))
     return materialize(blocks.mapInArrow(run, LOG), name)
 
 
-def tiers(nodes: DataFrame, name: str) -> list[DataFrame]:
+def tiers(nodes: DataFrame, name: str, levels: int = LEVELS) -> list[DataFrame]:
     """Logs of all trees of (tree, index, total, name, leaf, claim), lowest
     tier first. The loop ends with the tier at which the largest tree is whole."""
-    out = [_tier(nodes, name)]
+    out = [_tier(nodes, name, levels)]
     while out[-1].filter("not whole").limit(1).count():
         below = out[-1].filter("not whole")
         total = F.count(F.lit(1)).alias("total")
         tops = below.select("tree", F.col("block").alias("index"), F.lit(None).cast("string").alias("name"),
                             F.col("top").alias("leaf"), F.lit(None).cast("binary").alias("claim"))
-        out.append(_tier(tops.join(below.groupBy("tree").agg(total), "tree"), name))
+        out.append(_tier(tops.join(below.groupBy("tree").agg(total), "tree"), name, levels))
     return out
 
 
@@ -224,41 +225,43 @@ class Manifest:
 
     documents: list[DataFrame]
     sources: list[DataFrame]
+    levels: int
 
 
-def build(leaf_rows: DataFrame) -> Manifest:
+def build(leaf_rows: DataFrame, levels: int = LEVELS) -> Manifest:
     """Write the logs of all trees of ``leaves``."""
-    docs = tiers(numbered(materialize(leaf_rows, "leaves"), "tree", ["key", "leaf", "row"]), "merkle-log")
+    docs = tiers(numbered(materialize(leaf_rows, "leaves"), "tree", ["key", "leaf", "row"]), "merkle-log", levels)
     subroots = docs[0].filter("whole")
     for tier in docs[1:]:
         subroots = subroots.unionByName(tier.filter("whole"))
     over = materialize(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("top").alias("leaf"),
                                        F.lit(None).cast("binary").alias("claim")), "subroots")
-    return Manifest(docs, tiers(numbered(over, "tree", ["name"]), "merkle-sources"))
+    return Manifest(docs, tiers(numbered(over, "tree", ["name"]), "merkle-sources", levels), levels)
 
 
 # -------------------------------------------------------------- the proofs
-def _expanded(logs: DataFrame, above: DataFrame) -> DataFrame:
+def _expanded(logs: DataFrame, above: DataFrame, levels: int) -> DataFrame:
     """Paths of all leaves of the blocks, given the paths of the blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 leaf_at = _cut(row["nodes"])
-                yield _batch([{"tree": row["tree"], "block": row["block"] * BLOCK + i, "name": row["names"][i],
-                               "subroot": row["subroot"] or leaf_at[postorder(0, i, row["n"])],
+                yield _batch([{"tree": row["tree"], "block": row["block"] * ARITY ** levels + i, "name": row["names"][i],
+                               # only the leaves of the lowest tier have names
+                               "subroot": row["subroot"] or (leaf_at[postorder(0, i, row["n"])] if row["names"][i] else None),
                                "path": _packed(path) + row["path"], "root": row["root"]}
-                              for i, path in enumerate(_block_paths(row))], PATHS)
+                              for i, path in enumerate(_block_paths(row, levels))], PATHS)
 
     return logs.join(above.drop("name"), ["tree", "block"]).mapInArrow(run, PATHS)
 
 
-def _paths(logs: list[DataFrame], tops: DataFrame) -> DataFrame:
+def _paths(logs: list[DataFrame], tops: DataFrame, levels: int) -> DataFrame:
     """Paths of the blocks of the lowest tier; ``tops`` has those of whole trees."""
     above = None
     for k in range(len(logs) - 1, -1, -1):
         own = logs[k].filter("whole").select("tree", "block").join(tops.drop("block"), "tree").select(*[c.split()[0] for c in PATHS.split(", ")])
-        above = materialize(own if above is None else own.unionByName(_expanded(logs[k + 1], above)), "merkle-paths")
+        above = materialize(own if above is None else own.unionByName(_expanded(logs[k + 1], above, levels)), "merkle-paths")
     return above
 
 
@@ -266,12 +269,12 @@ def proofs(manifest: Manifest) -> DataFrame:
     """Per document: doc_id, leaf, subroot, root, path (siblings up to the
     root, packed), proof_sha256, folded_root (of the claim where there is one)
     and verified. Rows are joined a block at a time."""
-    none, empty = F.lit(None), F.lit(b"")
+    none, empty, levels = F.lit(None), F.lit(b""), manifest.levels
     top = manifest.sources[-1].filter("whole").select(
         "tree", "block", none.cast("string").alias("name"), none.cast("binary").alias("subroot"), empty.alias("path"), F.col("top").alias("root"))
-    of_sources = _expanded(manifest.sources[0], _paths(manifest.sources, top))
+    of_sources = _expanded(manifest.sources[0], _paths(manifest.sources, top, levels), levels)
     above = _paths(manifest.documents, of_sources.select(F.col("name").alias("tree"), F.lit(0).cast("long").alias("block"),
-                                                         none.cast("string").alias("name"), "subroot", "path", "root"))
+                                                         none.cast("string").alias("name"), "subroot", "path", "root"), levels)
     schema = ("doc_id string, leaf binary, subroot binary, root binary, path binary, proof_sha256 string, "
               "folded_root binary, verified boolean")
 
@@ -280,7 +283,7 @@ def proofs(manifest: Manifest) -> DataFrame:
             for row in _rows(batch):
                 upper, nodes, tops, out = unpacked(row["path"]), _cut(row["nodes"]), {}, []
                 upper_hex = "".join(d.hex() for left, right in upper for d in (*left, *right))
-                for i, path in enumerate(_block_paths(row)):
+                for i, path in enumerate(_block_paths(row, levels)):
                     leaf = nodes[postorder(0, i, row["n"])]
                     mid = fold(leaf if row["claims"][i] is None else row["claims"][i], path)
                     if mid not in tops:
@@ -298,19 +301,19 @@ def proofs(manifest: Manifest) -> DataFrame:
 
 def proof_of(manifest: Manifest, source: str | None, doc_id: int) -> list[tuple[list[bytes], list[bytes]]]:
     """Random access: the path of one document, read from one block a tier."""
-    tree, path, index = "-" if source is None else "=" + source, [], None
+    tree, path, index, size = "-" if source is None else "=" + source, [], None, ARITY ** manifest.levels
     for logs, name in ((manifest.documents, str(doc_id)), (manifest.sources, tree)):
         at = F.array_contains("names", name)
         for log in logs:
             row = log.filter((F.col("tree") == tree) & at).first()
             if row is None:
                 raise KeyError((source, doc_id))
-            index = row["names"].index(name) if name is not None else index % BLOCK
-            path += list(_block_paths(row.asDict()))[index]
+            index = row["names"].index(name) if name is not None else index % size
+            path += list(_block_paths(row.asDict(), manifest.levels))[index]
             if row["whole"]:
                 break
             index, name = row["block"], None
-            at = F.col("block") == index // BLOCK
+            at = F.col("block") == index // size
         tree = ""
     return path
 

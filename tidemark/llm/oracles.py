@@ -156,4 +156,24 @@ def _op11() -> str:
     FROM placed p JOIN subroots s USING (tree) JOIN folded f ON f.doc_id = p.doc_id LEFT JOIN proof ON proof.doc_id = p.doc_id CROSS JOIN top"""
 
 
-ORACLE_SQL = {"op11_merkle_manifest": _op11(), "op5_secrets": _op5(), "op6_chat": _op6(), "op7_decontamination": _op7(), "op9_near_dedup": _op9()}
+# op13: every anchor with every row.
+def _op13() -> str:
+    return """
+    WITH rows AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                 CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda k: a.v[k] * b.v[k])) AS BIGINT) AS score
+               FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+    positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+                  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+    hard AS (SELECT p.*, s.other AS negative_id, s.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other) AS place
+             FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+              AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+    SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS "rank", negative_id, positive_score, negative_score FROM hard WHERE place <= 3"""
+
+
+ORACLE_SQL = {"op13_hard_negatives": _op13(), "op11_merkle_manifest": _op11(), "op5_secrets": _op5(), "op6_chat": _op6(), "op7_decontamination": _op7(), "op9_near_dedup": _op9()}

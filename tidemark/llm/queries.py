@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bitpack, chat, decontaminate, language_id, merkle, near_dedup, oracles, packing, quality_classifier, quality_rules, secrets, toxicity
+from . import bitpack, chat, decontaminate, hard_negatives, language_id, merkle, near_dedup, oracles, packing, quality_classifier, quality_rules, secrets, simhash, toxicity
 
 QUERIES = {
     "op1_packing": packing.query,
@@ -18,6 +18,8 @@ QUERIES = {
     "op9_near_dedup": near_dedup.query,
     "op10_quality_rules": quality_rules.query,
     "op11_merkle_manifest": merkle.query,
+    "op12_simhash": simhash.query,
+    "op13_hard_negatives": hard_negatives.query,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -186,14 +186,14 @@ class Block:
         hits, scored = [], 0
         for a, b in zip(self.levels, self.levels[1:]):
             at = slice(a, b)
-            if a == 0:
+            counts = self.matters(at, label, uid)
+            if a == 0:                                       # the root is scored for all
                 want = np.ones((b, len(x)), dtype=bool)
             else:
                 # a little more than the bound, for rounding
                 reach = self.edge[at, None] * length * (1 + 1e-9) + 1e-12 * self.norm[at, None] * length + 1e-6
                 lo[at], hi[at] = lo[self.parent[at]] - reach, hi[self.parent[at]] + reach
-                want = (hi[at] >= floor[at, None]) & (lo[at] <= roof[at, None])
-            want &= self.matters(at, label, uid) | (a == 0)
+                want = counts & (hi[at] >= floor[at, None]) & (lo[at] <= roof[at, None])
             i, j = np.nonzero(want)
             scored += len(i)
             if 4 * len(i) > want.size:
@@ -201,22 +201,16 @@ class Block:
             else:
                 score = np.concatenate([(v[i[k:k + 65536] + a] * x_[j[k:k + 65536]]).sum(axis=1) for k in range(0, len(i), 65536)] or [np.zeros(0)])
             lo[i + a, j] = hi[i + a, j] = score
-            hits.append((i + a, j, score.astype(np.int64)))
+            on = counts[i, j]
+            hits.append((i[on] + a, j[on], score[on].astype(np.int64)))
         i, j, score = (np.concatenate(c) for c in zip(*hits))
-        root = i < self.levels[1]
-        own = ~root
-        own[root] = ((self.label[i[root]] == label[j[root]]) & (self.uid[i[root]] != uid[j[root]])) == self.same
-        self.take(i[own], score[own], vec_id[j[own]], uid[j[own]])
+        self.take(i, score, vec_id[j], uid[j])
         return scored
 
-    same = True
-
 
 class WindowBlock(Block):
     """Anchors with their positives; looks for negatives inside their windows."""
 
-    same = False
-
     def __init__(self, rows: pa.Table, dim: int, k: int, low: tuple[int, int], high: tuple[int, int]):
         super().__init__(rows, dim, k)
         lists = rows["positives"].combine_chunks()

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import awkward_rows
 from hypothesis import given, settings
@@ -28,9 +29,18 @@ def test_chunks_equal_whole_texts(text):
     assert np.frombuffer(enc.encode(text.encode()), dtype="<u4").tolist() == whole
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from("aAbéÉßï'. ,\n(*9<|>"), max_size=70)), max_size=8), st.integers(1, 200))
+def test_many_texts_at_once(texts, span):
+    enc = _encoder()
+    enc.span = span
+    got = list(enc.encode_all(pa.array(texts, pa.string())))
+    assert [np.frombuffer(g, dtype="<u4").tolist() for g in got] == [enc.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def _encoder(cache={}):
     if not cache:
-        cache["e"] = TextEncoder(default_tokenizer(), memo_chunks=50)
+        cache["e"] = TextEncoder(default_tokenizer(), span=25)
         assert cache["e"].by_chunk
     return cache["e"]
 

@@ -88,9 +88,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _TYPES.values())], names=list(_TYPES))
 
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for doc, text in zip(batch.column(0).to_pylist(), texts):
-                ids = enc.encode(text) + end
+            for doc, ids in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1))):
+                ids += end
                 if n and n + len(ids) // 4 > BLOCK_IDS:
                     yield flush()
                 index.append((doc, n, len(ids) // 4))

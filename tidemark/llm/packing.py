@@ -115,9 +115,8 @@ def encode_pieces(docs: DataFrame, tokenizer: str, max_len: int = MAX_LEN, end_i
         step = 4 * max_len
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
-            texts = batch.column(2).cast(pa.binary()).to_pylist()
-            for row, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
-                ids = enc.encode(text) + end
+            for row, doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), enc.encode_all(batch.column(2))):
+                ids += end
                 for at in range(0, len(ids), step):
                     part = ids[at:at + step]
                     for col, v in zip(out, (row, doc, at // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4, part)):

@@ -204,10 +204,12 @@ def _rows(docs: DataFrame, model: Logistic | None, host: str, path: str, *column
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
-    """The documents (all their columns) that are not rejected."""
+    """The documents (all their columns) that are not rejected. Texts are
+    judged once: rows and their evidence are written together, and the sums of
+    the sites read only the evidence of them."""
     model = fit(docs, labels)
-    sites = site_posteriors(_rows(docs, model, host, path), base_of(model))
-    return judged(_rows(docs, model, host, path, F.struct("*").alias("row")), sites, base_of(model)).filter("kept").select("row.*")
+    rows = materialize(_rows(docs, model, host, path, F.struct("*").alias("row")), "judged")
+    return judged(rows, site_posteriors(rows, base_of(model)), base_of(model)).filter("kept").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

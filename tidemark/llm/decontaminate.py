@@ -37,7 +37,7 @@ from ..session import scratch_path
 from .common import materialize
 
 WINDOW = 10
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 19
 BLOCK_WORDS = 1 << 20
 
 # A-Z to a-z; every byte that is not 0-9, a-z or part of a non-ASCII

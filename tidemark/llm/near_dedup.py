@@ -47,7 +47,7 @@ THRESHOLD = 0.8
 BANDS = 32
 ROWS = 6
 #: Words whose hash a worker remembers before it starts afresh.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 100_000
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _POISSON = np.array([min(2 ** 64 - 1, int(sum(math.exp(-1) / math.factorial(j) for j in range(n + 1)) * 2 ** 64))

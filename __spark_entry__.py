@@ -13,8 +13,10 @@ from __future__ import annotations
 import datetime as _dt
 import importlib
 import os
+import re
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 # importable however this file is loaded (by module name or by file path)
@@ -22,6 +24,7 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,14 +34,16 @@ from tidemark.functions import text as tx
 from tidemark.functions.numeric import half_up
 from tidemark.functions.rules import FIXTURE, REFERENCE
 from tidemark.functions.signals import technical_signal, ts_lit
-from tidemark.operators import (alerts, cdc, embeddings, enrich, governance as gov, indicators,
-                                joins, marts, monitor, quality, retrieval, scenario, staging)
+from tidemark.operators import (alerts, cdc, embeddings, enrich, gated, governance as gov, indicators,
+                                joins, marts, monitor, policies_sql, profiles, quality, retrieval, scenario, similarity, staging,
+                                text_models)
 from tidemark.plans.graph import graph_from_driver
 from tidemark.plans.pipeline import GROUPS, raw_inputs, run_pipeline
 from tidemark.session import ensure_checkpoint_dir, scratch_path
 from tidemark.sources import adapters as ad
 from tidemark.sources import files, schemas, sinks
-from tidemark.streaming import cdc_stream, refresh
+from tidemark.streaming import cdc_stream, progress, refresh
+from tidemark.streaming.store import PartitionedTable
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF, NOW = ad.AS_OF, ad.NOW
@@ -233,6 +238,38 @@ def _text_model_score(spark, sf_dir):
     return df.select("call_id", "model_score")
 
 
+_SENT = r"[.!?]+\s+|\n+"
+
+
+@register("text_model_summary", sql(f"""
+    WITH t AS (SELECT call_id, transcript_text, list_filter(string_split_regex(transcript_text, '{_SENT}'), lambda x: regexp_matches(x, '\\w')) AS ss
+               FROM stg_earnings_calls),
+    s AS (SELECT call_id, place, ss[place + 1] AS sentence FROM (SELECT call_id, ss, unnest(range(len(ss))) AS place FROM t)),
+    w AS (SELECT call_id, place, word, count(*) AS n FROM (
+            SELECT call_id, place, unnest(regexp_extract_all(lower(sentence), '\\w+')) AS word FROM s) GROUP BY ALL),
+    tf AS (SELECT call_id, word, sum(n) AS tf FROM w GROUP BY ALL),
+    df AS (SELECT word, count(*) AS df FROM tf GROUP BY word),
+    weighed AS (SELECT call_id, word, tf * CAST(round(1000 * ln(((SELECT count(transcript_text) FROM t) + 1) / df)) AS BIGINT) AS x
+                FROM tf JOIN df USING (word)),
+    scored AS (SELECT call_id, place, CAST(sum(x) AS DOUBLE) / count(*) AS weight FROM w JOIN weighed USING (call_id, word) GROUP BY ALL),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY call_id ORDER BY weight DESC, place) <= 2),
+    joined AS (SELECT call_id, string_agg(sentence, ' ' ORDER BY place) AS summary FROM best JOIN s USING (call_id, place) GROUP BY call_id)
+    SELECT t.call_id, CASE WHEN t.transcript_text IS NOT NULL THEN coalesce(joined.summary, '') END AS summary
+    FROM t LEFT JOIN joined ON joined.call_id = t.call_id""", "stg_earnings_calls"))
+def _text_model_summary(spark, sf_dir):
+    """Extractive summaries: the two sentences of each transcript whose words weigh most."""
+    return text_models.extractive_summary(_stg_calls(spark, sf_dir), "call_id", _T)
+
+
+@register("text_model_sentiment", None)
+def _text_model_sentiment(spark, sf_dir):
+    """A classifier fitted on the transcripts that the lexicon calls positive or negative, applied to all."""
+    calls = _stg_calls(spark, sf_dir)
+    score = tx.sentiment_neutral(F.col(_T), FIXTURE)
+    labelled = calls.select("call_id", _T, F.when(score > 0, 1).when(score < 0, 0).alias("label"))
+    return text_models.model_sentiment(calls, text_models.fit_sentiment(labelled, "call_id", _T, "label"), "call_id", _T)
+
+
 # ======================================================================
 # 2.4 windows
 # ======================================================================
@@ -348,7 +385,7 @@ def _join_event_window_inner(spark, sf_dir):
     return joins.event_window_join(ev, g.get("stg_stock_prices"), 1, 10, "inner")
 
 
-@register("agg_risk_counts", oq.model("risk_counts"))
+@register("agg_risk_counts", sql("SELECT ticker, flags AS total_risk_flags, severe AS high_risk_count FROM flags_30d", "flags_30d"))
 def _agg_risk_counts(spark, sf_dir):
     return marts.risk_counts(G(spark, sf_dir).get("int_filing_classifications"), AS_OF)
 
@@ -374,7 +411,17 @@ def _ml_sentiment_training_corrected(spark, sf_dir):
 @register("ml_text_embeddings", None)
 def _ml_text_embeddings(spark, sf_dir):
     """TF-IDF + L2 embeddings of every filing section (rows-only check)."""
-    return embeddings.embed_text(_stg_filings(spark, sf_dir), _S, "filing_id", dim=256)
+    return embeddings.embed_text(_stg_filings(spark, sf_dir), _S, "filing_id", dim=32)
+
+
+@register("ml_text_embeddings_norms", sql(
+    "SELECT filing_id, 32 AS dims, CASE WHEN regexp_matches(coalesce(section_text, ''), '\\w') THEN 1.0 ELSE 0.0 END AS norm FROM stg_sec_filings",
+    "stg_sec_filings"))
+def _ml_text_embeddings_norms(spark, sf_dir):
+    """Latent vectors have length one, those of texts without words are zero."""
+    e = _ml_text_embeddings(spark, sf_dir)
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
+    return e.select("filing_id", F.size("embedding").alias("dims"), half_up(length, 6).alias("norm"))
 
 
 # ======================================================================
@@ -409,6 +456,32 @@ def _vector_cosine_topk(spark, sf_dir):
     return retrieval.cosine_topk(T(spark, sf_dir).vectors, "vec_id", "embedding", 0, k=10)
 
 
+# every 100th vector against all vectors
+_EVERY = 100
+
+
+def _targets(spark, sf_dir):
+    return T(spark, sf_dir).vectors.filter(F.col("vec_id") % _EVERY == 0)
+
+
+@register("vector_cosine_topk_all", f"""
+    WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+    SELECT t.vec_id AS target_id, CAST(row_number() OVER (PARTITION BY t.vec_id ORDER BY {_COS} DESC, a.vec_id) AS INTEGER) AS "rank",
+           a.vec_id AS id, {hu(_COS, 6)} AS cosine_similarity
+    FROM v a JOIN v t ON t.vec_id % {_EVERY} = 0 AND a.vec_id <> t.vec_id
+    QUALIFY "rank" <= 10""")
+def _vector_cosine_topk_all(spark, sf_dir):
+    """Ten nearest rows of many targets in one plan."""
+    return similarity.cosine_topk_all(T(spark, sf_dir).vectors, _targets(spark, sf_dir), "vec_id", "embedding", k=10)
+
+
+@register("vector_cosine_topk_index", None)
+def _vector_cosine_topk_index(spark, sf_dir):
+    """The same through the hash index (recall of 0.95 aimed at; tested against the exact search)."""
+    index = similarity.build_index(T(spark, sf_dir).vectors, "vec_id", "embedding", cell_rows=512)
+    return similarity.index_topk(index, _targets(spark, sf_dir), "vec_id", "embedding", k=10)
+
+
 _TV = "(SELECT [emb_1, emb_2, emb_3, emb_4, emb_5] FROM ml_filing_embeddings WHERE filing_id = 'SF-0')"
 _COS_F = (f"list_dot_product(a.e, {_TV}) / (sqrt(list_dot_product(a.e, a.e)) "
           f"* sqrt(list_dot_product({_TV}, {_TV})))")
@@ -503,15 +576,29 @@ _CUTS = {"raw_earnings_stream": ("earnings_calls", "call_id", "call_date", _dt.d
          "raw_prices_stream": ("stock_prices", "price_id", "price_date", _dt.date(2024, 1, 29))}
 
 
-def _streams(spark, sf_dir) -> dict[str, DataFrame]:
+def _versions(spark, sf_dir) -> dict[str, tuple[DataFrame, DataFrame, str]]:
+    """Per stream: the version before, the one after, the key."""
     t = T(spark, sf_dir)
     out = {}
     for name, (table, key, dcol, cut) in _CUTS.items():
         full = getattr(t, table)
-        out[name] = cdc.cdc_changes(full.filter(F.col(dcol) < F.lit(cut)), full, key)
-    before, after = t.cdc_pair()
-    out["raw_orders_stream"] = cdc.cdc_changes(before, after, "o_orderkey")
-    return out
+        out[name] = (full.filter(F.col(dcol) < F.lit(cut)), full, key)
+    return {**out, "raw_orders_stream": (*t.cdc_pair(), "o_orderkey")}
+
+
+def _streams(spark, sf_dir) -> dict[str, DataFrame]:
+    """The changes of every stream; only buckets whose digests differ are joined."""
+    return {name: cdc.cdc_changes_by_digest(*v) for name, v in _versions(spark, sf_dir).items()}
+
+
+@register("cdc_changes_digest", _CDC_SQL)
+def _cdc_changes_digest(spark, sf_dir):
+    """Two stored versions: their digests say which partitions are read."""
+    before, after = T(spark, sf_dir).cdc_pair()
+    root = scratch_path(spark, "versions")
+    for name, version in (("v1", before), ("v2", after)):
+        cdc.store_version(version, f"{root}/{name}", "o_orderkey", buckets=16)
+    return cdc.stored_changes(spark, f"{root}/v1", f"{root}/v2", "o_orderkey", after.schema)
 
 
 @register("cdc_has_data", sql("\nUNION ALL\n".join(
@@ -520,7 +607,7 @@ def _streams(spark, sf_dir) -> dict[str, DataFrame]:
     + [f"SELECT 'raw_orders_stream', EXISTS (SELECT 1 FROM ({_CDC_SQL}) c)"]),
     "earnings_calls", "sec_filings", "stock_prices"))
 def _cdc_has_data(spark, sf_dir):
-    return cdc.has_data(_streams(spark, sf_dir))
+    return cdc.has_data({name: v[:2] for name, v in _versions(spark, sf_dir).items()})
 
 
 _UPSERT_SQL = f"""
@@ -546,50 +633,62 @@ def _cdc_merge_upsert(spark, sf_dir):
 @register("cdc_stream_upsert", _UPSERT_SQL)
 def _cdc_stream_upsert(spark, sf_dir):
     """Streaming form: two change drops processed by a file-source stream
-    with availableNow into key-bucketed versions (only touched buckets are
-    rewritten per micro-batch); the final snapshot equals the batch upsert."""
-    from tidemark.streaming.store import BucketedTable
+    with availableNow into a table partitioned by a hash bucket of the key
+    (only touched partitions are rewritten); the result equals the batch upsert."""
     before, after = T(spark, sf_dir).cdc_pair()
     changes = cdc.cdc_changes(before, after, "o_orderkey")
     root = scratch_path(spark, "cdc_stream")
-    src, target, ckpt, log = f"{root}/src", f"{root}/target", f"{root}/ckpt", f"{root}/event_log"
-    store = BucketedTable(spark, target, "o_orderkey", 32)
+    store = PartitionedTable(spark, f"{root}/target", key="o_orderkey", buckets=32)
     store.create(before)
     drops = [changes.filter(~F.col("is_update")), changes.filter(F.col("is_update"))]
-    schema = drops[0].schema
     for i, drop in enumerate(drops):       # each drop arrives, then the stream catches up
-        drop.write.parquet(f"{src}/drop{i + 1}")
-        cdc_stream.run_cdc_stream(spark, f"{src}/*", schema, target, "o_orderkey", _UPDATE_COLS, ckpt,
-                                  trigger={"availableNow": True}, log_path=log,
-                                  buckets=32).awaitTermination()
-    return store.read()
+        drop.write.parquet(f"{root}/src/drop{i + 1}")
+        cdc_stream.run_cdc_stream(spark, f"{root}/src/*", drop.schema, store, "o_orderkey", _UPDATE_COLS, f"{root}/ckpt",
+                                  trigger={"availableNow": True}, log_path=f"{root}/event_log",
+                                  table_schema=before.schema).awaitTermination()
+    return store.read(before.schema)
+
+
+def _price_drops(spark, sf_dir) -> list[DataFrame]:
+    bars = T(spark, sf_dir).stock_prices
+    cut = F.lit(_dt.date(2024, 1, 20))
+    return [bars.filter(F.col("price_date") < cut), bars.filter(F.col("price_date") >= cut)]
 
 
-def _price_summary_body(raw: DataFrame) -> DataFrame:
-    return indicators.dt_price_summary_from_bars(staging.stg_stock_prices(raw, AS_OF), NOW)
+def _summary_of_bars(bars: DataFrame) -> DataFrame:
+    return indicators.dt_price_summary(indicators.int_price_metrics(bars), NOW)
 
 
 @register("dt_price_summary_stream", oq.model("dt_price_summary"))
 def _dt_price_summary_stream(spark, sf_dir):
-    """Refresh stream: per micro-batch, recompute only the affected tickers."""
-    bars = T(spark, sf_dir).stock_prices
+    """Keyed-state stream: each ticker's last 50 bars live in the state store;
+    a micro-batch reads no old bars and rewrites the tickers it brings."""
     root = scratch_path(spark, "dt_price_summary")
-    cut = F.lit(_dt.date(2024, 1, 20))
-    drops = [bars.filter(F.col("price_date") < cut), bars.filter(F.col("price_date") >= cut)]
-    for i, drop in enumerate(drops):       # a new day of bars lands, the table refreshes
+    for i, drop in enumerate(_price_drops(spark, sf_dir)):       # a new day of bars lands, the table refreshes
         drop.write.parquet(f"{root}/base/drop{i + 1}")
-        refresh.refresh_stream(spark, _price_summary_body, f"{root}/base/*", bars.schema, f"{root}/target",
-                               ["ticker"], f"{root}/ckpt", trigger={"availableNow": True}).awaitTermination()
-    from tidemark.streaming.store import VersionedTable
-    return VersionedTable(spark, f"{root}/target").read()
+        bars = staging.stg_stock_prices(spark.readStream.schema(drop.schema).parquet(f"{root}/base/*"), AS_OF)
+        refresh.last_bars_stream(spark, bars, _summary_of_bars, f"{root}/target", f"{root}/ckpt",
+                                 trigger={"availableNow": True}).awaitTermination()
+    return PartitionedTable(spark, f"{root}/target", ["ticker"]).read(G(spark, sf_dir).get("dt_price_summary").schema)
+
+
+@register("dt_price_summary_refresh", oq.model("dt_price_summary"))
+def _dt_price_summary_refresh(spark, sf_dir):
+    """Refresh stream: per micro-batch, recompute only the affected tickers from the base."""
+    root = scratch_path(spark, "dt_price_refresh")
+    for i, drop in enumerate(_price_drops(spark, sf_dir)):
+        drop.write.parquet(f"{root}/base/drop{i + 1}")
+        refresh.refresh_stream(spark, lambda raw: indicators.dt_price_summary_from_bars(staging.stg_stock_prices(raw, AS_OF), NOW),
+                               f"{root}/base/*", drop.schema, f"{root}/target", ["ticker"], f"{root}/ckpt",
+                               trigger={"availableNow": True}, by_partition=True).awaitTermination()
+    return PartitionedTable(spark, f"{root}/target", ["ticker"]).read(G(spark, sf_dir).get("dt_price_summary").schema)
 
 
 @register("dt_filing_risk_signals_stream", oq.model("dt_filing_risk_signals"))
 def _dt_filing_risk_signals_stream(spark, sf_dir):
-    """Refresh stream keyed by (ticker, filing_date): a new filing section
-    recomputes only the section counts of its own filing day."""
+    """Refresh stream into a table partitioned by filing day: new filings
+    recompute and rewrite only their own days."""
     from tidemark.plans.graph import dt_filing_risk_signals
-    from tidemark.streaming.store import VersionedTable
     filings = T(spark, sf_dir).sec_filings
     root = scratch_path(spark, "dt_filing_risk")
 
@@ -602,9 +701,9 @@ def _dt_filing_risk_signals_stream(spark, sf_dir):
     for i, drop in enumerate(drops):
         drop.write.parquet(f"{root}/base/drop{i + 1}")
         refresh.refresh_stream(spark, body, f"{root}/base/*", filings.schema, f"{root}/target",
-                               ["ticker", "filing_date"], f"{root}/ckpt",
-                               trigger={"availableNow": True}).awaitTermination()
-    return VersionedTable(spark, f"{root}/target").read()
+                               ["filing_date"], f"{root}/ckpt", trigger={"availableNow": True},
+                               by_partition=True).awaitTermination()
+    return PartitionedTable(spark, f"{root}/target", ["filing_date"]).read(G(spark, sf_dir).get("dt_filing_risk_signals").schema)
 
 
 @register("dt_earnings_sentiment_stream", oq.model("dt_earnings_sentiment"))
@@ -622,32 +721,37 @@ def _dt_earnings_sentiment_stream(spark, sf_dir):
     return spark.read.parquet(f"{root}/target")
 
 
+# The reference suites with bounds that fit the driver tables (their tickers,
+# filings and prices are made up): what may differ between deployments.
+_LOOSE = {("regex", "ticker"): {"pattern": "^U[0-9]{1,3}$"}, ("row_count", None): {"lo": 0, "hi": 10 ** 15},
+          ("length_between", "transcript_text"): {"lo": 0, "hi": 10 ** 9}, ("length_between", "section_text"): {"lo": 0, "hi": 10 ** 9}}
+DRIVER_SUITES = {t: [replace(c, **_LOOSE.get((c.kind, c.column), {})) for c in suite] for t, suite in quality.SUITES.items()}
+
+
 @register("refresh_group", sql(_COUNTS_AS_DOUBLE, "mart_research_signals"))
 def _refresh_group(spark, sf_dir):
-    """The 'prices' group (staging -> research signals) materialized in
-    dependency order; the mart is read back from its written table. (The
-    driver tables lie outside the reference suites' bounds, hence no gate
-    here; see ``pipeline_gate``.)"""
-    built = run_pipeline(G(spark, sf_dir), "prices", scratch_path(spark, "refresh_prices"), gate=None)
+    """The 'prices' group (staging -> research signals) behind its gate,
+    materialized in dependency order; the mart is read back from its table."""
+    built = run_pipeline(G(spark, sf_dir), "prices", scratch_path(spark, "refresh_prices"), gate=DRIVER_SUITES)
     return _counts_as_double(built["mart_research_signals"])
 
 
 @register("refresh_group_earnings", oq.model("mart_earnings_summary"))
 def _refresh_group_earnings(spark, sf_dir):
-    built = run_pipeline(G(spark, sf_dir), "earnings", scratch_path(spark, "refresh_earnings"), gate=None)
+    built = run_pipeline(G(spark, sf_dir), "earnings", scratch_path(spark, "refresh_earnings"), gate=DRIVER_SUITES)
     return built["mart_earnings_summary"]
 
 
 @register("refresh_group_filings", oq.model("mart_filing_dashboard"))
 def _refresh_group_filings(spark, sf_dir):
-    built = run_pipeline(G(spark, sf_dir), "filings", scratch_path(spark, "refresh_filings"), gate=None)
+    built = run_pipeline(G(spark, sf_dir), "filings", scratch_path(spark, "refresh_filings"), gate=DRIVER_SUITES)
     return built["mart_filing_dashboard"]
 
 
 @register("refresh_group_ml", oq.model("ml_sentiment_training"))
 def _refresh_group_ml(spark, sf_dir):
     """The weekly ML group: filing embeddings and the training table."""
-    built = run_pipeline(G(spark, sf_dir), "ml", scratch_path(spark, "refresh_ml"), gate=None)
+    built = run_pipeline(G(spark, sf_dir), "ml", scratch_path(spark, "refresh_ml"), gate=DRIVER_SUITES)
     return built["ml_sentiment_training"]
 
 
@@ -719,6 +823,30 @@ def _layout_point_lookup(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+_LOOKUP_SQL = ("SELECT {cols} FROM {table} t WHERE {col} IN (SELECT {col} FROM (SELECT {col}, count(*) AS n FROM {table} "
+               "WHERE {col} IS NOT NULL GROUP BY {col}) ORDER BY n, {col} LIMIT 3)")
+
+
+def _rarest(df: DataFrame, col: str) -> DataFrame:
+    """A small key table: the three rarest values."""
+    return (df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy("n", col).limit(3).select(col))
+
+
+@register("layout_point_lookup_rows", sql("\nUNION ALL\n".join([
+    "SELECT 'ticker' AS looked_up, filing_id AS id FROM (" + _LOOKUP_SQL.format(cols="filing_id", table="sec_filings", col="ticker") + ")",
+    "SELECT 'speaker_role', call_id FROM (" + _LOOKUP_SQL.format(cols="call_id", table="earnings_calls", col="speaker_role") + ")"]),
+    "sec_filings", "earnings_calls"))
+def _layout_point_lookup_rows(spark, sf_dir):
+    """Rows of the keys of a key table, from sorted, bloom-filtered files."""
+    t, out = T(spark, sf_dir), []
+    for table, cols, key in ((t.sec_filings, ["ticker", "filing_type", "item_type"], "filing_id"), (t.earnings_calls, ["speaker_role", "ticker"], "call_id")):
+        target = scratch_path(spark, "bloom")
+        sinks.write_with_bloom(table, target, cols)
+        found = sinks.lookup(spark, target, cols[0], _rarest(table, cols[0]), table.schema)
+        out.append(found.select(F.lit(cols[0]).alias("looked_up"), F.col(key).alias("id")))
+    return union_all(out)
+
+
 @register("sink_event_log", None)
 def _sink_event_log(spark, sf_dir):
     """Audit rows for every change action of the orders stream, appended to
@@ -834,9 +962,9 @@ def _row_access_sql(r: str, cols: str = "ticker", table: str = "mart_research_si
 
 @register("row_access_ticker", sql(_roles_sql(_row_access_sql), "mart_research_signals"))
 def _row_access_ticker(spark, sf_dir):
-    df = G(spark, sf_dir).get("mart_research_signals")
+    """The mart derived once, its rows given out for each role that may see them."""
     rt = gov.role_tickers_frame(spark, FIXTURE_ROLE_TICKERS)
-    return union_all([gov.row_access(df, r, rt).select(F.lit(r).alias("role"), "ticker") for r in gov.ROLES])
+    return gov.per_role(G(spark, sf_dir).get("mart_research_signals"), role_tickers=rt, col="ticker").select("role", "ticker")
 
 
 _SV_COLS = ("ticker, close_price, ma_20d, ma_50d, volatility_pct, sharpe_ratio, {ceo} AS ceo_sentiment, "
@@ -848,11 +976,79 @@ _SV_COLS = ("ticker, close_price, ma_20d, ma_50d, volatility_pct, sharpe_ratio,
     r, _SV_COLS.format(ceo="ceo_sentiment" if r in gov.EXACT_SCORE_ROLES else _bucket_sql("ceo_sentiment")))),
     "mart_research_signals"))
 def _secure_view(spark, sf_dir):
-    """All policies attached to the research-signals mart, for every role."""
-    df = G(spark, sf_dir).get("mart_research_signals")
+    """All policies attached to the research-signals mart, for every role, from one derivation."""
     rt = gov.role_tickers_frame(spark, FIXTURE_ROLE_TICKERS)
-    return union_all([_counts_as_double(gov.secure_view(df, "mart_research_signals", r, rt))
-                      .select(F.lit(r).alias("role"), "*") for r in gov.ROLES])
+    return _counts_as_double(gov.secure_view_roles(G(spark, sf_dir).get("mart_research_signals"), "mart_research_signals", role_tickers=rt))
+
+
+# every attached table: what a role sees of it, as numbers that tell a masked value from a plain one
+_TOLD = {"stg_earnings_calls": "transcript_text", "int_earnings_sentiment": "transcript_text", "mart_earnings_summary": "sentiment_score",
+         "mart_research_signals": "ceo_sentiment", "ml_filing_embeddings": "embedding_vector"}
+
+
+def _told_sql(table: str) -> str:
+    col = _TOLD.get(table)
+    if col is None:
+        return "0.0"
+    if col == "transcript_text":
+        return "CAST(sum(length(transcript_text)) AS DOUBLE)"
+    if col == "embedding_vector":
+        return hu("sum(abs(emb_1) + abs(emb_2) + abs(emb_3) + abs(emb_4) + abs(emb_5))", 4)
+    return hu(f"sum({col})", 4)
+
+
+def _attached_sql(table: str, role: str) -> str:
+    row_col, masks = gov.ATTACHED[table]
+    src = table
+    if "transcript_text" in masks:
+        src = (f"(SELECT * REPLACE ({_mask_transcript_sql(role).split(' AS role, ')[1].split(' AS transcript_text')[0]} AS transcript_text) FROM {table})")
+    elif "embedding_vector" in masks and role not in gov.VECTOR_ROLES:
+        src = f"(SELECT 0.0 AS emb_1, 0.0 AS emb_2, 0.0 AS emb_3, 0.0 AS emb_4, 0.0 AS emb_5 FROM {table})"
+    elif masks and "embedding_vector" not in masks and role not in gov.EXACT_SCORE_ROLES:
+        src = f"(SELECT * REPLACE ({_bucket_sql(_TOLD[table])} AS {_TOLD[table]}) FROM {table})"
+    seen = _row_access_sql(role, "1").split(" WHERE ")[1] if row_col else "true"
+    return f"SELECT '{table}' AS table_name, '{role}' AS role, count(*) AS visible_rows, coalesce({_told_sql(table)}, 0.0) AS told FROM {src} t WHERE {seen}"
+
+
+def _told(table: str):
+    col = _TOLD.get(table)
+    if col is None:
+        return F.lit(0.0)
+    if col == "transcript_text":
+        return F.sum(F.length(col)).cast("double")
+    if col == "embedding_vector":
+        return half_up(F.sum(F.aggregate(F.slice(col, 1, 5), F.lit(0.0), lambda a, x: a + F.abs(x))), 4)
+    return half_up(F.sum(col), 4)
+
+
+@register("secure_view_all", sql("\nUNION ALL\n".join(_attached_sql(t, r) for t in gov.ATTACHED for r in gov.ROLES), *gov.ATTACHED))
+def _secure_view_all(spark, sf_dir):
+    """Policies of all attached tables: rows and content that each role sees, each table derived once."""
+    g, rt = G(spark, sf_dir), gov.role_tickers_frame(spark, FIXTURE_ROLE_TICKERS)
+    roles = spark.createDataFrame([(r,) for r in gov.ROLES], "role string")
+    parts = []
+    for table in gov.ATTACHED:
+        seen = gov.secure_view_roles(g.get(table), table, role_tickers=rt).groupBy("role").agg(
+            F.count(F.lit(1)).alias("visible_rows"), F.coalesce(_told(table), F.lit(0.0)).alias("told"))
+        parts.append(roles.join(seen, "role", "left").select(F.lit(table).alias("table_name"), "role", F.coalesce("visible_rows", F.lit(0)).alias("visible_rows"),
+                                                             F.coalesce("told", F.lit(0.0)).alias("told")))
+    return union_all(parts)
+
+
+@register("secure_view_sql", sql("\nUNION ALL\n".join(_attached_sql(t, r) for t in gov.ATTACHED for r in gov.ROLES), *gov.ATTACHED))
+def _secure_view_sql(spark, sf_dir):
+    """The same by plain SQL: functions, a session variable for the role, views on them."""
+    g = G(spark, sf_dir)
+    policies_sql.install(spark, gov.role_tickers_frame(spark, FIXTURE_ROLE_TICKERS))
+    tables = {t: g.get(t) for t in gov.ATTACHED}
+    policies_sql.create_views(spark, {t: df.withColumn("embedding_vector", F.col("embedding_vector").cast("array<double>"))
+                                      if t == "ml_filing_embeddings" else df for t, df in tables.items()})
+    parts = []
+    for role in gov.ROLES:
+        policies_sql.set_role(spark, role)
+        parts += [spark.sql(f"SELECT * FROM secure_{t}").agg(F.count(F.lit(1)).alias("visible_rows"), F.coalesce(_told(t), F.lit(0.0)).alias("told"))
+                  .select(F.lit(t).alias("table_name"), F.lit(role).alias("role"), "visible_rows", "told") for t in gov.ATTACHED]
+    return union_all(parts)
 
 
 # ======================================================================
@@ -904,18 +1100,22 @@ def _mon_volume_drop(spark, sf_dir):
     return monitor.volume_drop(trend, "call_date")
 
 
-# A feed that lost three quarters of the calls of every fifth day.
-_DIP = "NOT (extract(day FROM call_date) % 5 = 0 AND substr(md5(call_id), 1, 1) < 'c')"
-_DIP_SQL = f"(SELECT * FROM earnings_calls WHERE {_DIP}) d"
+# The orders as a feed whose last day is near the present: its days differ much in volume.
+_ORDER_SHIFT = 8218
+_ORDER_FEED_SQL = f"(SELECT *, CAST(o_orderdate AS DATE) + {_ORDER_SHIFT} AS call_date FROM orders) d"
+
+
+def _order_feed(spark, sf_dir) -> DataFrame:
+    orders = T(spark, sf_dir).raw("orders")
+    return orders.withColumn("call_date", F.date_add(F.col("o_orderdate").cast("date"), _ORDER_SHIFT))
 
 
 @register("mon_volume_drop_dip", sql(
     f"SELECT call_date, daily_count, rolling_7d_avg, {hu('volume_ratio * 100.0', 1)} AS volume_pct_of_avg "
-    f"FROM ({_trend_sql(_DIP_SQL, 'call_date')}) t WHERE volume_ratio < 0.5", "earnings_calls"))
+    f"FROM ({_trend_sql(_ORDER_FEED_SQL, 'call_date')}) t WHERE volume_ratio < 0.5"))
 def _mon_volume_drop_dip(spark, sf_dir):
     """The same monitor over a feed with dipping days."""
-    dipped = T(spark, sf_dir).earnings_calls.filter(F.expr(_DIP))
-    return monitor.volume_drop(monitor.volume_trend(dipped, "call_date", AS_OF), "call_date")
+    return monitor.volume_drop(monitor.volume_trend(_order_feed(spark, sf_dir), "call_date", AS_OF), "call_date")
 
 
 # Nullability is what Spark reports for the adapter output (fixed values).
@@ -1215,11 +1415,11 @@ def _alert_volume_drop(spark, sf_dir):
     return alerts.volume_drop([(raw[t], c) for t, c in _FEEDS], AS_OF)
 
 
-@register("alert_volume_drop_dip", _alert_sql("warning", "alert_volume_drop", _low_sql([(_DIP_SQL, "call_date")]), 0.5,
-                                              "{m} < 0.5", "earnings_calls"))
+@register("alert_volume_drop_dip", _alert_sql("warning", "alert_volume_drop", _low_sql([(_ORDER_FEED_SQL, "call_date")]), 0.5,
+                                              "{m} < 0.5"))
 def _alert_volume_drop_dip(spark, sf_dir):
     """Fires on the feed with dipping days."""
-    return alerts.volume_drop([(T(spark, sf_dir).earnings_calls.filter(F.expr(_DIP)), "call_date")], AS_OF)
+    return alerts.volume_drop([(_order_feed(spark, sf_dir), "call_date")], AS_OF)
 
 
 @register("alert_risk_surge", _alert_sql(
@@ -1374,6 +1574,21 @@ def _column_profile(spark, sf_dir):
     return p.withColumns({"mean_value": half_up("mean_value", 3), "stddev_value": half_up("stddev_value", 3)})
 
 
+@register("column_profile_merged", sql("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS non_null_count, count(*) - count({c}) AS null_count, "
+    f"CAST(min({m}) AS DOUBLE) AS min_value, CAST(max({m}) AS DOUBLE) AS max_value, {hu(f'avg({m})', 3)} AS mean_value "
+    f"FROM stock_prices" for c, m in _PROFILED.items()), "stock_prices"))
+def _column_profile_merged(spark, sf_dir):
+    """Two loads profiled apart and merged from their sketches (the estimates
+    of distinct values and quantiles are checked in the tests)."""
+    prices, cut = T(spark, sf_dir).stock_prices, F.lit(_dt.date(2024, 1, 20))
+    kept = scratch_path(spark, "profiles")
+    for load, part in (("first", prices.filter(F.col("price_date") < cut)), ("second", prices.filter(F.col("price_date") >= cut))):
+        profiles.profile_sketches(part, load).write.mode("append").parquet(kept)
+    merged = profiles.estimates(profiles.merge_profiles(spark.read.parquet(kept)))
+    return merged.select("column_name", "non_null_count", "null_count", "min_value", "max_value", half_up("mean_value", 3).alias("mean_value"))
+
+
 # Suites that the driver tables pass or fail, as SQL over the same tables.
 _GATES = {"reference": quality.SUITES, "keys": {"stock_prices": [
     quality.Check("not_null", "price_id"), quality.Check("unique", "price_id"), quality.Check("not_null", "ticker")]}}
@@ -1426,6 +1641,164 @@ def _pipeline_gate_groups(spark, sf_dir):
     return spark.createDataFrame(rows, "refresh_group string, suites string, passed boolean, staged_rows long")
 
 
+def _row_check_sql(c: quality.Check) -> str | None:
+    """A row fails the check (null: it does not)."""
+    found = re.search(r"FILTER \(WHERE (.*?)\) = 0", _check_sql("t", 0, c))
+    return found[1] if found and c.kind not in ("row_count", "unique") else None
+
+
+def _gate_write_sql(t: str) -> str:
+    bad = " OR ".join(f"coalesce({x}, false)" for c in quality.SUITES[t] if (x := _row_check_sql(c)))
+    checks = "\nUNION ALL\n".join(_check_sql(t, i, c) for i, c in enumerate(quality.SUITES[t]))
+    return (f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS total_rows, (SELECT count(*) FROM {t} WHERE NOT ({bad})) AS clean_rows, "
+            f"(SELECT count(*) FROM {t} WHERE {bad}) AS quarantined_rows, count(*) AS checks, "
+            f"count(*) FILTER (WHERE NOT success) AS failed_checks FROM ({checks}) c")
+
+
+@register("quality_gate_write", sql("\nUNION ALL\n".join(map(_gate_write_sql, quality.SUITES)), *quality.SUITES))
+def _quality_gate_write(spark, sf_dir):
+    """Each raw table written once behind its suite: what is clean, what is
+    quarantined, which checks failed."""
+    parts = []
+    for name, df in _raw_tables(spark, sf_dir).items():
+        g = gated.write_gated(df, name, quality.SUITES[name], scratch_path(spark, "gated_write"))
+        counts = g.clean.agg(F.count(F.lit(1)).alias("clean_rows")).join(
+            g.quarantined.agg(F.count(F.lit(1)).alias("quarantined_rows")), F.lit(True)).join(
+            g.results.agg(F.count(F.lit(1)).alias("checks"), F.count_if(~F.col("success")).alias("failed_checks")), F.lit(True))
+        parts.append(counts.select(F.lit(name).alias("table_name"), (F.col("clean_rows") + F.col("quarantined_rows")).alias("total_rows"),
+                                   "clean_rows", "quarantined_rows", "checks", "failed_checks"))
+    return union_all(parts)
+
+
+@register("quality_gate_write_checks", sql("\nUNION ALL\n".join(
+    f"SELECT table_name, check_index, expectation, column_name, CAST(evaluated AS DOUBLE) AS evaluated, CAST(unexpected AS DOUBLE) AS unexpected, success "
+    f"FROM ({_check_sql(t, i, c)}) x" for t, suite in quality.SUITES.items() for i, c in enumerate(suite)), *quality.SUITES))
+def _quality_gate_write_checks(spark, sf_dir):
+    """The checks as counted while writing, micro-batch by micro-batch (here one), equal those of a scan."""
+    parts = []
+    for name, df in _raw_tables(spark, sf_dir).items():
+        root = scratch_path(spark, "gated_stream")
+        df.write.parquet(f"{root}/feed")
+        stream = spark.readStream.schema(df.schema).parquet(f"{root}/feed")
+        gated.gated_stream(stream, name, quality.SUITES[name], f"{root}/target", f"{root}/ckpt", trigger={"availableNow": True}).awaitTermination()
+        parts.append(gated.read_gated_stream(spark, f"{root}/target", df.columns)[2].drop("batch"))
+    checks = union_all(parts)
+    return checks.withColumns({c: F.col(c).cast("double") for c in ("evaluated", "unexpected")})
+
+
+# ------------------------------------------------- the six quiet checks, with hits
+@register("test_unique_hits", """
+    SELECT l_orderkey AS value, count(*) AS n_records FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey HAVING count(*) > 1
+    UNION ALL
+    SELECT o_orderkey, count(*) FROM orders WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING count(*) > 1""")
+def _test_unique_hits(spark, sf_dir):
+    """Line items repeat their order's key (hits); orders don't (quiet)."""
+    t = T(spark, sf_dir)
+    return union_all([quality.test_unique(t.raw(name), c).select(F.col(c).alias("value"), "n_records")
+                      for name, c in (("lineitem", "l_orderkey"), ("orders", "o_orderkey"))])
+
+
+@register("test_not_null_hits", sql("""
+    SELECT 'confidence_score' AS column_name, call_id AS row_key FROM earnings_calls WHERE confidence_score IS NULL
+    UNION ALL SELECT 'call_date', call_id FROM earnings_calls WHERE call_date IS NULL""", "earnings_calls"))
+def _test_not_null_hits(spark, sf_dir):
+    calls = T(spark, sf_dir).earnings_calls
+    return union_all([quality.test_not_null(calls, c).select(F.lit(c).alias("column_name"), F.col("call_id").alias("row_key"))
+                      for c in ("confidence_score", "call_date")])
+
+
+@register("test_sentiment_range_hits", """
+    SELECT l_orderkey, l_linenumber, l_discount FROM lineitem WHERE l_discount < 0.02 OR l_discount > 0.08""")
+def _test_sentiment_range_hits(spark, sf_dir):
+    """The range test on a column that leaves its range."""
+    return quality.test_range(T(spark, sf_dir).raw("lineitem"), "l_discount", 0.02, 0.08, keep=("l_orderkey", "l_linenumber", "l_discount"))
+
+
+@register("mon_score_outliers_hits", sql(f"""
+    SELECT e.filing_id, e.ticker, CAST(e.file_size_kb AS DOUBLE) AS score,
+           {hu('abs(e.file_size_kb - s.m) / NULLIF(s.sd, 0)', 2)} AS z_score
+    FROM sec_filings e, (SELECT avg(file_size_kb) AS m, stddev_samp(file_size_kb) AS sd FROM sec_filings) s
+    WHERE abs(e.file_size_kb - s.m) / NULLIF(s.sd, 0) > 3""", "sec_filings"))
+def _mon_score_outliers_hits(spark, sf_dir):
+    """Filings of unusual size."""
+    filings = T(spark, sf_dir).sec_filings.withColumn("score", F.col("file_size_kb").cast("double"))
+    return monitor.score_outliers(filings, "score", keep=("filing_id", "ticker"))
+
+
+@register("mon_cdc_inactive_hits", sql(f"""
+    SELECT r.stream_name, r.source_table, c.last_activity, date_diff('hour', c.last_activity, {SQL_NOW} + INTERVAL 3 DAY) AS hours_inactive
+    FROM ({_REG_SQL}) r LEFT JOIN ({_stream_counts_sql()}) c USING (stream_name)
+    WHERE date_diff('hour', c.last_activity, {SQL_NOW} + INTERVAL 3 DAY) > 24""", "earnings_calls", "sec_filings", "stock_prices"))
+def _mon_cdc_inactive_hits(spark, sf_dir):
+    """Three days later every stream with a last activity counts as inactive."""
+    counts = cdc.change_counts(_streams(spark, sf_dir), time_col="_loaded_at")
+    return monitor.cdc_inactive(_registry(spark), counts, NOW + _dt.timedelta(days=3))
+
+
+# ------------------------------------------------------- monitors over real runs
+def _broken(batch: DataFrame, batch_id: int) -> None:
+    raise ValueError("price feed has no header")
+
+
+def _run_streams(spark, sf_dir) -> DataFrame:
+    """The run log that three streams over the driver tables wrote: one of two
+    drops, one of a single drop, one that fails."""
+    t, root = T(spark, sf_dir), scratch_path(spark, "run_log")
+    feeds = {"dt_earnings_sentiment": t.earnings_calls.select("call_id", "ticker", "call_date"),
+             "dt_filing_risk_signals": t.sec_filings.select("filing_id", "ticker", "filing_date"),
+             "dt_price_summary": t.stock_prices.select("price_id", "ticker", "price_date")}
+
+    def run(name: str, drop: int) -> None:
+        df = feeds[name]
+        df.write.parquet(f"{root}/{name}/feed/d{drop}")
+        w = (spark.readStream.schema(df.schema).parquet(f"{root}/{name}/feed/*").writeStream.queryName(name)
+             .option("checkpointLocation", f"{root}/{name}/ckpt").trigger(availableNow=True))
+        w = w.foreachBatch(_broken) if name == "dt_price_summary" else w.format("parquet").option("path", f"{root}/{name}/out")
+        try:
+            w.start().awaitTermination()
+        except StreamingQueryException:
+            if name != "dt_price_summary":
+                raise
+
+    with progress.RunLog(spark, f"{root}/log"):
+        for name, drop in (("dt_earnings_sentiment", 0), ("dt_filing_risk_signals", 0), ("dt_earnings_sentiment", 1), ("dt_price_summary", 0)):
+            run(name, drop)
+    return progress.read_runs(spark, f"{root}/log")
+
+
+_STREAM_RUNS_SQL = """
+    SELECT 'dt_earnings_sentiment' AS table_name, 'SUCCEEDED' AS state, '5 minutes' AS target_lag, 'NEW_DATA' AS refresh_reason, 2 AS runs,
+           2 * count(*) AS input_rows, false AS failed FROM earnings_calls
+    UNION ALL SELECT 'dt_filing_risk_signals', 'SUCCEEDED', '10 minutes', 'INITIAL', 1, count(*), false FROM sec_filings
+    UNION ALL SELECT 'dt_price_summary', 'FAILED', '1 minute', 'FAILED', 1, 0, true"""
+
+
+@register("mon_refresh_health_runs", sql(_STREAM_RUNS_SQL, "earnings_calls", "sec_filings"))
+def _mon_refresh_health_runs(spark, sf_dir):
+    """Health of three streams from the log that a listener wrote."""
+    health = monitor.run_health(_run_streams(spark, sf_dir), _dt.datetime.now(_dt.UTC).replace(tzinfo=None), refresh.TARGET_LAG)
+    return health.select("table_name", "state", "target_lag", "refresh_reason", "runs", "input_rows",
+                         F.coalesce(F.contains("last_error", F.lit("price feed has no header")), F.lit(False)).alias("failed"))
+
+
+@register("mon_refresh_stuck_runs", "SELECT 'dt_earnings_sentiment' AS table_name, 'SUCCEEDED' AS state UNION ALL "
+          "SELECT 'dt_filing_risk_signals', 'SUCCEEDED' UNION ALL SELECT 'dt_price_summary', 'FAILED'")
+def _mon_refresh_stuck_runs(spark, sf_dir):
+    """Eight hours after their last run all three count as stuck."""
+    later = _dt.datetime.now(_dt.UTC).replace(tzinfo=None) + _dt.timedelta(hours=8)
+    return monitor.refresh_stuck(_run_streams(spark, sf_dir), later).select("table_name", "state")
+
+
+@register("mon_job_history_runs", """
+    SELECT 'dt_earnings_sentiment' AS task_name, 2 AS runs, 0 AS failed_runs, NULL AS error_code UNION ALL
+    SELECT 'dt_filing_risk_signals', 1, 0, NULL UNION ALL SELECT 'dt_price_summary', 1, 1, 'told'""")
+def _mon_job_history_runs(spark, sf_dir):
+    """The seven-day view of the same log."""
+    now = _dt.datetime.now(_dt.UTC).replace(tzinfo=None) + _dt.timedelta(hours=1)
+    told = F.when(F.col("error_code").isNotNull() & F.contains("error_message", F.lit("price feed")), "told")
+    return monitor.job_summary(_run_streams(spark, sf_dir), now).select("task_name", "runs", "failed_runs", told.alias("error_code"))
+
+
 _IDS = [("earnings_calls", "call_id"), ("sec_filings", "filing_id"), ("stock_prices", "price_id")]
 
 

@@ -3,8 +3,6 @@ with the batch result, and idempotent re-runs on the same checkpoint."""
 
 import datetime as dt
 
-import pytest
-
 from pyspark.sql import functions as F
 
 from helpers import SF_SMALL, rows
@@ -12,7 +10,7 @@ from tidemark.operators import cdc, indicators, staging
 from tidemark.session import scratch_path
 from tidemark.sources import adapters as ad
 from tidemark.streaming import cdc_stream, refresh
-from tidemark.streaming.store import VersionedTable
+from tidemark.streaming.store import PartitionedTable, VersionedTable
 
 
 def test_cdc_stream_equals_batch_and_is_idempotent(spark):
@@ -27,14 +25,14 @@ def test_cdc_stream_equals_batch_and_is_idempotent(spark):
     drops = [changes.filter(~F.col("is_update")), changes.filter(F.col("is_update"))]
     for i, d in enumerate(drops):
         d.write.parquet(f"{src}/drop{i}")
-        cdc_stream.run_cdc_stream(spark, f"{src}/*", drops[0].schema, target, "o_orderkey", upd, ckpt,
-                                  trigger={"availableNow": True}, log_path=log, whole_snapshots=True).awaitTermination()
+        cdc_stream.run_cdc_stream(spark, f"{src}/*", drops[0].schema, store, "o_orderkey", upd, ckpt,
+                                  trigger={"availableNow": True}, log_path=log).awaitTermination()
     versions = store.versions()
     batch = cdc.upsert(before, changes, "o_orderkey", upd)
     assert rows(store.read()) == rows(batch)
     # same checkpoint, no new files: nothing processed, no new version
-    cdc_stream.run_cdc_stream(spark, f"{src}/*", drops[0].schema, target, "o_orderkey", upd, ckpt,
-                              trigger={"availableNow": True}, log_path=log, whole_snapshots=True).awaitTermination()
+    cdc_stream.run_cdc_stream(spark, f"{src}/*", drops[0].schema, store, "o_orderkey", upd, ckpt,
+                              trigger={"availableNow": True}, log_path=log).awaitTermination()
     assert store.versions() == versions
     logged = spark.read.parquet(log)
     assert logged.filter(F.col("event_type") == "EARNINGS_PROCESSED").count() == len(versions) - 1
@@ -64,30 +62,95 @@ def test_refresh_stream_recomputes_affected_tickers(spark):
     assert rows(got) == rows(batch(bars))
 
 
-def test_bucketed_stream_rewrites_only_touched_buckets(spark):
-    from tidemark.streaming.store import BucketedTable
+def files_of(spark, path):
+    """partition/file -> path of a written table."""
+    return {"/".join(r["f"].rsplit("/", 2)[1:]): r["f"] for r in spark.read.parquet(path).select(F.input_file_name().alias("f")).distinct().collect()}
+
+
+def test_change_stream_rewrites_only_touched_partitions(spark):
     t = ad.DriverTables(spark, SF_SMALL)
     before, after = t.cdc_pair()
     changes = cdc.cdc_changes(before, after, "o_orderkey")
-    root = scratch_path(spark, "t_bucketed")
-    store = BucketedTable(spark, f"{root}/target", "o_orderkey", 16)
+    root = scratch_path(spark, "t_partitioned")
+    store = PartitionedTable(spark, f"{root}/target", key="o_orderkey", buckets=16)
     store.create(before)
     upd = ["o_orderstatus", "o_totalprice"]
-    # one change row only: a single bucket is rewritten
+
+    def run():
+        cdc_stream.run_cdc_stream(spark, f"{root}/src/*", changes.schema, store, "o_orderkey", upd, f"{root}/ckpt",
+                                  trigger={"availableNow": True}, table_schema=before.schema).awaitTermination()
+
+    # one change row only: a single partition is rewritten
+    old = files_of(spark, store.path)
     one = changes.filter(F.col("action") == "INSERT").orderBy("o_orderkey").limit(1)
     one.write.parquet(f"{root}/src/d0")
-    cdc_stream.run_cdc_stream(spark, f"{root}/src/*", changes.schema, f"{root}/target", "o_orderkey", upd,
-                              f"{root}/ckpt", trigger={"availableNow": True}, buckets=16).awaitTermination()
-    m0, m1 = store.manifest(0), store.manifest(1)
-    assert sum(1 for b in m1 if m1[b] == 1) == 1
-    assert all(m1[b] == 0 for b in m0 if m1[b] != 1)
-    expect = cdc.upsert(before, one, "o_orderkey", upd)
-    assert rows(store.read()) == rows(expect)
+    run()
+    new = files_of(spark, store.path)
+    assert len({f.rsplit("/", 2)[1] for n, f in new.items() if n not in old}) == 1
+    assert len(old.keys() - new.keys()) == 1
+    assert rows(store.read(before.schema)) == rows(cdc.upsert(before, one, "o_orderkey", upd))
     # the remaining changes arrive: same result as the batch upsert
     changes.write.parquet(f"{root}/src/d1")
-    cdc_stream.run_cdc_stream(spark, f"{root}/src/*", changes.schema, f"{root}/target", "o_orderkey", upd,
-                              f"{root}/ckpt", trigger={"availableNow": True}, buckets=16).awaitTermination()
-    assert rows(store.read()) == rows(cdc.upsert(before, changes, "o_orderkey", upd))
+    run()
+    want = rows(cdc.upsert(before, changes, "o_orderkey", upd))
+    assert rows(store.read(before.schema)) == want
+    # a batch that failed after its commit is only put into the table again
+    cdc_stream.cdc_batch_body(spark, store, "o_orderkey", upd, schema=before.schema)(changes.limit(0), 1)
+    assert rows(store.read(before.schema)) == want
+
+
+def test_partition_refresh_rewrites_only_its_days(spark):
+    from tidemark.functions.rules import FIXTURE
+    from tidemark.operators import enrich
+    from tidemark.plans.graph import dt_filing_risk_signals
+    filings = ad.DriverTables(spark, SF_SMALL).sec_filings
+    root = scratch_path(spark, "t_days")
+
+    def body(raw):
+        return dt_filing_risk_signals(enrich.int_filing_classifications(staging.stg_sec_filings(raw, ad.AS_OF), FIXTURE), ad.NOW)
+
+    def run(drop, i):
+        drop.write.parquet(f"{root}/base/d{i}")
+        refresh.refresh_stream(spark, body, f"{root}/base/*", filings.schema, f"{root}/target", ["filing_date"], f"{root}/ckpt",
+                               trigger={"availableNow": True}, by_partition=True).awaitTermination()
+
+    day = filings.agg(F.max("filing_date")).first()[0]
+    run(filings.filter((F.col("filing_date") < day) | (F.col("ticker") > "U5")), 0)
+    old = files_of(spark, f"{root}/target/table")
+    run(filings.filter((F.col("filing_date") == day) & ~(F.col("ticker") > "U5")), 1)
+    new = files_of(spark, f"{root}/target/table")
+    assert {f.rsplit("/", 2)[1] for n, f in new.items() if n not in old} == {f"filing_date={day}"}
+    want = body(filings)
+    assert rows(PartitionedTable(spark, f"{root}/target", ["filing_date"]).read(want.schema)) == rows(want)
+
+
+def test_keyed_state_stream_over_drops_restart_and_late_bars(spark):
+    """Several drops, each a new query on the same checkpoint: late bars, bars
+    that replace theirs, and a ticker whose last closes are all missing."""
+    schema = "price_id string, ticker string, price_date date, open_price double, high_price double, low_price double, close_price double, volume long"
+    days = [dt.date(2023, 1, 2) + dt.timedelta(days=i) for i in range(130)]
+    bars = [(f"{k}-{i}", k, d, 1.0, 1.0, 1.0, None if k == "NUL" and i >= 70 else 10.0 + i % 7 + len(k), 100 + i)
+            for k in ("AA", "BBB", "NUL") for i, d in enumerate(days)]
+    late = [b for b in bars if b[1] == "AA" and 100 <= bars.index(b) < 110]
+    wrong = [(*b[:6], 999.0, b[7]) for b in bars if b[1] == "BBB"][-3:]
+    right = [b for b in bars if b[1] == "BBB"][-3:]
+    rest = [b for b in bars if b not in late and b not in right]
+    drops = [rest[:200] + wrong, rest[200:], late, right]
+    root = scratch_path(spark, "t_state")
+
+    def metrics(b):
+        b = b.withColumn("daily_return_pct", F.lit(0.1) * F.col("volume")).withColumn("dollar_volume", F.col("close_price") * F.col("volume"))
+        return indicators.dt_price_summary(indicators.int_price_metrics(b), ad.NOW)
+
+    for i, drop in enumerate(drops):
+        spark.createDataFrame(drop, schema).write.parquet(f"{root}/base/d{i}")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/base/*")
+        q = refresh.last_bars_stream(spark, stream, metrics, f"{root}/target", f"{root}/ckpt", trigger={"availableNow": True})
+        q.awaitTermination()
+        assert q.lastProgress["numInputRows"] == len(drop)          # no old bars are read
+    want = metrics(spark.createDataFrame(bars, schema))
+    got = PartitionedTable(spark, f"{root}/target", ["ticker"]).read(want.schema)
+    assert rows(got) == rows(want) and got.count() == 3
 
 
 def test_event_log_idempotent_and_progress_monitor(spark):
@@ -140,36 +203,6 @@ def test_event_log_keeps_rows_with_and_without_key(spark):
     assert sorted(r.event_type for r in sinks.read_event_log(spark, target).collect()) == ["KEYED", "PLAIN", "PLAIN"]
 
 
-def test_bucketed_store_keeps_its_layout(spark):
-    from tidemark.streaming.store import BucketedTable
-    root = f"{scratch_path(spark, 't_store')}/t"
-    base = spark.range(200).selectExpr("id", "0 as v")
-    BucketedTable(spark, root, "id", rows_per_bucket=30).create(base)
-    opened = BucketedTable(spark, root, "id")
-    change = spark.range(5).selectExpr("id", "1 as v")
-    merge = lambda old, new: old.join(new, "id", "left_anti").unionByName(new)
-    for version in (1, 999_999, 1_000_000):
-        assert opened.apply(version, change, merge)
-    assert opened.n == 7 and opened.latest() == 1_000_000 and opened.read().count() == 200
-    for wrong in (BucketedTable(spark, root, "id", 16), BucketedTable(spark, root, "v")):
-        with pytest.raises(ValueError):
-            wrong.apply(1_000_001, change, merge)
-
-
-def test_old_versions_expire(spark):
-    from tidemark.streaming.store import BucketedTable
-    root = f"{scratch_path(spark, 't_expire')}/t"
-    store = BucketedTable(spark, root, "id", 4, keep=2)
-    store.create(spark.range(40).selectExpr("id", "0 as v"))
-    merge = lambda old, new: old.join(new, "id", "left_anti").unionByName(new)
-    for version in range(1, 6):
-        store.apply(version, spark.range(1).selectExpr("id", f"{version} as v"), merge)
-    assert store.versions() == [4, 5]
-    for version in (4, 5):
-        got = store.read(version)
-        assert got.count() == 40 and got.filter("id = 0").first()["v"] == version
-
-
 def test_restrict_to_keys_composite_key_uses_semi_join(spark):
     from tidemark.streaming.refresh import restrict_to_keys
     filings = ad.DriverTables(spark, SF_SMALL).sec_filings

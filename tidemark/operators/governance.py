@@ -121,3 +121,27 @@ def secure_view(df: DataFrame, table: str, role: str, role_tickers: DataFrame |
     if masks:
         out = out.withColumns({c: fn(F.col(c), role) for c, fn in masks.items() if c in out.columns})
     return out
+
+
+def per_role(df: DataFrame, roles: Sequence[str] = ROLES, role_tickers: DataFrame | None = None, col: str | None = None) -> DataFrame:
+    """Every row once for each role that may see it, from one derivation of
+    ``df``: rows are joined with the (role, ticker) policy instead of being
+    derived anew per role. ``col`` None: no row filter."""
+    role = lambda names: F.explode(F.array(*[F.lit(r) for r in names])) if names else F.explode(F.array().cast("array<string>"))
+    if col is None:
+        return df.withColumn("role", role(list(roles)))
+    rt = role_tickers if role_tickers is not None else role_tickers_frame(df.sparkSession)
+    listed = [r for r in roles if r not in ALL_ROWS_ROLES]
+    allowed = (rt.filter(F.col("role").isin(listed)).groupBy(F.col("ticker").alias("_allowed"))
+               .agg(F.collect_set("role").alias("_roles")))               # a row per ticker of the policy
+    everyone = F.array(*[F.lit(r) for r in roles if r in ALL_ROWS_ROLES]).cast("array<string>")
+    joined = df.join(allowed, df[col] == F.col("_allowed"), "left")
+    return joined.withColumn("role", F.explode(F.concat(everyone, F.coalesce("_roles", F.array().cast("array<string>"))))).drop("_allowed", "_roles")
+
+
+def secure_view_roles(df: DataFrame, table: str, roles: Sequence[str] = ROLES, role_tickers: DataFrame | None = None,
+                      attached: dict | None = None) -> DataFrame:
+    """``secure_view`` for many roles at once, with the role as a column."""
+    row_col, masks = (attached or ATTACHED).get(table, (None, {}))
+    out = per_role(df, roles, role_tickers, row_col)
+    return out.withColumns({c: fn(F.col(c), F.col("role")) for c, fn in masks.items() if c in out.columns}) if masks else out

@@ -16,16 +16,18 @@ from .indicators import latest_per_key
 from .joins import window_aggregates
 
 
-def mart_earnings_summary(earnings: DataFrame, bars: DataFrame, days: int = 5) -> DataFrame:
+def mart_earnings_summary(earnings: DataFrame, bars: DataFrame, days: int = 5,
+                          events: DataFrame | None = None) -> DataFrame:
     """Post-earnings reaction per (ticker, call date, score, company, quarter, year).
 
     Windows are evaluated once per distinct (ticker, call_date); groups keep
     calls without bars (left semantics) and classify them as in the
-    reference (NULL return -> 'Contrary Signal', 0 returns).
+    reference (NULL return -> 'Contrary Signal', 0 returns). ``events`` may
+    name the (ticker, call_date) pairs, from a table without texts.
     """
     group = ["ticker", "call_date", "sentiment_score", "company_name", "quarter", "fiscal_year"]
     g = earnings.select(*group).distinct()
-    win = window_aggregates(g, bars, 0, days, [
+    win = window_aggregates(g if events is None else events, bars, 0, days, [
         F.avg("daily_return_pct").alias("avg_5d_return"),
         F.max(F.abs("daily_return_pct")).alias("max_daily_move")])
     j = g.join(win, ["ticker", "call_date"], "left")
@@ -108,7 +110,8 @@ def mart_filing_dashboard(filings: DataFrame, high: float = 0.4, medium: float =
 
 
 def ml_sentiment_training(earnings: DataFrame, bars: DataFrame, now: _dt.datetime,
-                          horizons: tuple[int, int] = (10, 10), cut: float = 0.005) -> DataFrame:
+                          horizons: tuple[int, int] = (10, 10), cut: float = 0.005,
+                          events: DataFrame | None = None) -> DataFrame:
     """Training rows: sentiment feature and forward-return labels.
 
     ``horizons=(10, 10)`` is faithful (both labels average the 10-day
@@ -118,10 +121,9 @@ def ml_sentiment_training(earnings: DataFrame, bars: DataFrame, now: _dt.datetim
     short, long = horizons
     top = max(short, long)
     g = earnings.select("ticker", "call_date", "sentiment_score").distinct()
-    win = window_aggregates(g, bars, 1, top, [
+    win = window_aggregates(g if events is None else events, bars, 1, top, [
         F.avg(F.when(F.col("_days") <= short, F.col("daily_return_pct"))).alias("r_short"),
-        F.avg(F.when(F.col("_days") <= long, F.col("daily_return_pct"))).alias("r_long"),
-        F.max(F.abs("daily_return_pct")).alias("max_abs_return")])
+        F.avg(F.when(F.col("_days") <= long, F.col("daily_return_pct"))).alias("r_long")])
     j = g.join(win, ["ticker", "call_date"], "inner")
     return j.select(
         F.col("call_date").alias("event_date"), "ticker",

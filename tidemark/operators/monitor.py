@@ -216,6 +216,26 @@ def job_history(log: DataFrame, now: _dt.datetime, hours: int = 24) -> DataFrame
             .select(F.col("name").alias("task_name"), "completed_time", "state", "error_code"))
 
 
+def run_health(log: DataFrame, now: _dt.datetime, lags: dict[str, str] | None = None) -> DataFrame:
+    """``refresh_health`` over a run log that says more: why the latest run
+    took place, how many there were, rows taken in, and the latest error."""
+    more = log.groupBy(F.col("name").alias("table_name")).agg(
+        F.max_by("refresh_reason", "completed_time").alias("refresh_reason"), F.count(F.lit(1)).alias("runs"),
+        F.sum("input_rows").alias("input_rows"),
+        F.max_by("error_message", F.when(F.col("error_message").isNotNull(), F.col("completed_time"))).alias("last_error"))
+    return refresh_health(log, now, lags).join(more, "table_name")
+
+
+def job_summary(log: DataFrame, now: _dt.datetime, days: int = 7) -> DataFrame:
+    """Per job over the last ``days``: runs, failures, rows, latest error."""
+    since = ts_lit(now) - F.expr(f"INTERVAL {int(days)} DAYS")
+    failed = F.col("state") == "FAILED"
+    return (log.filter(F.col("completed_time") >= since).groupBy(F.col("name").alias("task_name"))
+            .agg(F.count(F.lit(1)).alias("runs"), F.count_if(failed).alias("failed_runs"), F.sum("input_rows").alias("input_rows"),
+                 F.max_by("error_code", F.when(failed, F.col("completed_time"))).alias("error_code"),
+                 F.max_by("error_message", F.when(failed, F.col("completed_time"))).alias("error_message")))
+
+
 def signal_bounds(signals: DataFrame, lo: float = -10.0, hi: float = 10.0) -> DataFrame:
     s = F.col("composite_signal_score")
     return signals.agg(F.count(F.lit(1)).alias("total_tickers"),

@@ -89,6 +89,8 @@ class ModelGraph:
         merged = {**self.overrides, **overrides}
         g = ModelGraph(self.raw, self.as_of, self.now, self.lex, merged, self.spread)
         affected = set(overrides) | {d for o in overrides for d in downstream(o)}
+        if "int_price_metrics" in affected:
+            affected.add("_latest_metrics")
         g._memo = {k: v for k, v in self._memo.items() if k not in affected}
         return g
 
@@ -103,6 +105,20 @@ class ModelGraph:
             self._memo[name] = df
         return self._memo[name]
 
+    def _latest_metrics(self) -> DataFrame:
+        """One row per ticker: from its last bars only, unless the metrics
+        themselves were given (written, or changed by a scenario)."""
+        if "_latest_metrics" not in self._memo:
+            self._memo["_latest_metrics"] = (
+                indicators.latest_per_key(self.get("int_price_metrics"), "ticker", "price_date")
+                if "int_price_metrics" in self.overrides else
+                indicators.latest_price_metrics(self.get("stg_stock_prices"), spread=self.spread))
+        return self._memo["_latest_metrics"]
+
+    def _events(self) -> DataFrame:
+        """(ticker, call_date) of all calls, read without their texts."""
+        return self.get("stg_earnings_calls").select("ticker", "call_date").distinct()
+
     def _build(self, name: str) -> DataFrame:
         g, a, n, lex = self.get, self.as_of, self.now, self.lex
         if name in RAW:
@@ -117,17 +133,17 @@ class ModelGraph:
             "int_price_metrics": lambda: indicators.int_price_metrics(g("stg_stock_prices"),
                                                                       spread=self.spread),
             "mart_earnings_summary": lambda: marts.mart_earnings_summary(
-                g("int_earnings_sentiment"), g("stg_stock_prices")),
+                g("int_earnings_sentiment"), g("stg_stock_prices"), events=self._events()),
             "mart_research_signals": lambda: marts.mart_research_signals(
-                g("int_price_metrics"), g("int_earnings_sentiment"),
-                g("int_filing_classifications"), a, n),
+                None, g("int_earnings_sentiment"), g("int_filing_classifications"), a, n,
+                latest_metrics=self._latest_metrics()),
             "mart_filing_dashboard": lambda: marts.mart_filing_dashboard(g("int_filing_classifications")),
             "ml_sentiment_training": lambda: marts.ml_sentiment_training(
-                g("int_earnings_sentiment"), g("stg_stock_prices"), n),
+                g("int_earnings_sentiment"), g("stg_stock_prices"), n, events=self._events()),
             "ml_filing_embeddings": lambda: marts.ml_filing_embeddings(g("int_filing_classifications"), n),
             "dt_earnings_sentiment": lambda: dt_earnings_sentiment(g("stg_earnings_calls"), n, lex),
             "dt_filing_risk_signals": lambda: dt_filing_risk_signals(g("int_filing_classifications"), n),
-            "dt_price_summary": lambda: indicators.dt_price_summary(g("int_price_metrics"), n),
+            "dt_price_summary": lambda: indicators.dt_price_summary(self._latest_metrics(), n),
         }
         if name not in builders:
             raise KeyError(f"unknown model {name!r}")

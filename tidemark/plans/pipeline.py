@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators import quality
+from ..operators import gated, quality
 from ..sources.sinks import materialize
 from .graph import DEPENDS, RAW, ModelGraph, topo_order
 
@@ -54,19 +54,23 @@ def raw_inputs(group: str) -> list[str]:
 
 
 def run_pipeline(graph: ModelGraph, group: str, root: str,
-                 gate: dict[str, list] | None = quality.SUITES) -> dict[str, DataFrame]:
+                 gate: dict[str, list] | None = quality.SUITES, quarantine: bool = False) -> dict[str, DataFrame]:
     """Materialize every model of the group; returns the re-read tables.
 
-    ``gate`` validates the raw inputs that the group reads and raises
-    ``QualityGateError`` before anything is staged if a check fails. It is on
-    by default; the row-count bounds of ``quality.SUITES`` are parameters of
-    a deployment (pass suites with other bounds for larger feeds, or None).
+    ``gate`` checks the raw inputs that the group reads while they are written
+    (``operators/gated.py``: one scan each), and the models read what was
+    written. If a check fails, ``QualityGateError`` is raised before anything
+    is staged; with ``quarantine`` rows that fail are set aside and only
+    checks of the whole table stop the run. It is on by default; the
+    row-count bounds of ``quality.SUITES`` are parameters of a deployment
+    (pass suites with other bounds for larger feeds, or None).
     """
-    if gate:
-        raws = {name: graph.get(name) for name in raw_inputs(group) if name in gate}
-        quality.quality_gate(quality.validate_all(raws, gate), raise_on_fail=True)
     built: dict[str, DataFrame] = {}
     g = graph
+    if gate:
+        raws = {name: graph.get(name) for name in raw_inputs(group) if name in gate}
+        for name, done in gated.gate_all(raws, gate, f"{root}/gate", quarantine).items():
+            g = g.with_overrides({name: (lambda _df, t=done.clean: t)})
     for name in group_models(group):
         df = materialize(g.get(name), name, "table", LAYER[name.split("_")[0]], root)
         built[name] = df

@@ -13,6 +13,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def append(df: DataFrame, target: str) -> None:
@@ -73,6 +74,26 @@ def write_with_bloom(df: DataFrame, target: str, cols: Sequence[str],
     w.parquet(target)
 
 
+#: Keys that are looked up by value; more are joined.
+LOOKUP_VALUES = 1000
+
+
+def lookup(spark: SparkSession, target: str, col: str, keys: DataFrame, schema: StructType | None = None) -> DataFrame:
+    """Rows of a layout whose ``col`` is one of ``keys`` (its first column).
+
+    Few keys become values of a pushed-down IN filter, so row groups are
+    skipped by their statistics and bloom filters; more keys are a semi-join,
+    which Spark narrows by a run-time bloom filter of the keys where the
+    table is large enough to gain from it.
+    """
+    table = (spark.read.schema(schema) if schema is not None else spark.read).parquet(target)
+    wanted = keys.select(F.col(keys.columns[0]).alias("_key")).filter(F.col("_key").isNotNull()).distinct()
+    few = wanted.limit(LOOKUP_VALUES + 1).collect()                  # bounded
+    if len(few) <= LOOKUP_VALUES:
+        return table.filter(F.col(col).isin([r["_key"] for r in few]))
+    return table.join(wanted, table[col] == wanted["_key"], "left_semi")
+
+
 def event_rows(events: DataFrame, event_type, details, records_affected) -> DataFrame:
     """Shape rows for the event log: uuid id, event time, VARIANT details.
 

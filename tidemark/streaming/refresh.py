@@ -9,6 +9,10 @@ so the per-key recompute happens in the ``foreachBatch`` body, which is a
 normal batch plan. Trigger = the target lag: ``processingTime`` of 1, 5 or
 10 minutes in production, ``availableNow`` in tests.
 
+``last_bars_stream`` keeps what the recompute needs, each key's last rows, in
+the state store instead (``transformWithState``), so a micro-batch reads none
+of the base.
+
 ``append_stream`` is the stateless case (row-wise bodies such as the CEO
 sentiment table): a plain streaming projection appended to Parquet.
 """
@@ -18,15 +22,19 @@ from __future__ import annotations
 from functools import reduce
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from .store import VersionedTable
+from .store import PartitionedTable, VersionedTable
 
 Body = Callable[[DataFrame], DataFrame]
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 TARGET_LAG = {
     "dt_earnings_sentiment": "5 minutes",
     "dt_filing_risk_signals": "10 minutes",
@@ -53,11 +61,18 @@ def restrict_to_keys(df: DataFrame, affected: DataFrame, keys: Sequence[str]) ->
 
 
 def refresh_batch_body(spark: SparkSession, body: Body, base_dir: str, schema: T.StructType,
-                       store: VersionedTable, keys: Sequence[str]):
+                       store: VersionedTable | PartitionedTable, keys: Sequence[str]):
+    """With a ``PartitionedTable`` the affected keys are its partition columns,
+    and nothing but their partitions is written; a ``VersionedTable`` is written whole."""
     keys = list(keys)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         version = batch_id + 1
+        if isinstance(store, PartitionedTable):
+            base = spark.read.schema(schema).parquet(base_dir)
+            store.replace(store.batches.read(version) if store.committed(version) else
+                          body(restrict_to_keys(base, batch.select(*keys), keys)), version)
+            return
         if store.committed(version):
             return
         affected = batch.select(*keys)
@@ -75,8 +90,10 @@ def refresh_batch_body(spark: SparkSession, body: Body, base_dir: str, schema: T
 def refresh_stream(spark: SparkSession, body: Body, base_dir: str, schema: T.StructType,
                    target_root: str, keys: Sequence[str], checkpoint: str,
                    trigger: dict | None = None, max_files_per_trigger: int | None = None,
-                   lag: str = "1 minute") -> StreamingQuery:
-    store = VersionedTable(spark, target_root)
+                   lag: str = "1 minute", by_partition: bool = False) -> StreamingQuery:
+    """``by_partition``: the target is partitioned by the keys, and a batch
+    rewrites only the partitions of its own keys."""
+    store = PartitionedTable(spark, target_root, keys) if by_partition else VersionedTable(spark, target_root)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -93,3 +110,61 @@ def append_stream(spark: SparkSession, body: Body, base_dir: str, schema: T.Stru
     w = (stream.writeStream.format("parquet").option("path", target)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     return w.trigger(**(trigger or {"processingTime": lag})).start()
+
+
+class LastRows(StatefulProcessor):
+    """State of a key: its last ``n`` rows by (order, tie), and so many more that
+    one of them has a value; a row that comes again replaces its older form.
+    Gives out all kept rows whenever new ones arrive."""
+
+    def __init__(self, schema: T.StructType, order: str, tie: str, value: str, n: int):
+        self.schema, self.n = schema, n
+        self.names = schema.fieldNames()
+        self.at = self.names.index(order), self.names.index(tie), self.names.index(value)
+
+    def init(self, handle) -> None:
+        self.rows = handle.getListState("rows", self.schema)
+
+    def _kept(self, rows: dict) -> dict:
+        keys = sorted(rows, key=lambda k: tuple((x is not None, x) for x in k))
+        valued = [i for i, k in enumerate(keys) if rows[k][self.at[2]] is not None]
+        # the last row whose frame of n rows holds a value, and that frame
+        last = min(len(keys) - 1, valued[-1] + self.n - 1) if valued else len(keys) - 1
+        return {k: rows[k] for k in keys[max(0, last - self.n + 1):]}
+
+    def handleInputRows(self, key, rows, timerValues):
+        order, tie, _ = self.at
+        held = {(r[order], r[tie]): tuple(r) for r in self.rows.get()}
+        for r in rows:
+            held[r[order], r[tie]] = tuple(r[name] for name in self.names)
+            if len(held) > 64 * self.n:                    # a long history arrives at once
+                held = self._kept(held)
+        held = self._kept(held)
+        self.rows.put(list(held.values()))
+        yield from (Row(**dict(zip(self.names, r))) for r in held.values())
+
+    def close(self) -> None:
+        pass
+
+
+def last_bars_stream(spark: SparkSession, bars: DataFrame, summary: Body, target_root: str, checkpoint: str,
+                     key: str = "ticker", order: str = "price_date", tie: str = "price_id", value: str = "close_price",
+                     n: int = 50, trigger: dict | None = None, lag: str = "1 minute") -> StreamingQuery:
+    """``bars`` (a streaming table) -> per touched key ``summary`` of its last
+    ``n`` bars, which live in the state store; the target is partitioned by
+    the key, and a batch rewrites the partitions of its keys. Bars older than
+    a key's kept ones change nothing. The state is kept by RocksDB."""
+    store = PartitionedTable(spark, target_root, [key])
+    last = bars.groupBy(key).transformWithState(LastRows(bars.schema, order, tie, value, n), bars.schema, "Update", "None")
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        version = batch_id + 1
+        store.replace(store.batches.read(version) if store.committed(version) else summary(batch), version)
+
+    w = last.writeStream.outputMode("update").foreachBatch(body).option("checkpointLocation", checkpoint)
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:                                   # a query keeps the settings it was started with
+        return w.trigger(**(trigger or {"processingTime": lag})).start()
+    finally:
+        spark.conf.set(STATE_STORE, before)

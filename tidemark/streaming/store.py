@@ -11,7 +11,12 @@ re-running batch ``n`` finds version ``n`` committed and skips it
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 class VersionedTable:
@@ -60,159 +65,59 @@ class VersionedTable:
         return True
 
 
-class BucketedTable:
-    """Key-bucketed snapshots: a version rewrites only the buckets it touches.
-
-    Rows live under ``data/_bucket=<b>/_v=<version>/`` with
-    ``_bucket = pmod(xxhash64(key), n_buckets)``. A small manifest per
-    version (``manifest/v000042.json``: bucket count, keys, and bucket ->
-    version holding its rows) is written after the data and is the commit
-    point. An upsert micro-batch therefore reads and rewrites the buckets its
-    keys fall in, not the whole table; replaying a batch overwrites the same
-    partitions (dynamic partition overwrite) before committing the manifest.
+class PartitionedTable:
+    """A plain Parquet table partitioned by columns (or by a hash bucket of a
+    key), of which a batch rewrites only the partitions that it touches.
 
-    The bucket count is fixed when the table is created (``n_buckets``, or
-    one bucket per ``rows_per_bucket`` rows) and read from the manifest
-    afterwards; opening the table with another count or other keys is an
-    error. ``keep`` versions stay readable; older manifests and the bucket
-    folders that only they name are removed after a commit.
+    A batch's new partitions are first committed as a version of ``batches``,
+    a replayed batch finds them there; then Spark's dynamic partition
+    overwrite puts them into ``table``. Both writes give the same rows however
+    often they run.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key, n_buckets: int | None = None,
-                 rows_per_bucket: int = 1_000_000, keep: int = 16):
+    BUCKET = "_bucket"
+
+    def __init__(self, spark: SparkSession, root: str, partitions: Sequence[str] = (), key: Sequence[str] | str = (),
+                 buckets: int = 64):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys = [key] if isinstance(key, str) else list(key)
-        self.n = n_buckets
-        self.rows_per_bucket, self.keep = rows_per_bucket, keep
+        self.partitions = list(partitions) or [self.BUCKET]
+        self.buckets = buckets
+        self.batches = VersionedTable(spark, f"{self.root}/batches")
 
-    # -- helpers -----------------------------------------------------------
-    def bucket_col(self):
-        from pyspark.sql import functions as F
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.n)).cast("int")
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.root)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
+    @property
+    def path(self) -> str:
+        return f"{self.root}/table"
 
-    def _manifest_path(self, version: int) -> str:
-        return f"{self.root}/manifest/v{version:06d}.json"
+    def marked(self, df: DataFrame) -> DataFrame:
+        """The rows with the columns that they are partitioned by."""
+        if self.partitions != [self.BUCKET]:
+            return df
+        return df.withColumn(self.BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
     def committed(self, version: int) -> bool:
-        fs, jvm = self._fs()
-        return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(self._manifest_path(version))))
+        return self.batches.committed(version)
 
-    def versions(self) -> list[int]:
-        fs, jvm = self._fs()
-        d = jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
-        if not fs.exists(d):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(d)]
-        return sorted(int(n[1:-len(".json")]) for n in names if n.startswith("v") and n.endswith(".json"))
-
-    def manifest(self, version: int) -> dict[int, int]:
-        """Bucket -> version of its rows; also checks and takes over the layout."""
-        import json
-        fs, jvm = self._fs()
-        stream = fs.open(jvm.org.apache.hadoop.fs.Path(self._manifest_path(version)))
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            told = json.loads(reader.readLine())
-        finally:
-            stream.close()
-        if self.n not in (None, told["n_buckets"]) or self.keys != told["keys"]:
-            raise ValueError(f"{self.root} has {told['n_buckets']} buckets by {told['keys']}, "
-                             f"not {self.n} by {self.keys}")
-        self.n = told["n_buckets"]
-        return {int(b): int(v) for b, v in told["buckets"].items()}
-
-    def _write_manifest(self, version: int, buckets: dict[int, int]) -> None:
-        import json
-        fs, jvm = self._fs()
-        tmp = jvm.org.apache.hadoop.fs.Path(self._manifest_path(version) + ".tmp")
-        out = fs.create(tmp, True)
-        out.write(bytearray(json.dumps({"version": version, "n_buckets": self.n, "keys": self.keys,
-                                        "buckets": buckets}).encode("utf-8")))
-        out.close()
-        if not fs.rename(tmp, jvm.org.apache.hadoop.fs.Path(self._manifest_path(version))):
-            raise OSError(f"version {version} of {self.root} could not be committed")
-
-    def expire(self) -> None:
-        """Remove manifests beyond the kept ones and the folders only they name."""
-        fs, jvm = self._fs()
-        old, live = self.versions()[:-self.keep], self.versions()[-self.keep:]
-        if not old:
-            return
-        named = {p for v in live for p in self._paths(self.manifest(v))}
-        for v in old:
-            for p in set(self._paths(self.manifest(v))) - named:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
-            fs.delete(jvm.org.apache.hadoop.fs.Path(self._manifest_path(v)), False)
-
-    def _paths(self, buckets: dict[int, int]) -> list[str]:
-        return [f"{self.root}/data/_bucket={b}/_v={v}" for b, v in sorted(buckets.items())]
-
-    # -- reading -----------------------------------------------------------
-    def latest(self, below: int | None = None) -> int | None:
-        vs = [v for v in self.versions() if below is None or v < below]
-        return vs[-1] if vs else None
-
-    def read(self, version: int | None = None, only: set[int] | None = None,
-             schema=None) -> DataFrame:
-        v = self.latest() if version is None else version
-        buckets = self.manifest(v)
-        if only is not None:
-            buckets = {b: x for b, x in buckets.items() if b in only}
-        paths = self._paths(buckets)
-        r = self.spark.read.option("basePath", f"{self.root}/data")
-        if schema is not None:
-            r = r.schema(schema)
-        if not paths:
-            return self.spark.createDataFrame([], schema) if schema is not None else None
-        return r.parquet(*paths).drop("_bucket", "_v")
-
-    # -- writing -----------------------------------------------------------
-    def _write(self, df: DataFrame, version: int) -> list[int]:
-        """Write rows of ``version`` into their bucket partitions; returns the
-        buckets that received rows (one small int per written bucket)."""
-        from pyspark.sql import functions as F
-        # AQE cuts a heavy bucket into several writer tasks and joins light ones
-        staged = (df.withColumn("_bucket", self.bucket_col()).withColumn("_v", F.lit(version))
-                  .hint("rebalance", "_bucket"))
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_bucket", "_v").parquet(f"{self.root}/data"))
-        fs, jvm = self._fs()
-        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/data/_bucket=*/_v={version}"))
-        return sorted(int(st.getPath().getParent().getName().split("=", 1)[1]) for st in found)
+    def _overwrite(self, df: DataFrame) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.partitions).parquet(self.path))
 
     def create(self, df: DataFrame) -> None:
-        """Version 0 from a full table; fixes the bucket count."""
-        if self.committed(0):
-            return
-        if self.n is None:
-            self.n = max(1, -(-df.count() // self.rows_per_bucket))
-        written = self._write(df, 0)
-        self._write_manifest(0, {b: 0 for b in written})
-
-    def apply(self, version: int, changes: DataFrame, merge) -> bool:
-        """Commit ``version`` = ``merge(current rows of the touched buckets,
-        changes)``; untouched buckets keep pointing at older versions."""
-        if self.committed(version):
-            return False
-        prev = self.latest(below=version)
-        if prev is None:
-            raise FileNotFoundError(f"no committed base version under {self.root}")
-        base = self.manifest(prev)
-        # the touched bucket ids: at most n_buckets small ints reach the driver
-        touched = {r[0] for r in changes.select(self.bucket_col().alias("b")).distinct().collect()}
-        if not touched:
-            self._write_manifest(version, base)
-            return True
-        current = (self.read(prev, only=touched) if set(base) & touched
-                   else self.read(prev).limit(0))
-        written = self._write(merge(current, changes), version)
-        new = {b: v for b, v in base.items() if b not in touched}
-        new.update({b: version for b in written})
-        self._write_manifest(version, new)
-        self.expire()
-        return True
+        self._overwrite(self.marked(df))
+
+    def replace(self, df: DataFrame, version: int) -> bool:
+        """Put the partitions that ``df`` holds, whole, in place of the old ones."""
+        fresh = not self.committed(version)
+        self.batches.write(self.marked(df), version)
+        self._overwrite(self.batches.read(version))
+        return fresh
+
+    def read(self, schema: StructType, touched: DataFrame | None = None) -> DataFrame:
+        """The rows of the table (of the partitions of the rows ``touched``)."""
+        stored = [f for f in schema.fields if f.name not in self.partitions]
+        placed = [StructField(self.BUCKET, IntegerType())] if self.partitions == [self.BUCKET] else [schema[c] for c in self.partitions]
+        table = self.spark.read.schema(StructType([*stored, *placed])).parquet(self.path)
+        if touched is not None:
+            at = self.marked(touched).select(*[F.col(c).alias(f"_p_{c}") for c in self.partitions]).distinct()
+            same = reduce(lambda a, b: a & b, [table[c].eqNullSafe(at[f"_p_{c}"]) for c in self.partitions])
+            table = table.join(at, same, "left_semi")         # partitions pruned at run time
+        return table.select(*schema.fieldNames())

@@ -36,13 +36,18 @@ WIDTHS = (2, 3, 4)
 EMBED = 6
 FILTERS = 16                       # of each width
 PER_LANG = 2500
-MOST_WINDOWS = 1000 * PER_LANG
+MOST_WINDOWS = 100 * PER_LANG      # 64 MB
 MOST_SCORES = 10_000_000           # numbers (texts or windows, by languages) held at once
 CHUNK = 64                         # windows that are convolved at once
 
+# letters and some numerals, told apart by isalpha()
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 @dataclass
 class ByteCNN:
     langs: list[str]
@@ -164,9 +169,9 @@ def training_windows(docs: DataFrame, per_lang: int = PER_LANG, most: int = MOST
     each = min(per_lang, most / len(counts))
     limits = docs.sparkSession.createDataFrame([(r["lang"], max(each / r["n"], r["least"])) for r in counts],
                                                "_lang string, _limit double")
-    # a row per language, as the model has
-    return known.join(F.broadcast(limits), (F.col("lang") == F.col("_lang")) & (F.col("draw") <= F.col("_limit"))
-                      ).select("lang", "window")
+    # a row per language, as the model has; one window of a repeated id
+    return (known.join(F.broadcast(limits), (F.col("lang") == F.col("_lang")) & (F.col("draw") <= F.col("_limit")))
+            .groupBy("lang", "draw").agg(F.min("window").alias("window")).select("lang", "window"))
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> ByteCNN | None:
@@ -190,7 +195,7 @@ def predictor(spark, model: ByteCNN | None):
         for texts in batches:
             out = pd.DataFrame({"lang_pred": ["und"] * len(texts), "score": 0.0})
             lettered = [i for i, t in enumerate(texts)
-                        if t is not None and m is not None and _LETTER.search(bytes(t).decode("utf-8", "replace"))]
+                        if t is not None and m is not None and has_letter(bytes(t).decode("utf-8", "replace"))]
             lang, score = out["lang_pred"].to_numpy(dtype=object).copy(), np.zeros(len(texts))
             part: list[int] = []
             held = 0

@@ -112,7 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Logistic |
     # about ``sample`` ids whatever the size of the table, so small enough to broadcast
     drawn = F.broadcast(known.filter(draw * float(max(total, 1)) < sample).select(F.col("doc_id").alias("_id"), "_y"))
     rows = docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("_id")).select(
-        "_y", _shape()(F.col("text").cast("string").cast("binary")).alias("x")).toPandas()
+        "_id", "_y", _shape()(F.col("text").cast("string").cast("binary")).alias("x"))
+    rows = rows.groupBy("_id").agg(F.min(F.struct("_y", "x")).alias("r")).select("r.*").toPandas()      # one row of a repeated id
     if not len(rows):
         return None
     order = sorted(range(len(rows)), key=lambda i: (rows["_y"][i], list(rows["x"][i])))   # whatever order rows came in

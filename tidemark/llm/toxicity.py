@@ -170,7 +170,10 @@ def examples(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES,
     cols = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("_p", F.lit(False)).alias("positive"),
                        (_draw("doc_id", 22) * float(max(total, 1)) < unlabelled).alias("drawn"),
                        F.col("text").cast("string").cast("binary").alias("text"))
-    return cols.mapInArrow(run, "doc_id long, positive boolean, drawn boolean, features array<int>"), prior
+    found = cols.mapInArrow(run, "doc_id long, positive boolean, drawn boolean, features array<int>")
+    # one row of a repeated id, so that what is gathered stays as small as the draw
+    return found.groupBy("doc_id").agg(F.max("positive").alias("positive"), F.max("drawn").alias("drawn"),
+                                       F.min("features").alias("features")), prior
 
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model | None:

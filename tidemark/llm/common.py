@@ -48,6 +48,22 @@ def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
             .drop("_at", "_range", "_first", "_before"))
 
 
+#: Keys that ``join_hot`` broadcasts at most, and rows a key needs for that at least.
+HOT_KEYS, HOT_ROWS = 100_000, 256
+
+
+def join_hot(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` joined with ``groups`` (a row per key, whose column ``size``
+    says how many of the ``total`` rows have it), no key in one task alone.
+
+    Keys with more than their share of rows, fewer than HOT_KEYS by count, are
+    broadcast, and their rows stay where they are; all others are shuffled.
+    """
+    least = max(HOT_ROWS, -(-total // HOT_KEYS))
+    hot, cold = F.broadcast(groups.filter(F.col(size) > least)), groups.filter(F.col(size) <= least)
+    return rows.join(hot, key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for the fold that labels are never learned from (null id: held out)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % FOLDS == 0, F.lit(True))

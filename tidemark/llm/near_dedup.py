@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import join_hot, materialize
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -301,7 +301,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
     """Per document: node, doc_id, digest, text_class (node of the first equal
     text), and component (of text classes linked at the threshold or more)."""
     sig = materialize(signed(docs, weighted, bands, rows), "signatures")
-    classes = materialize(sig.groupBy("digest").agg(F.min("node").alias("text_class")), "text-classes")
+    classes = materialize(sig.groupBy("digest").agg(F.min("node").alias("text_class"), F.count(F.lit(1)).alias("copies")), "text-classes")
     firsts = sig.join(classes.select(F.col("text_class").alias("node")), "node", "left_semi")
     entries = firsts.select("node", "n", F.explode("bands").alias("bucket"))
     sizes = (entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"),
@@ -364,9 +364,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
         if most <= pivots:                  # every member has been a pivot
             break
         pivots *= 32
-    return (sig.select("node", "doc_id", "digest").join(classes, "digest")
-            .join(component.withColumnRenamed("node", "text_class"), "text_class", "left")
-            .select("node", "doc_id", "digest", "text_class", F.coalesce("component", "text_class").alias("component")))
+    named = classes.join(component.withColumnRenamed("node", "text_class"), "text_class", "left").select(
+        "digest", "copies", "text_class", F.coalesce("component", "text_class").alias("component"))
+    return (join_hot(sig.select("node", "doc_id", "digest"), materialize(named, "named-classes"), "digest", "copies", sig.count())
+            .select("node", "doc_id", "digest", "text_class", "component"))
 
 
 def representatives(found: DataFrame) -> DataFrame:
@@ -391,5 +392,6 @@ def query(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
     found = materialize(near_duplicates(table(spark, sf_dir, "documents")), "near")
-    return (found.join(representatives(found), "component")
+    classes = materialize(representatives(found), "classes")
+    return (join_hot(found, classes, "component", "class_size", found.count())
             .select("doc_id", "class_id", "class_size", (F.col("node") == F.col("class_node")).alias("kept")))

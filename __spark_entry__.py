@@ -1643,7 +1643,7 @@ def _pipeline_gate_groups(spark, sf_dir):
 
 def _row_check_sql(c: quality.Check) -> str | None:
     """A row fails the check (null: it does not)."""
-    found = re.search(r"FILTER \(WHERE (.*?)\) = 0", _check_sql("t", 0, c))
+    found = re.search(r"FILTER \(WHERE (.*)\) AS unexpected", _check_sql("t", 0, c))
     return found[1] if found and c.kind not in ("row_count", "unique") else None
 
 

@@ -42,7 +42,7 @@ small = st.text(alphabet="ab c", max_size=30)
 @settings(max_examples=200, deadline=None)
 @given(st.lists(small, min_size=1, max_size=6), st.lists(st.tuples(st.integers(0, 3), small), max_size=5))
 def test_shard_matches_brute_force(texts, items):
-    block = dc.TestBlock([(str(i), dc.words_of(t.encode())) for i, t in items], 3)
+    block = dc.ItemBlock([(str(i), dc.words_of(t.encode())) for i, t in items], 3)
     found = dc.match_shard([dc.words_of(t.encode()) for t in texts], block)
     for d, (n, hit, names, longest) in enumerate(brute(texts, items, 3)):
         spans, got, far = found.get(d, ([], [], 0))
@@ -86,10 +86,10 @@ def test_one_block_at_a_time(spark, docs, monkeypatch):
     items = [(i, f"word{i} seven wise owls read old books near the quiet harbour word{i}") for i in range(40)]
     bench = spark.createDataFrame(items, "item_id long, text string")
     live, most, sizes = [0], [0], []
-    put, end, make = SparkContext.broadcast, Broadcast.destroy, dc.TestBlock.__init__
+    put, end, make = SparkContext.broadcast, Broadcast.destroy, dc.ItemBlock.__init__
 
     def broadcast(self, value):
-        live[0] += isinstance(value, dc.TestBlock)
+        live[0] += isinstance(value, dc.ItemBlock)
         most[0] = max(most[0], live[0])
         return put(self, value)
 
@@ -103,7 +103,7 @@ def test_one_block_at_a_time(spark, docs, monkeypatch):
 
     monkeypatch.setattr(SparkContext, "broadcast", broadcast)
     monkeypatch.setattr(Broadcast, "destroy", destroy)
-    monkeypatch.setattr(dc.TestBlock, "__init__", init)
+    monkeypatch.setattr(dc.ItemBlock, "__init__", init)
     whole = {(r.doc_id, r.n_words, str(r.hits), tuple(sorted(r["items"])), r.longest) for r in dc.overlap(docs, bench).collect()}
     assert sizes == [40]
     live[0], most[0] = 0, 0

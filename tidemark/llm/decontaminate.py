@@ -16,7 +16,9 @@ A window is ``window`` consecutive words of an item; an item of fewer words
 
 Defined results: null or empty texts have no words and no hits; repeated
 documents are reported each for itself; repeated item_ids count once; a null
-item_id is the empty string; an empty benchmark hits nothing. A benchmark
+item_id is the empty string; an empty benchmark hits nothing; texts of any
+length are searched whole; an empty table of documents gives no rows; columns
+other than the id and the text are kept or ignored. A benchmark
 of more than ``BLOCK_WORDS`` words is dealt by hash into blocks of about that
 size (an item is never cut), and one block after the other is on the driver
 and broadcast.
@@ -50,11 +52,9 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_FOLD).split() if text else []
 
 
-class TestBlock:
+class ItemBlock:
     """Suffixes of a block of test items, as word ids from 1 (0: no such word)."""
 
-    __test__ = False
-
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
         self.vocab: dict[bytes, int] = {}
         ids: list[int] = []
@@ -114,7 +114,7 @@ def _bound(ids: np.ndarray, array: np.ndarray, lo: np.ndarray, hi: np.ndarray, d
     return lo
 
 
-def find_windows(ids: np.ndarray, array: np.ndarray, block: TestBlock) -> tuple[np.ndarray, np.ndarray]:
+def find_windows(ids: np.ndarray, array: np.ndarray, block: ItemBlock) -> tuple[np.ndarray, np.ndarray]:
     """(query, place) of every occurrence of a test window in the shard."""
     active = np.arange(len(block.start))
     lo, hi = np.zeros(len(active), dtype=np.int64), np.full(len(active), len(array), dtype=np.int64)
@@ -136,7 +136,7 @@ def find_windows(ids: np.ndarray, array: np.ndarray, block: TestBlock) -> tuple[
     return np.repeat(q, n), array[np.repeat(a, n) + inside]
 
 
-def match_shard(docs: list[list[bytes]], block: TestBlock) -> dict[int, tuple[list[tuple[int, int]], list[str], int]]:
+def match_shard(docs: list[list[bytes]], block: ItemBlock) -> dict[int, tuple[list[tuple[int, int]], list[str], int]]:
     """{document number: (hit spans in words, item names, longest match)} of one shard."""
     if not block.shortest:
         return {}
@@ -183,18 +183,18 @@ def match_shard(docs: list[list[bytes]], block: TestBlock) -> dict[int, tuple[li
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def test_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> tuple[int, Iterator[TestBlock]]:
+def item_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> tuple[int, Iterator[ItemBlock]]:
     """Number of blocks, and the blocks, each made when it is asked for."""
     spark = benchmark.sparkSession
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").cast("string").alias("t"))
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").cast("string").alias("t")).distinct()
     words = rows.agg(F.sum(F.regexp_count("t", F.lit(_WORD)).cast("long"))).first()[0] or 0
     count = max(1, -(-words // block_words))
 
-    def block(items: DataFrame) -> TestBlock:
+    def block(items: DataFrame) -> ItemBlock:
         found = items.select("i", F.col("t").cast("binary").alias("t")).toLocalIterator()
-        return TestBlock([(r["i"], words_of(bytes(r["t"]) if r["t"] is not None else None)) for r in found], window)
+        return ItemBlock([(r["i"], words_of(bytes(r["t"]) if r["t"] is not None else None)) for r in found], window)
 
-    def blocks() -> Iterator[TestBlock]:
+    def blocks() -> Iterator[ItemBlock]:
         if count == 1:
             yield block(rows)
             return
@@ -208,9 +208,6 @@ def test_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = B
     return count, blocks()
 
 
-test_blocks.__test__ = False
-
-
 def _shards(batches: Iterator[pa.RecordBatch], text: str, shard_words: int):
     """(batches, words of their documents) until a shard is full."""
     held, docs, n = [], [], 0
@@ -271,7 +268,7 @@ def overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
         return rows.mapInArrow(run, OVERLAP)
 
-    count, blocks = test_blocks(benchmark, window, block_words)
+    count, blocks = item_blocks(benchmark, window, block_words)
     if count == 1:
         return scan(sc.broadcast(next(blocks))).drop("row")
     rows = materialize(rows, "decontamination-rows")
@@ -304,7 +301,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
                     at += batch.num_rows
         return run
 
-    count, blocks = test_blocks(benchmark, window, block_words)
+    count, blocks = item_blocks(benchmark, window, block_words)
     if count == 1:
         return docs.mapInArrow(cleaner(sc.broadcast(next(blocks)), True), docs.schema)
     rows = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("d")), "decontamination-rows")

@@ -24,8 +24,9 @@ left untested, and every candidate is checked on the whole texts.
 Defined results: a null text counts as empty; equal texts are one class
 whatever their size; a text of fewer than five words is one shingle; texts
 that differ but have no words are classes of their own; repeated rows are
-copies; a null doc_id is carried as null. Other columns are ignored (and
-kept by ``deduplicate``).
+copies; a null doc_id is carried as null; texts of any length are read whole;
+an empty table gives no rows. Other columns are ignored (and kept by
+``deduplicate``).
 """
 
 from __future__ import annotations

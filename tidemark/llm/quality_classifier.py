@@ -21,8 +21,10 @@ it; ``host`` and ``path`` take any other columns (parse_url for web pages).
 Defined results: a null text is empty; an empty text has features like any
 other; null hosts and paths are sites like others; a document with several
 label rows is good if all say so; with no good or no bad label the evidence
-is 0 and every document is kept; repeated rows are judged each for itself;
-an empty table gives no rows.
+is 0 and every document is kept; of several rows of one id one is learned
+from; repeated rows are judged each for itself; texts of any length are read
+whole; a score of exactly ``CUT`` is kept; an empty table gives no rows.
+Other columns are kept by ``keep_good`` and else ignored.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ the median (nearly) coincide.
 Everything is DataFrame expressions. Defined results: a null text has no
 words; a text without words has no ratios and fails the base rule; null
 languages and sources are groups like others; two windows of words are equal
-if their 64-bit hashes are; repeated rows are judged each for itself; an
+if their 64-bit hashes are; repeated rows are judged each for itself; a value
+that equals its threshold is kept; texts of any length are read whole; an
 empty table gives no rows. Other columns are ignored.
 """
 

@@ -13,7 +13,8 @@ and non-overlapping per rule; positions are code points, end exclusive.
 
 Defined results: a null text is empty and has no spans; repeated doc_ids
 share their posting entries (a superset of candidates) but are verified each
-on its own text; a null doc_id is a key like any other. Other columns are
+on its own text; a null doc_id is a key like any other; texts of
+any length are scanned whole; an empty table gives no rows. Other columns are
 ignored (and kept by ``redact``).
 """
 

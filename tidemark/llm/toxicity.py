@@ -20,8 +20,10 @@ Scores read the whole text and nothing else.
 
 Defined results: null and empty texts have no words and get the score of
 the bias alone; with no confirmed example every score is 0; several label
-rows of a document count as toxic if one says so; repeated rows are scored
-each for itself; an empty table gives no rows.
+rows of a document count as toxic if one says so; of several rows of one id
+the least set of features is learned from; repeated rows are scored each for
+itself; texts of any length are read whole; a score of exactly 0.5 is
+predicted 1; an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -339,7 +339,7 @@ def test_csv_round_trip_with_quotes_commas_newlines(spark):
                         "transcript_text": "", "confidence_score": None}])
     path = scratch_path(spark, "t_csv")
     files.write_csv(df, path)
-    back = files.load_csv(spark, path, schemas.EARNINGS_CALLS)
+    back = files.load_csv(spark, path, schemas.EARNINGS_CALLS, multiLine="true")
     assert rows(back) == rows(df)
     filled = files.with_defaults(back, {"confidence_score": 0.85, "_loaded_at": "now"})
     got = {r.call_id: r for r in filled.collect()}

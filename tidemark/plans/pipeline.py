@@ -9,6 +9,8 @@ user's scheduler.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from ..operators import gated, quality
@@ -69,7 +71,7 @@ def run_pipeline(graph: ModelGraph, group: str, root: str,
     g = graph
     if gate:
         raws = {name: graph.get(name) for name in raw_inputs(group) if name in gate}
-        for name, done in gated.gate_all(raws, gate, f"{root}/gate", quarantine).items():
+        for name, done in gated.gate_all(raws, gate, f"{root}/gate/{uuid.uuid4().hex[:12]}", quarantine).items():
             g = g.with_overrides({name: (lambda _df, t=done.clean: t)})
     for name in group_models(group):
         df = materialize(g.get(name), name, "table", LAYER[name.split("_")[0]], root)

@@ -139,3 +139,35 @@ def test_small_second_load_reads_few_partitions(spark):
     assert "PartitionFilters: [_bucket" in plan
     touched = got.select(F.pmod(F.xxhash64("o_orderkey"), F.lit(32))).distinct().count()
     assert touched <= 2
+
+
+# ------------------------------------------------------------- refresh groups
+GROUP_MART = {"refresh_group": "mart_research_signals"}
+
+
+def group_tables(spark, low):
+    """Driver tables with user ids of one to six digits and ``low`` as the lowest value."""
+    root = scratch_path(spark, "group_tables")
+    ts = [dt.datetime(2024, 1, 1 + i, 12) for i in range(25)]
+    tables = {"events": ([(i * 10 + k, t, u, "view", low if i == 24 else 5.0 + (i * 7 + k) % 11) for k, u in enumerate((2, 14, 1000, 123456))
+                          for i, t in enumerate(ts)], "event_id long, ts timestamp, user_id long, event_type string, value double"),
+              "conversations": ([(c, n, r, f"Revenue growth was strong in quarter {c}. We see risk.") for c in (2, 14, 17)
+                                 for n, r in enumerate(("user", "assistant"))], "conv_id long, turn int, role string, text string"),
+              "documents": ([(d, f"Risk of litigation and loss, item {d}.", "en", "web", 40) for d in (1, 7, 76)],
+                            "doc_id long, text string, lang string, source string, n_chars long")}
+    for name, (given, schema) in tables.items():
+        spark.createDataFrame(given, schema).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+@pytest.mark.parametrize("query", GROUP_MART)
+def test_refresh_group_takes_every_user_and_price(spark, query):
+    import __spark_entry__ as E
+    root = group_tables(spark, 0.0)
+    got, want = E.queries()[query](spark, root), graph_from_driver(spark, root, FIXTURE).get(GROUP_MART[query])
+    want = E._counts_as_double(want) if query == "refresh_group" else want
+    assert want.count() and rows(got, want.columns) == rows(want)
+    if query == "refresh_group":
+        assert {r.ticker for r in got.collect()} == {"U2", "U14", "U1000", "U123456"}
+    with pytest.raises(quality.QualityGateError, match="stock_prices"):          # the gate still stops a price below zero
+        E.queries()[query](spark, group_tables(spark, -0.01))

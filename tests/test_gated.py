@@ -142,7 +142,7 @@ def test_small_second_load_reads_few_partitions(spark):
 
 
 # ------------------------------------------------------------- refresh groups
-GROUP_MART = {"refresh_group": "mart_research_signals", "refresh_group_earnings": "mart_earnings_summary"}
+GROUP_MART = {"refresh_group": "mart_research_signals", "refresh_group_earnings": "mart_earnings_summary", "refresh_group_ml": "ml_sentiment_training"}
 
 
 def group_tables(spark, low):

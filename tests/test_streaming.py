@@ -3,6 +3,7 @@ with the batch result, and idempotent re-runs on the same checkpoint."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import SF_SMALL, rows
@@ -212,3 +213,32 @@ def test_restrict_to_keys_composite_key_uses_semi_join(spark):
     cols = filings.columns
     assert got.columns == cols
     assert rows(got, cols) == rows(filings.join(affected, ["ticker", "filing_date"], "left_semi"), cols)
+
+
+@pytest.mark.parametrize("query", ["dt_price_summary_stream", "dt_price_summary_refresh"])
+def test_price_summary_folders_do_not_grow_with_tickers(spark, query):
+    """150 tickers, some of them in one drop only: folders are those of the buckets."""
+    import __spark_entry__ as E
+    root = scratch_path(spark, "t_tickers")
+    events = [(u * 100 + d, dt.datetime(2024, 1, d, 12), u, "view", float((u * d) % 13))
+              for u in range(150) for d in ((3, 5), (4, 25), (22, 28))[u % 3]]
+    spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string, value double").write.parquet(f"{root}/events.parquet")
+    got = E.queries()[query](spark, root)
+    want = E.G(spark, root).get("dt_price_summary")
+    assert rows(got) == rows(want) and got.count() == 150
+    assert len({f.rsplit("/", 2)[1] for f in got.inputFiles()}) <= 64
+
+
+def test_replace_keys_keeps_the_bucket_rows_of_other_keys(spark):
+    schema = "k string, v int"
+    root = scratch_path(spark, "t_keys")
+    store = PartitionedTable(spark, f"{root}/target", key="k", buckets=2)
+    first = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), ("c", 5)], schema)
+    second = spark.createDataFrame([("b", 20), (None, 40), ("d", 60)], schema)
+    want = rows(spark.createDataFrame([("a", 1), ("b", 20), (None, 40), ("c", 5), ("d", 60)], schema))
+    assert store.replace_keys(first, 1) and rows(store.read(first.schema)) == rows(first)
+    store.fresh.write(second, 2)                          # the batch failed after its rows were computed
+    assert store.replace_keys(second.limit(0), 2) and rows(store.read(first.schema)) == want
+    assert not store.replace_keys(second.limit(0), 2)     # and again after its commit
+    assert rows(store.read(first.schema)) == want
+    assert store.replace_keys(second.limit(0), 3) and rows(store.read(first.schema)) == want

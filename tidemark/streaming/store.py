@@ -84,6 +84,7 @@ class PartitionedTable:
         self.partitions = list(partitions) or [self.BUCKET]
         self.buckets = buckets
         self.batches = VersionedTable(spark, f"{self.root}/batches")
+        self.fresh = VersionedTable(spark, f"{self.root}/fresh")
 
     @property
     def path(self) -> str:
@@ -111,6 +112,25 @@ class PartitionedTable:
         self._overwrite(self.batches.read(version))
         return fresh
 
+    def replace_keys(self, df: DataFrame, version: int) -> bool:
+        """Put the rows of ``df`` in place of those that its keys had (a table
+        in hash buckets: the number of folders is that of the buckets, however
+        many keys there are).
+
+        ``df`` is computed once, into a version of ``fresh``; the buckets that
+        it touches are then written whole, with the rows of their other keys.
+        """
+        if self.committed(version):
+            return self.replace(self.batches.read(version), version)
+        self.fresh.write(df, version)
+        rows = fresh = self.fresh.read(version)
+        fs, jvm = self.batches._fs()
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(self.path)):
+            new = fresh.select(*[F.col(k).alias(f"_n_{k}") for k in self.keys]).distinct()
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_n_{k}")) for k in self.keys])
+            rows = self.read(fresh.schema, fresh).join(new, same, "left_anti").unionByName(fresh)
+        return self.replace(self.marked(rows).repartition(self.BUCKET), version)       # a file per bucket, not per task and bucket
+
     def read(self, schema: StructType, touched: DataFrame | None = None) -> DataFrame:
         """The rows of the table (of the partitions of the rows ``touched``)."""
         stored = [f for f in schema.fields if f.name not in self.partitions]

@@ -1,8 +1,11 @@
 """The gate inside the write, mergeable profiles, and bucket digests."""
 
 import datetime as dt
+import os
+from glob import glob
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from helpers import SF_SMALL, rows
 from pyspark.sql import functions as F
@@ -11,8 +14,8 @@ from tidemark.functions.rules import FIXTURE
 from tidemark.operators import cdc, gated, profiles, quality, staging
 from tidemark.operators.quality import Check
 from tidemark.plans.graph import graph_from_driver
-from tidemark.plans.pipeline import run_pipeline
-from tidemark.session import scratch_path
+from tidemark.plans.pipeline import group_models, run_pipeline
+from tidemark.session import ensure_checkpoint_dir, scratch_path
 from tidemark.sources import adapters as ad
 
 SUITE = [Check("not_null", "k"), Check("unique", "k"), Check("regex", "t", pattern="^[A-Z]{1,5}$"), Check("between", "p", 0.0, 10.0),
@@ -171,3 +174,29 @@ def test_refresh_group_takes_every_user_and_price(spark, query):
         assert {r.ticker for r in got.collect()} == {"U2", "U14", "U1000", "U123456"}
     with pytest.raises(quality.QualityGateError, match="stock_prices"):          # the gate still stops a price below zero
         E.queries()[query](spark, group_tables(spark, -0.01))
+
+
+def test_gated_runs_do_not_add_up_on_disk(spark, monkeypatch):
+    """Nine whole runs, each with the tables of no other run beside its own, texts in zstd."""
+    import __spark_entry__ as E
+    given, base, held, codecs = group_tables(spark, 5.0), ensure_checkpoint_dir(spark), [], set()
+    runs = lambda: sorted(x for x in os.listdir(base) if x.startswith("gated-"))
+    before = runs()
+
+    def run(graph, group, root, **options):
+        held.append(runs())
+        try:
+            built = run_pipeline(graph, group, root, **options)
+            assert set(built) == set(group_models(group)) and all(df.count() >= 0 for df in built.values())
+            return built
+        finally:
+            files = glob(f"{root}/**/*.parquet", recursive=True)
+            assert files                          # what a run wrote is there until its figures are taken
+            codecs.update(pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).num_row_groups)
+
+    monkeypatch.setattr(E, "run_pipeline", run)
+    got = {(r.refresh_group, r.suites): (r.passed, r.staged_rows) for r in E.queries()["pipeline_gate_groups"](spark, given).collect()}
+    staged = {"prices": 100, "earnings": 6, "filings": 3}
+    assert got == {(g, s): (s == "keys", n if s == "keys" else 0) for g, n in staged.items() for s in ("reference", "keys", "reference_texts")}
+    assert held == [before] * 9 and runs() == before
+    assert codecs == {"ZSTD"}
